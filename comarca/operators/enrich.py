@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from comarca.functions import per_unit
 
-SALTS = 8
+SALTS = 16
 
 
 def derive_dimension(df: DataFrame, columns: Sequence[str], required: Sequence[str]) -> DataFrame:
     """The distinct combinations of some columns found in the facts, with the required ones known."""
-    return df.select(*columns).dropna(subset=list(required)).distinct()
+    known = reduce(Column.__and__, [F.col(name).isNotNull() for name in required])
+    return df.where(known).select(*columns).distinct()
 
 
 def unique_lookup(dimension: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -34,15 +35,16 @@ def fill_from_lookup(
     """Fill nulls of ``value`` from a lookup with unique keys; all other cells stay as they are.
 
     Only the rows that can change are joined: value missing and key known. The rest goes
-    past the join unshuffled. The joined rows are salted by content and the lookup is
-    repeated once per salt, which splits a hot key; the salt depends on the row alone, so a
-    retried task sends its rows to the same place. Both sides then have their own shuffle,
-    which lets AQE broadcast a lookup it has measured to be small, or split further a
-    partition that is still skewed.
+    past the join unshuffled. The joined rows are salted and the lookup is repeated once per
+    salt, which splits a hot key. The salt is a hash of the row and of the partition it comes
+    from: copies of one row spread too, and a retried task sends its rows to the same place
+    whatever their order. Both sides have a shuffle of their own, so AQE can broadcast a
+    lookup it has measured to be small, or split a partition that is still too large.
     """
     known_key = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
     fillable = F.col(value).isNull() & known_key
-    row_salt = F.pmod(F.xxhash64(*[c for c in df.columns if c != value]), F.lit(salts))
+    row = [F.spark_partition_id(), *[F.col(c) for c in df.columns if c != value]]
+    row_salt = F.pmod(F.xxhash64(*row), F.lit(salts))
     answers = lookup.select(
         *keys,
         F.col(value).alias("answer"),

@@ -301,13 +301,16 @@ CLEAN_CULTURAL = _sql_clean_counties(CULTURAL)
 def population_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places 0 to 24 by supplier; 24 lies outside the region and every other name is garbled."""
     place = F.col("l_suppkey") % 25
-    prefix = F.when(place == 24, F.lit("28024")).otherwise(code(place))
-    clean = F.concat(prefix, F.lit("  "), city(place))
-    garbled = F.decode(F.encode(clean, "UTF-8"), "ISO-8859-1")
+    clean = [
+        f"{'28' if n == 24 else CODES[n % 9]}{n:03d}  Peñón {n % 20}" for n in range(25)
+    ]
+    garbled = [name.encode("utf-8").decode("iso-8859-1") for name in clean]
     years = (F.col("l_quantity") * 2).cast("int")
     people = F.replace(F.format_number(F.floor("l_extendedprice"), 0), F.lit(","), F.lit("."))
     return table(spark, sf_dir, "lineitem").select(
-        F.when(F.col("l_linestatus") == "O", garbled).otherwise(clean).alias(fixed.MUNICIPALITY),
+        F.when(F.col("l_linestatus") == "O", _pick(garbled, place))
+        .otherwise(_pick(clean, place))
+        .alias(fixed.MUNICIPALITY),
         F.when(F.col("l_returnflag") == "A", F.lit("Ambos sexos"))
         .when(F.col("l_returnflag") == "N", F.lit("Hombres"))
         .otherwise(F.lit("Mujeres"))

@@ -29,5 +29,12 @@ def write_delimited(
 ) -> None:
     """Write the layout that ``read_delimited`` reads: quoted values, header, null as blank."""
     df.write.mode(mode).options(
-        header=True, sep=separator, encoding=encoding, escape='"', quoteAll=True, emptyValue=""
+        header=True,
+        sep=separator,
+        encoding=encoding,
+        escape='"',
+        quoteAll=True,
+        emptyValue="",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
     ).csv(path)

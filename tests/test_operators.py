@@ -1,0 +1,335 @@
+"""Operators on literal tables: nulls, ties, empty input, malformed rows."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from comarca.operators import (
+    attributes_long,
+    attributes_wide,
+    audit,
+    audit_filters,
+    bucket_sums,
+    canonicalise,
+    count_by,
+    count_matrix,
+    dedup,
+    derive_dimension,
+    distinct_values,
+    drop_sentinel,
+    explode_delimited,
+    explode_elements,
+    fill_from_lookup,
+    find_dupes,
+    has_no_nulls,
+    null_counts,
+    pivot_first,
+    profile,
+    rate_per,
+    stats,
+    top_k,
+    unique_lookup,
+    value_sets,
+)
+from helpers import rows
+
+SLOTS = ("valor", "LocalidadPadre", "string", "text")
+
+
+@pytest.fixture(scope="module")
+def places(spark):
+    return spark.createDataFrame(
+        [
+            ("x", "bar", "a 1"),
+            ("x", "bar", None),
+            ("x", "cafe", "a 2"),
+            ("y", "bar", None),
+            (None, "cafe", "a 3"),
+            (None, None, None),
+        ],
+        "city string, kind string, address string",
+    )
+
+
+# Counting and ranking
+
+
+def test_count_by_counts_rows(places):
+    assert rows(count_by(places, ["city"])) == [(None, 2), ("x", 3), ("y", 1)]
+
+
+def test_count_by_skips_nulls_of_the_counted_column(places):
+    assert rows(count_by(places, ["city"], "address")) == [(None, 1), ("x", 2), ("y", 0)]
+
+
+def test_count_by_of_nothing_is_nothing(places):
+    assert rows(count_by(places.limit(0), ["city"])) == []
+
+
+def test_count_matrix(places):
+    counted = count_matrix(places, ["city"], "kind", {"bars": "bar", "cafes": "cafe"}, "address")
+    assert counted.columns == ["city", "bars", "cafes", "total"]
+    assert rows(counted) == [(None, 0, 1, 1), ("x", 2, 1, 2), ("y", 1, 0, 0)]
+    by_row = count_matrix(places, ["city"], "kind", {"bars": "bar"})
+    assert rows(by_row) == [(None, 0, 2), ("x", 2, 3), ("y", 1, 1)]
+
+
+def test_top_k_settles_ties_and_puts_nulls_last(spark):
+    df = spark.createDataFrame([("b", 2), ("a", 2), ("c", None), ("d", 9)], "k string, n int")
+    assert [r.k for r in top_k(df, "n", 3, ["k"]).collect()] == ["d", "a", "b"]
+    assert [r.k for r in top_k(df, "n", 9, ["k"]).collect()] == ["d", "a", "b", "c"]
+    assert [r.k for r in top_k(df, "n", 2, ["k"], descending=False).collect()] == ["c", "a"]
+
+
+def test_distinct_values(places):
+    assert rows(distinct_values(places, "kind")) == [(None,), ("bar",), ("cafe",)]
+
+
+def test_value_sets(places):
+    assert rows(value_sets(places, ["city"], "kind")) == [
+        (None, ["cafe"]),
+        ("x", ["bar", "cafe"]),
+        ("y", ["bar"]),
+    ]
+
+
+# Cleaning
+
+
+def test_canonicalise_keeps_only_allowed_values_and_drops_null(spark):
+    values = ["ÁVILA", "Avila", "LEON", "leones", "Burgos", "Madrid", None]
+    df = spark.createDataFrame([(v,) for v in values], "county string")
+    fixes = {"avila": "ávila", "leon": "león"}
+    cleaned = canonicalise(df, "county", fixes, ["ávila", "león", "burgos"])
+    assert rows(cleaned) == [("burgos",), ("león",), ("ávila",), ("ávila",)]
+    assert rows(canonicalise(cleaned, "county", fixes, ["ávila", "león", "burgos"])) == rows(cleaned)
+    assert canonicalise(df, "county", fixes).count() == len(values)
+
+
+def test_drop_sentinel_drops_null_too(spark):
+    df = spark.createDataFrame([("ANULADO",), ("anulado",), ("x",), (None,)], "name string")
+    assert rows(drop_sentinel(df, "name", ["ANULADO"])) == [("anulado",), ("x",)]
+
+
+# Checks
+
+
+def test_null_counts(places):
+    counted = null_counts(places, ["city", "kind", "address"])
+    assert rows(counted) == [("address", 3), ("city", 2), ("kind", 1)]
+    assert rows(null_counts(places.limit(0), ["city"])) == [("city", 0)]
+
+
+def test_has_no_nulls(places):
+    assert not has_no_nulls(places, ["kind"])
+    assert not has_no_nulls(places.where("kind is not null"), ["kind", "address"])
+    assert has_no_nulls(places.where("kind is not null"), ["kind"])
+    assert has_no_nulls(places.limit(0), ["kind"])
+
+
+def test_find_dupes_is_sorted_and_groups_nulls(spark):
+    values = [("b",), ("b",), ("a",), ("a",), ("c",), (None,), (None,), (None,)]
+    df = spark.createDataFrame(values, "k string")
+    found = [tuple(r) for r in find_dupes(df, ["k"]).collect()]
+    assert found == [(None, 3), ("a", 2), ("b", 2)]
+
+
+def test_dedup_survivor_does_not_depend_on_layout(spark):
+    data = [(k, v, w) for k in ("a", "b", None) for v in (3, 1, 2) for w in ("z", None)]
+    df = spark.createDataFrame(data, "k string, v int, w string")
+    expected = [(None, 1, None), ("a", 1, None), ("b", 1, None)]
+    for parts in (1, 3, 7):
+        assert rows(dedup(df.repartition(parts), ["k"])) == expected
+    assert rows(dedup(df, ["k"], ["w"])) == expected
+    assert dedup(df, ["k"]).columns == df.columns
+    assert rows(dedup(dedup(df, ["k"]), ["k"])) == expected
+    assert dedup(df, ["k", "v", "w"]).count() == 18
+
+
+def test_dedup_keeps_column_order_and_types(spark):
+    df = spark.createDataFrame([(1, "x", 2.0)], "v int, k string, d double")
+    assert dedup(df, ["k"]).dtypes == df.dtypes
+
+
+def test_audit(places):
+    steps = [("all", places), ("kinds", places.where("kind is not null"))]
+    assert rows(audit(steps)) == [("all", 6), ("kinds", 5)]
+
+
+def test_audit_filters_treats_unknown_as_failed(places):
+    steps = [("all", F.lit(True)), ("bars", F.col("kind") == "bar"), ("at x", F.col("city") == "x")]
+    assert rows(audit_filters(places, steps)) == [("all", 6), ("at x", 2), ("bars", 3)]
+
+
+def test_stats(spark):
+    df = spark.createDataFrame([(1, "10"), (3, "x"), (None, None)], "n int, s string")
+    found = {row["column"]: row for row in stats(df, ["n", "s"]).collect()}
+    assert (found["n"]["count"], found["n"]["mean"]) == (2, 2.0)
+    assert found["n"]["stddev"] == pytest.approx(2**0.5)
+    assert (found["n"]["min"], found["n"]["max"]) == ("1", "3")
+    assert (found["s"]["count"], found["s"]["mean"]) == (2, 10.0)
+    assert (found["s"]["min"], found["s"]["max"]) == ("10", "x")
+
+
+def test_profile(spark):
+    df = spark.createDataFrame(
+        [("a", 2, None), ("b", 2, None), ("b", 1, None), ("a", None, None)],
+        "s string, n int, empty string",
+    )
+    assert rows(profile(df)) == [
+        ("empty", 0, 0, None, None),
+        ("n", 3, 2, "2", 2),
+        ("s", 4, 2, "a", 2),
+    ]
+    assert rows(profile(df, ["n"])) == [("n", 3, 2, "2", 2)]
+
+
+# Reshaping
+
+
+def document(*elements):
+    return ({"date": "2021", "list": [{"element": {"attribute": e}} for e in elements]},)
+
+
+def attribute(name, **slots):
+    return {"name": name, **{slot: slots.get(slot) for slot in SLOTS}}
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    from comarca.sources import ATTRIBUTE_DOCUMENT
+
+    full = [
+        attribute("id", valor="1", text="ignored"),
+        attribute("town", LocalidadPadre="T"),
+        attribute("town", string="S"),
+        attribute("other", valor="o"),
+    ]
+    valueless = [attribute("id"), attribute("town", text="U")]
+    unlisted = [attribute("other", valor="o"), attribute(None, valor="n")]
+    return spark.createDataFrame([document(full, None, valueless, unlisted, [])], ATTRIBUTE_DOCUMENT)
+
+
+PATH = "document.list.element.attribute"
+
+
+def test_explode_elements_keeps_empty_elements(documents):
+    found = explode_elements(documents, PATH).select("element_id", F.size("attributes"))
+    assert [r[0] for r in found.orderBy("element_id").collect()] == [0, 1, 2, 3, 4]
+
+
+def test_attributes_long(documents):
+    long = attributes_long(documents, PATH, slots=SLOTS)
+    assert long.columns == ["element_id", "name", *SLOTS]
+    ids = [r[0] for r in rows(long.select("element_id"))]
+    assert ids == [0, 0, 0, 0, 2, 2, 3, 3]
+
+
+def test_attributes_wide(documents):
+    elements = explode_elements(documents, PATH)
+    wide = attributes_wide(elements, "attributes", ["id", "town", "absent"], SLOTS)
+    assert rows(wide) == [(0, "1", "S", None), (2, None, "U", None)]
+
+
+def test_attributes_wide_equals_exploding_and_pivoting(documents):
+    names = ["id", "town", "absent"]
+    long = attributes_long(documents, PATH, slots=SLOTS)
+    valued = long.select("element_id", "name", F.coalesce(*SLOTS).alias("value"))
+    pivoted = pivot_first(valued, ["element_id"], "name", names, "value")
+    wide = attributes_wide(explode_elements(documents, PATH), "attributes", names, SLOTS)
+    assert rows(pivoted) == rows(wide)
+
+
+def test_pivot_first_takes_the_smallest_and_null_when_none(spark):
+    df = spark.createDataFrame(
+        [(1, "a", "y"), (1, "a", "x"), (1, "b", None), (2, "c", "z")], "k int, n string, v string"
+    )
+    assert rows(pivot_first(df, ["k"], "n", ["a", "b"], "v")) == [(1, "x", None)]
+
+
+def test_explode_delimited_counts_the_empty_tail(spark):
+    df = spark.createDataFrame([("A|B|",), ("A",), ("",), (None,)], "s string")
+    assert rows(explode_delimited(df, "s", "|")) == [("",), ("",), ("A",), ("A",), ("B",)]
+    assert rows(explode_delimited(df, "s", "|", drop_empty=True)) == [("A",), ("A",), ("B",)]
+    dotted = spark.createDataFrame([("a.b",)], "s string")
+    assert rows(explode_delimited(dotted, "s", ".")) == [("a",), ("b",)]
+
+
+def test_bucket_sums_edges_and_nulls(spark):
+    ages = [0, 15, 16, 30, 31, 45, 46, 65, 66, 80, 81, 100]
+    df = spark.createDataFrame(
+        [("x", age, 1) for age in ages] + [("x", None, 50), ("x", 15, None), ("y", 16, None)],
+        "city string, age int, people int",
+    )
+    buckets = {"low": (None, 15), "mid": (16, 80), "high": (81, None)}
+    summed = bucket_sums(df, ["city"], "age", "people", buckets, "total")
+    assert summed.columns == ["city", "low", "mid", "high", "total"]
+    assert rows(summed) == [("x", 2, 8, 2, 12), ("y", 0, None, 0, None)]
+
+
+# Enrichment
+
+
+@pytest.fixture(scope="module")
+def venues(spark):
+    return spark.createDataFrame(
+        [
+            ("a", "c1", "one", "05001"),
+            ("b", "c1", "one", None),
+            ("c", "c1", "two", "1"),
+            ("d", "c1", "two", "2"),
+            ("e", "c1", "two", None),
+            ("f", "c1", "none", None),
+            ("g", "c1", None, None),
+            ("h", "c1", "both", "9"),
+            ("i", "c2", "both", "9"),
+            ("j", "c2", "both", None),
+            ("a", "c1", "one", "05001"),
+        ],
+        "name string, county string, city string, code string",
+    )
+
+
+def test_derive_dimension(venues):
+    found = derive_dimension(venues, ["county", "city", "code"], ["code"])
+    assert rows(found) == [
+        ("c1", "both", "9"),
+        ("c1", "one", "05001"),
+        ("c1", "two", "1"),
+        ("c1", "two", "2"),
+        ("c2", "both", "9"),
+    ]
+
+
+def test_unique_lookup_takes_a_city_in_two_counties_as_ambiguous(venues):
+    dimension = derive_dimension(venues, ["county", "city", "code"], ["code"])
+    assert rows(unique_lookup(dimension, ["city"], "code")) == [("one", "05001")]
+    assert rows(unique_lookup(dimension, ["county", "city"], "code")) == [
+        ("c1", "both", "9"),
+        ("c1", "one", "05001"),
+        ("c2", "both", "9"),
+    ]
+
+
+@pytest.mark.parametrize("salts", [1, 8])
+def test_fill_from_lookup(venues, salts):
+    dimension = derive_dimension(venues, ["county", "city", "code"], ["code"])
+    lookup = unique_lookup(dimension, ["city"], "code")
+    filled = fill_from_lookup(venues, lookup, ["city"], "code", salts)
+    assert filled.columns == venues.columns
+    before, after = rows(venues), rows(filled)
+    assert len(after) == len(before)
+    changed = set(after) - set(before)
+    assert changed == {("b", "c1", "one", "05001")}
+    assert sorted(r[:3] for r in map(str, after)) == sorted(r[:3] for r in map(str, before))
+
+
+def test_rate_per(spark):
+    people = spark.createDataFrame(
+        [("x", 200), ("y", 0), ("z", 50), (None, 10)], "city string, people long"
+    )
+    totals = spark.createDataFrame([("x", 3), ("y", 2), ("w", 1), (None, 4)], "city string, n long")
+    rated = rate_per(people, totals, ["city"], "n", "people", per=100)
+    assert rows(rated) == [("x", 200, 3, 1.5), ("y", 0, 2, None)]
+    assert rows(rate_per(people, totals, ["city"], "n", "people", minimum=1)) == [
+        ("x", 200, 3, 1500.0)
+    ]

@@ -1,0 +1,159 @@
+"""Readers, writers and the scratch location."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+from comarca.sources import (
+    ATTRIBUTE_PATH,
+    ingest_tagged,
+    read_delimited,
+    read_documents,
+    read_partitioned,
+    scratch_path,
+    source_tag,
+    write_delimited,
+    write_partitioned,
+)
+from helpers import rows
+
+
+def test_read_delimited_keeps_text_quotes_and_blanks(spark, tmp_path):
+    file = tmp_path / "a.csv"
+    text = '"N";"C.Postal";"Dirección";\n"LA ""X""";"05200";"";\n"Y; Z";"49-254";"Ñ 1";\n'
+    file.write_bytes(text.encode("iso-8859-1"))
+    df = read_delimited(spark, str(file))
+    picked = df.select("N", "`C.Postal`", "Dirección")
+    assert rows(picked) == [('LA "X"', "05200", None), ("Y; Z", "49-254", "Ñ 1")]
+    assert set(dict(picked.dtypes).values()) == {"string"}
+
+
+def test_a_missing_header_is_refused(spark, tmp_path):
+    file = tmp_path / "a.csv"
+    file.write_bytes("Edad (año a año)\n1\n".encode())
+    assert read_delimited(spark, str(file), encoding="UTF-8").columns == ["Edad (año a año)"]
+    with pytest.raises(AnalysisException):
+        read_delimited(spark, str(file)).select("`Edad (año a año)`")
+
+
+def test_delimited_round_trip(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("001", 'q"uo"te', "ñ; ü"), ("002", None, " padded "), ("003", "back\\slash", "x")],
+        "`a.b` string, c string, d string",
+    )
+    write_delimited(df, str(tmp_path / "out"))
+    assert rows(read_delimited(spark, str(tmp_path / "out"))) == rows(df)
+
+
+def test_documents_with_a_field_of_two_shapes(spark, tmp_path):
+    file = tmp_path / "d.json"
+    file.write_text(
+        """{"document": {"date": "2021", "list": [
+        {"element": {"attribute": [ {"name": "a", "valor": "1"},
+          {"name": "b", "valor": [{"string": "x"}]}, {"name": "c", "valor": []}, {"name": "d"}]}}
+        ]}}""",
+        encoding="utf-8",
+    )
+    df = read_documents(spark, str(file))
+    found = df.selectExpr(f"inline(flatten({ATTRIBUTE_PATH}))").select("name", "valor")
+    assert rows(found) == [("a", "1"), ("b", '[{"string": "x"}]'), ("c", "[]"), ("d", None)]
+
+
+def test_source_tag():
+    assert source_tag("s3a://b/in/bares.csv") == "bares"
+    assert source_tag("plain") == "plain"
+    assert source_tag("Museos de León.v2.json") == "Museos de León"
+    assert source_tag("folder/") == "folder"
+
+
+def test_ingest_tagged_is_distinct_per_source(spark):
+    one = spark.createDataFrame([(1, "x"), (1, "x"), (2, None)], "a int, b string")
+    two = spark.createDataFrame([("x", 1), ("x", 1)], "q string, p int")
+    parts = [
+        (one, {"n": F.col("a"), "s": F.col("b")}, "one"),
+        (two, {"s": F.col("q"), "n": F.col("p")}, "two"),
+    ]
+    assert rows(ingest_tagged(parts, "kind")) == [
+        (1, "x", "one"),
+        (1, "x", "two"),
+        (2, None, "one"),
+    ]
+    same = [(df, columns, "same") for df, columns, _ in parts]
+    assert rows(ingest_tagged(same, "kind")) == [
+        (1, "x", "same"),
+        (1, "x", "same"),
+        (2, None, "same"),
+    ]
+
+
+SCHEMA = "name string, county string, code string"
+
+
+def test_partitioned_round_trip_keeps_leading_zeros(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("a", "ávila", "05001"), ("b", "león", "24001"), ("c", "león", None)], SCHEMA
+    )
+    path = str(tmp_path / "t")
+    write_partitioned(df, path, ["county", "code"])
+    back = read_partitioned(spark, path, SCHEMA)
+    assert back.dtypes == df.dtypes
+    assert rows(back) == rows(df)
+
+
+def test_null_and_empty_keys_read_back_as_null(spark, tmp_path):
+    df = spark.createDataFrame([("a", "x", ""), ("b", "x", None)], SCHEMA)
+    write_partitioned(df, str(tmp_path / "t"), ["code"])
+    back = read_partitioned(spark, str(tmp_path / "t"), SCHEMA)
+    assert rows(back.select("code")) == [(None,), (None,)]
+
+
+def test_overwrite_of_all_or_of_given_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([("a", "x", "1"), ("b", "y", "1")], SCHEMA)
+    second = spark.createDataFrame([("c", "y", "1")], SCHEMA)
+    write_partitioned(first, path, ["county"])
+    write_partitioned(second, path, ["county"], only_given_partitions=True)
+    kept = read_partitioned(spark, path, SCHEMA).select("name")
+    assert rows(kept) == [("a",), ("c",)]
+    write_partitioned(second, path, ["county"])
+    assert rows(read_partitioned(spark, path, SCHEMA).select("name")) == [("c",)]
+
+
+def test_a_small_folder_gets_one_file_and_a_hot_one_is_split(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        hot = spark.range(60_000).selectExpr("sha2(cast(id as string), 256) as name", "'hot' as county")
+        cold = spark.range(300).selectExpr("cast(id as string) as name", "'c' || id % 5 as county")
+        df = hot.unionByName(cold).repartition(16)
+        write_partitioned(df, str(tmp_path / "t"), ["county"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "t").glob("county=*")}
+    assert files.pop("county=hot") > 4
+    assert set(files.values()) == {1}
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 60_300
+
+
+def test_scratch_paths_are_fresh_and_below_the_shared_folder(spark):
+    one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert one != two
+    assert one.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+class OtherSession:
+    """Stands in for a session with other settings."""
+
+    def __init__(self, **settings):
+        self.settings = {key.replace("_", "."): value for key, value in settings.items()}
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_scratch_on_a_cluster_needs_the_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(OtherSession(spark_master="yarn"), "x")
+    assert scratch_path(OtherSession(spark_master="local[2]"), "x")
+    shared = OtherSession(spark_master="yarn", spark_checkpoint_dir="hdfs:///tmp/")
+    assert scratch_path(shared, "x").startswith("hdfs:///tmp/comarca/x-")
