@@ -60,7 +60,11 @@ def dedup(
 
 
 def audit(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """(step, rows) for the stages of a cleanup, in one job."""
+    """(step, rows) for the stages of a cleanup, in one job.
+
+    Each step is counted by a query of its own that reads the columns it needs. Counting
+    while the cleanup runs would be cheaper, but a retried task would be counted twice.
+    """
     counts = [
         df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(step).alias("step"), "rows")
         for step, df in steps

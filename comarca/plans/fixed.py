@@ -18,6 +18,16 @@ VALID_COUNTIES = list(COUNTY_OF_CODE.values())
 # Unaccented spellings found in the sources.
 COUNTY_FIXES = {"avila": "ávila", "leon": "león"}
 
+# Names of the source files.
+VENUE_FILES = ["bares.csv", "restaurantes.csv", "cafeterias.csv"]
+ASSOCIATION_FILE = "AsociacionesJCyL.csv"
+SPORTS_CLUB_FILE = "Clubes deportivos.csv"
+CULTURAL_FILES = [
+    "Directorio de Bibliotecas de Castilla y León.json",
+    "Directorio de Museos de Castilla y León.json",
+]
+POPULATION_FILE = "Cities population per gender age.csv"
+
 # Venue kinds, named after their source files.
 BARS = "bares"
 RESTAURANTS = "restaurantes"

@@ -13,17 +13,15 @@ from comarca.operators import (
     count_matrix,
     distinct_values,
     explode_delimited,
-    find_dupes,
     profile,
     rate_per,
     top_k,
     unique_lookup,
 )
 from comarca.plans import fixed
+from comarca.plans.checks import key_dupes
 
 VENUE_KEY = ["name", "county", "city", "garito_kind"]
-CULTURAL_KEY = ["name", "county", "city", "cultural_kind"]
-SOCIAL_KEY = ["name", "county", "city", "social_kind"]
 
 
 def venue_groups(venues: DataFrame, k: int = 10) -> DataFrame:
@@ -55,7 +53,7 @@ def cities_by_venues(venues: DataFrame, county: str = "burgos", k: int = 30) ->
 
 
 def repeated_social(social: DataFrame, k: int = 15) -> DataFrame:
-    return find_dupes(social, SOCIAL_KEY).limit(k)
+    return key_dupes(social, "social").limit(k)
 
 
 def voided_social(social: DataFrame) -> DataFrame:
@@ -81,8 +79,7 @@ def sports_by_associations(
 
 
 def repeated_cultural(cultural: DataFrame, with_address: bool = False, k: int = 15) -> DataFrame:
-    keys = [*CULTURAL_KEY, "address"] if with_address else CULTURAL_KEY
-    return find_dupes(cultural, keys).limit(k)
+    return key_dupes(cultural, "cultural", ("address",) if with_address else ()).limit(k)
 
 
 def cities_by_cultural(cultural: DataFrame, k: int = 30) -> DataFrame:
@@ -112,7 +109,7 @@ def museums_by_theme(
 
 
 def repeated_cities(population: DataFrame, k: int = 15) -> DataFrame:
-    return find_dupes(population, ["city"]).limit(k)
+    return key_dupes(population, "population").limit(k)
 
 
 def most_populated(population: DataFrame, k: int = 12) -> DataFrame:

@@ -46,6 +46,14 @@ def build_population(spark: SparkSession, location: str, file: str, target: str)
     tables.store_by_county(tables.load_population(spark, location, file), target + "population/")
 
 
+def build_region(spark: SparkSession, location: str, target: str) -> None:
+    """All five tables from the files of one folder, under their usual names."""
+    build_venues(spark, location, fixed.VENUE_FILES, target)
+    build_social(spark, location, fixed.ASSOCIATION_FILE, fixed.SPORTS_CLUB_FILE, target)
+    build_cultural(spark, location, fixed.CULTURAL_FILES, target)
+    build_population(spark, location, fixed.POPULATION_FILE, target)
+
+
 def stored_table(spark: SparkSession, target: str, name: str) -> DataFrame:
     """One of the stored tables by folder name, with its documented schema."""
     schemas = {

@@ -21,6 +21,7 @@ from comarca.operators import (
     unique_lookup,
 )
 from comarca.plans import fixed
+from comarca.plans.checks import UNIQUE
 from comarca.sources import (
     ATTRIBUTE_PATH,
     SLOTS,
@@ -31,8 +32,6 @@ from comarca.sources import (
     write_partitioned,
 )
 
-SOCIAL_KEY = ["name", "county", "city", "social_kind"]
-
 
 # Venues ------------------------------------------------------------------------------
 
@@ -130,8 +129,8 @@ def clean_social(social_table: DataFrame, canonicalise_first: bool = False) -> D
     """
     kept = drop_sentinel(social_table, "name", [fixed.VOIDED])
     if canonicalise_first:
-        return dedup(clean_counties(kept), SOCIAL_KEY)
-    return clean_counties(dedup(kept, SOCIAL_KEY))
+        return dedup(clean_counties(kept), UNIQUE["social"])
+    return clean_counties(dedup(kept, UNIQUE["social"]))
 
 
 # Cultural ----------------------------------------------------------------------------

@@ -1,4 +1,8 @@
-"""The reports, over the regional tables made from the test tables."""
+"""The reports, over the regional tables made from the test tables.
+
+Filling postal codes changes no other column, so reports that do not read them run on the
+venues as gathered; their SQL runs on the filled table.
+"""
 
 from __future__ import annotations
 
@@ -36,7 +40,7 @@ def report_venue_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY name ORDER BY total DESC, name LIMIT 30
 """)
 def report_venue_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.venue_names(venues_clean(spark, sf_dir))
+    return reports.venue_names(venues_table(spark, sf_dir))
 
 
 @query(f"""
@@ -44,7 +48,7 @@ def report_venue_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE garito_kind = 'restaurantes' GROUP BY name ORDER BY total DESC, name LIMIT 15
 """)
 def report_restaurant_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.venue_names(venues_clean(spark, sf_dir), "restaurantes", 15)
+    return reports.venue_names(venues_table(spark, sf_dir), "restaurantes", 15)
 
 
 @query(f"""
@@ -52,7 +56,7 @@ def report_restaurant_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE garito_kind = 'cafeterias' GROUP BY county ORDER BY total DESC, county LIMIT 10
 """)
 def report_counties_by_cafes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.counties_by_venues(venues_clean(spark, sf_dir))
+    return reports.counties_by_venues(venues_table(spark, sf_dir))
 
 
 @query(f"""
@@ -64,7 +68,7 @@ def report_counties_by_cafes(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY city ORDER BY total DESC, city LIMIT 30
 """)
 def report_cities_by_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.cities_by_venues(venues_clean(spark, sf_dir))
+    return reports.cities_by_venues(venues_table(spark, sf_dir))
 
 
 @query(f"""
@@ -177,13 +181,13 @@ _MINIMUM = 5_000_000
 @query(_rates_sql())
 def report_venue_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = population_table(spark, sf_dir)
-    return reports.highest_venue_rates(people, venues_clean(spark, sf_dir))
+    return reports.highest_venue_rates(people, venues_table(spark, sf_dir))
 
 
 @query(_rates_sql(f"WHERE p.total_population >= {_MINIMUM}"))
 def report_venue_rates_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = population_table(spark, sf_dir)
-    return reports.highest_venue_rates(people, venues_clean(spark, sf_dir), _MINIMUM)
+    return reports.highest_venue_rates(people, venues_table(spark, sf_dir), _MINIMUM)
 
 
 @query(shapes.ONE_POSTAL_CODE)

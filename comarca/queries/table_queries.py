@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comarca.operators import audit, find_dupes, null_counts
+from comarca.operators import audit
 from comarca.plans import fixed, tables
+from comarca.plans.checks import REQUIRED, key_dupes, key_nulls
+from comarca.plans.run import staged
 from comarca.queries import shapes
 from comarca.queries.registry import query
 
@@ -30,15 +32,13 @@ def postal_codes_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(shapes.CLEAN_VENUES)
 def venues_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.clean_venues(venues_table(spark, sf_dir))
+    """Gathered once into the scratch folder; the lookup and the repair read it from there."""
+    return tables.clean_venues(staged(spark, venues_table(spark, sf_dir), "venues"))
 
 
-_VENUE_KEYS = ["name", "county", "city", "garito_kind", "postal_code"]
-
-
-@query(_null_counts_sql(shapes.VENUES, _VENUE_KEYS))
+@query(_null_counts_sql(shapes.VENUES, REQUIRED["garitos"]))
 def venues_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return null_counts(venues_table(spark, sf_dir), _VENUE_KEYS)
+    return key_nulls(venues_table(spark, sf_dir), "garitos")
 
 
 @query(shapes.SOCIAL)
@@ -56,9 +56,9 @@ def social_clean_counties_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.clean_social(social_table(spark, sf_dir), canonicalise_first=True)
 
 
-@query(_null_counts_sql(shapes.SOCIAL, tables.SOCIAL_KEY))
+@query(_null_counts_sql(shapes.SOCIAL, REQUIRED["social"]))
 def social_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return null_counts(social_table(spark, sf_dir), tables.SOCIAL_KEY)
+    return key_nulls(social_table(spark, sf_dir), "social")
 
 
 @query(f"""
@@ -66,7 +66,7 @@ def social_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'cleaned', count(*) FROM ({shapes.CLEAN_SOCIAL})
 """)
 def social_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    social = social_table(spark, sf_dir)
+    social = staged(spark, social_table(spark, sf_dir), "social")
     return audit([("gathered", social), ("cleaned", tables.clean_social(social))])
 
 
@@ -80,12 +80,9 @@ def cultural_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.clean_cultural(cultural_table(spark, sf_dir))
 
 
-_CULTURAL_KEYS = ["name", "county", "city", "cultural_kind"]
-
-
-@query(_null_counts_sql(shapes.CULTURAL, _CULTURAL_KEYS))
+@query(_null_counts_sql(shapes.CULTURAL, REQUIRED["cultural"]))
 def cultural_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return null_counts(cultural_table(spark, sf_dir), _CULTURAL_KEYS)
+    return key_nulls(cultural_table(spark, sf_dir), "cultural")
 
 
 @query(f"""
@@ -93,7 +90,7 @@ def cultural_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'cleaned', count(*) FROM ({shapes.CLEAN_CULTURAL})
 """)
 def cultural_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cultural = cultural_table(spark, sf_dir)
+    cultural = staged(spark, cultural_table(spark, sf_dir), "cultural")
     return audit([("gathered", cultural), ("cleaned", tables.clean_cultural(cultural))])
 
 
@@ -125,19 +122,16 @@ def population_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.population(shapes.population_source(spark, sf_dir))
 
 
-_POPULATION_KEYS = ["county", "city", *fixed.AGE_BUCKETS, fixed.TOTAL_POPULATION]
-
-
-@query(_null_counts_sql(shapes.POPULATION, _POPULATION_KEYS))
+@query(_null_counts_sql(shapes.POPULATION, REQUIRED["population"]))
 def population_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return null_counts(population_table(spark, sf_dir), _POPULATION_KEYS)
+    return key_nulls(population_table(spark, sf_dir), "population")
 
 
 @query(f"""
     SELECT city, count(*) AS "count" FROM ({shapes.POPULATION}) GROUP BY city HAVING count(*) > 1
 """)
 def population_dupes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_dupes(population_table(spark, sf_dir), ["city"])
+    return key_dupes(population_table(spark, sf_dir), "population")
 
 
 @query(f"""

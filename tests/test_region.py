@@ -148,19 +148,19 @@ def location(tmp_path_factory):
         text = "\n".join([header, *[venue_row(kind, *entry) for entry in entries]]) + "\n"
         (folder / f"{kind}.csv").write_bytes(text.encode("iso-8859-1"))
     text = "\n".join(ASSOCIATIONS) + "\n"
-    (folder / "associations.csv").write_bytes(text.encode("iso-8859-1"))
+    (folder / fixed.ASSOCIATION_FILE).write_bytes(text.encode("iso-8859-1"))
     clubs = [
         line(["CYA/1", name, address, county, city, code, "", "", "", "", "", "", sports])
         for name, address, county, city, code, sports in CLUBS
     ]
     text = "\n".join([line(CLUB_HEADER), *clubs]) + "\n"
-    (folder / "clubs.csv").write_bytes(text.encode("iso-8859-1"))
+    (folder / fixed.SPORTS_CLUB_FILE).write_bytes(text.encode("iso-8859-1"))
     for kind, elements in {fixed.MUSEUMS: MUSEUM_ELEMENTS, fixed.LIBRARIES: LIBRARY_ELEMENTS}.items():
         document = {"document": {"date": "2021-03-26", "list": elements}}
         text = json.dumps(document, ensure_ascii=False, indent=1)
         (folder / f"{kind}.json").write_text(text, encoding="utf-8")
     text = "\n".join(["Municipios;Sexo;Edad (año a año);Total", *map(";".join, POPULATION)]) + "\n"
-    (folder / "population.csv").write_text(text, encoding="utf-8")
+    (folder / fixed.POPULATION_FILE).write_text(text, encoding="utf-8")
     garbled = text.replace("24001  Ñandú Álava Éxito", "24001  Ñandú Álava Éxito".encode().decode("latin-1"))
     (folder / "population garbled.csv").write_text(garbled, encoding="utf-8")
     return f"{folder}/"
@@ -170,12 +170,7 @@ def location(tmp_path_factory):
 def target(spark, location, tmp_path_factory):
     """All tables, built and stored once."""
     folder = f"{tmp_path_factory.mktemp('tables')}/"
-    run.build_venues(spark, location, ["bares.csv", "restaurantes.csv", "cafeterias.csv"], folder)
-    run.build_social(spark, location, "associations.csv", "clubs.csv", folder)
-    run.build_cultural(
-        spark, location, [f"{fixed.LIBRARIES}.json", f"{fixed.MUSEUMS}.json"], folder
-    )
-    run.build_population(spark, location, "population.csv", folder)
+    run.build_region(spark, location, folder)
     return folder
 
 
@@ -202,8 +197,7 @@ def test_stored_schemas(stored):
 
 
 def test_venues_are_gathered_and_repaired(spark, location, stored):
-    files = ["bares.csv", "restaurantes.csv", "cafeterias.csv"]
-    gathered = tables.load_venues(spark, location, files)
+    gathered = tables.load_venues(spark, location, fixed.VENUE_FILES)
     repaired = stored("garitos").select(gathered.columns)
     before, after = rows(gathered), rows(repaired)
     assert len(before) == len(after) == 14
@@ -244,7 +238,7 @@ def test_venue_reports(stored):
     groups = [tuple(r) for r in reports.venue_groups(venues, 2).collect()]
     assert groups == [
         ("EL SOL", "ávila", "Arenal", "bares", 2),
-        ("BAR DOS", "burgos", "Ribera", "bares", 1),
+        ('BAR "Q"', "zamora", "Villa", "bares", 1),
     ]
     assert [tuple(r) for r in reports.venue_names(venues, k=2).collect()] == [
         ("EL SOL", 3),
@@ -267,7 +261,7 @@ def test_venue_reports(stored):
 
 
 def test_social_cleanup(spark, location, stored):
-    gathered = tables.load_social(spark, location, "associations.csv", "clubs.csv")
+    gathered = tables.load_social(spark, location, fixed.ASSOCIATION_FILE, fixed.SPORTS_CLUB_FILE)
     assert gathered.count() == 15
     assert rows(reports.voided_social(gathered).select("social_kind")) == [
         ("association",),
@@ -292,7 +286,7 @@ def test_social_cleanup(spark, location, stored):
 
 
 def test_counties_first_merges_the_spellings(spark, location):
-    gathered = tables.load_social(spark, location, "associations.csv", "clubs.csv")
+    gathered = tables.load_social(spark, location, fixed.ASSOCIATION_FILE, fixed.SPORTS_CLUB_FILE)
     cleaned = tables.clean_social(gathered, canonicalise_first=True)
     assert rows(cleaned.where("name = 'PEÑA UNO'").select("address")) == [("C/ 1",)]
 
@@ -314,8 +308,7 @@ def test_social_reports(stored):
 
 
 def test_cultural(spark, location, stored):
-    files = [f"{fixed.LIBRARIES}.json", f"{fixed.MUSEUMS}.json"]
-    gathered = tables.load_cultural(spark, location, files)
+    gathered = tables.load_cultural(spark, location, fixed.CULTURAL_FILES)
     libraries = gathered.where(gathered.cultural_kind == fixed.LIBRARIES).drop("cultural_kind")
     assert rows(libraries) == [
         ("Biblioteca", "C/ 1", "Burgos", "Ribera", None),
@@ -383,13 +376,13 @@ def test_population(stored):
 
 def test_population_names_garbled_in_the_file_are_repaired(spark, location):
     repaired = tables.load_population(spark, location, "population garbled.csv")
-    plain = tables.load_population(spark, location, "population.csv")
+    plain = tables.load_population(spark, location, fixed.POPULATION_FILE)
     assert rows(repaired) == rows(plain)
 
 
 def test_population_in_the_wrong_encoding_is_refused(spark, location):
     with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
-        tables.load_population(spark, location, "population.csv", encoding="ISO-8859-1")
+        tables.load_population(spark, location, fixed.POPULATION_FILE, encoding="ISO-8859-1")
 
 
 def test_population_checks_and_reports(stored):
@@ -423,6 +416,6 @@ def test_venue_rates(stored):
 
 
 def test_sources_are_read_as_text(spark, location):
-    clubs = read_delimited(spark, location + "clubs.csv")
+    clubs = read_delimited(spark, location + fixed.SPORTS_CLUB_FILE)
     assert set(dict(clubs.drop("_c13").dtypes).values()) == {"string"}
     assert clubs.where("`C.Postal` like '09%'").count() == 3
