@@ -25,8 +25,8 @@ def unique_lookup(dimension: DataFrame, keys: Sequence[str], value: str) -> Data
     Dimension rows are counted: a key listed twice is ambiguous even if both rows agree, so
     that a city name found in two counties gives no answer.
     """
-    grouped = dimension.groupBy(*keys).agg(F.count(value).alias("known"), F.max(value).alias(value))
-    return grouped.where(F.col("known") == 1).drop("known")
+    grouped = dimension.groupBy(*keys).agg(F.count(value).alias("_known"), F.max(value).alias(value))
+    return grouped.where(F.col("_known") == 1).drop("_known")
 
 
 def fill_from_lookup(
@@ -47,14 +47,14 @@ def fill_from_lookup(
     row_salt = F.pmod(F.xxhash64(*row), F.lit(salts))
     answers = lookup.select(
         *keys,
-        F.col(value).alias("answer"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"),
+        F.col(value).alias("_answer"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt"),
     )
     filled = (
         df.where(fillable)
-        .withColumn("salt", row_salt)
-        .join(answers, [*keys, "salt"], "left")
-        .withColumn(value, F.col("answer"))
+        .withColumn("_salt", row_salt)
+        .join(answers, [*keys, "_salt"], "left")
+        .withColumn(value, F.col("_answer"))
     )
     return df.where(~fillable).unionByName(filled.select(*df.columns))
 

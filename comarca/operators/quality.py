@@ -54,9 +54,9 @@ def dedup(
     payload = [c for c in first if c not in keys] + rest
     if not payload:
         return df.select(*keys).distinct()
-    survivor = F.min(F.struct(*payload)).alias("survivor")
+    survivor = F.min(F.struct(*payload)).alias("_survivor")
     kept = df.groupBy(*keys).agg(survivor)
-    return kept.select(*keys, "survivor.*").select(*df.columns)
+    return kept.select(*keys, "_survivor.*").select(*df.columns)
 
 
 def audit(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
@@ -108,28 +108,31 @@ def stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, count, unique, top, freq) per column, exact, from one scan.
+    """(column, count, unique, top, freq) per column, exact, in one job.
 
-    The table is turned into (position, value) pairs whose counts are partially aggregated
-    before the shuffle; no column's values are gathered in one task. Ties for ``top`` go to
-    the smallest value.
+    Each column's values are counted on their own, with partial counts before the shuffle
+    and one row per task after it. On a stored table every scan reads a single column, and
+    a column of unique values does not crowd out the others' partial counts; a table that
+    is expensive to compute should be stored first. Ties for ``top`` go to the smallest
+    value.
     """
-    columns = list(columns or df.columns)
-    cells = F.posexplode(F.array(*[F.col(name).cast("string") for name in columns]))
-    pairs = df.select(cells.alias("position", "value"))
-    counted = pairs.groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
     known = F.col("value").isNotNull()
     best = F.min(F.when(known, F.struct((-F.col("n")).alias("rank"), "value")))
-    summary = counted.groupBy("position").agg(
-        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("count"),
-        F.count("value").alias("unique"),
-        best.alias("best"),
-    )
-    names = F.array(*[F.lit(name) for name in columns])
-    return summary.select(
-        F.get(names, F.col("position")).alias("column"),
-        "count",
-        "unique",
-        F.col("best.value").alias("top"),
-        (-F.col("best.rank")).alias("freq"),
-    )
+
+    def summary(name: str) -> DataFrame:
+        values = df.select(F.col(name).cast("string").alias("value"))
+        counted = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+        found = counted.agg(
+            F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("count"),
+            F.count("value").alias("unique"),
+            best.alias("best"),
+        )
+        return found.select(
+            F.lit(name).alias("column"),
+            "count",
+            "unique",
+            F.col("best.value").alias("top"),
+            (-F.col("best.rank")).alias("freq"),
+        )
+
+    return reduce(DataFrame.unionByName, [summary(name) for name in columns or df.columns])

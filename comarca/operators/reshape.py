@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,5 +109,5 @@ def bucket_sums(
         F.sum(F.when(in_range(low, high), F.col(value_column)).otherwise(F.lit(0))).alias(name)
         for name, (low, high) in buckets.items()
     ]
-    summed = df.groupBy(*keys).agg(*sums)
-    return summed.withColumn(total, sum((F.col(n) for n in list(buckets)[1:]), F.col(next(iter(buckets)))))
+    all_buckets = reduce(Column.__add__, [F.col(name) for name in buckets])
+    return df.groupBy(*keys).agg(*sums).withColumn(total, all_buckets)

@@ -28,6 +28,30 @@ CULTURAL_FILES = [
 ]
 POPULATION_FILE = "Cities population per gender age.csv"
 
+# Source header per output column.
+VENUE_COLUMNS = {
+    "name": "Nombre",
+    "address": "Dirección",
+    "county": "Provincia",
+    "city": "Municipio",
+    "postal_code": "C.Postal",
+}
+ASSOCIATION_COLUMNS = {
+    "name": "Asociación",
+    "address": "Domicilio",
+    "county": "Provincia",
+    "city": "Municipio",
+    "postal_code": "C_Postal",
+}
+SPORTS_CLUB_COLUMNS = {
+    "name": "Nombre",
+    "address": "Domicilio",
+    "county": "Provincia",
+    "city": "Localidad",
+    "postal_code": "C.Postal",
+    "sports": "Deportes",
+}
+
 # Venue kinds, named after their source files.
 BARS = "bares"
 RESTAURANTS = "restaurantes"
@@ -65,6 +89,10 @@ CULTURAL_COLUMNS = {
     "postal_code": "CodigoPostal",
 }
 
+# The county and the city the reports look at unless told otherwise.
+REPORT_COUNTY = "burgos"
+REPORT_CITY = "Aranda de Duero"
+
 # Population file: headers and the values that mark both sexes and all ages.
 MUNICIPALITY = "Municipios"
 SEX = "Sexo"

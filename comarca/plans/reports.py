@@ -46,7 +46,7 @@ def venues_per_city(venues: DataFrame, keys: Sequence[str] = ("city",)) -> DataF
     return count_matrix(venues, keys, "garito_kind", fixed.VENUE_KINDS, "address")
 
 
-def cities_by_venues(venues: DataFrame, county: str = "burgos", k: int = 30) -> DataFrame:
+def cities_by_venues(venues: DataFrame, county: str = fixed.REPORT_COUNTY, k: int = 30) -> DataFrame:
     """Cities of one county by venues."""
     chosen = venues.where(F.col("county") == county)
     return top_k(venues_per_city(chosen), "total", k, ["city"])
@@ -65,7 +65,7 @@ def counties(df: DataFrame) -> DataFrame:
 
 
 def sports_by_associations(
-    social: DataFrame, county: str = "burgos", k: int = 20, drop_empty: bool = False
+    social: DataFrame, county: str = fixed.REPORT_COUNTY, k: int = 20, drop_empty: bool = False
 ) -> DataFrame:
     """Sports of one county by number of clubs listing them.
 
@@ -94,7 +94,7 @@ def museums(cultural: DataFrame) -> DataFrame:
     return cultural.where(F.col("cultural_kind").contains(fixed.MUSEUM_WORD))
 
 
-def museums_in_city(cultural: DataFrame, city: str = "Aranda de Duero", k: int = 5) -> DataFrame:
+def museums_in_city(cultural: DataFrame, city: str = fixed.REPORT_CITY, k: int = 5) -> DataFrame:
     chosen = museums(cultural).where(F.col("city") == city).select("name", "address")
     return top_k(chosen, "name", k, ["address"], descending=False)
 

@@ -33,22 +33,18 @@ from comarca.sources import (
 )
 
 
-# Venues ------------------------------------------------------------------------------
+def _columns(headers: Mapping[str, str]) -> dict[str, Column]:
+    """Output column -> source column. The county is a key, so it is lower-cased."""
+    found = {name: F.col(f"`{header}`") for name, header in headers.items()}
+    return {**found, "county": F.lower(found["county"])}
 
 
-def _venue_columns() -> dict[str, Column]:
-    return {
-        "name": F.col("Nombre"),
-        "address": F.col("Dirección"),
-        "county": F.lower("Provincia"),
-        "city": F.col("Municipio"),
-        "postal_code": F.col("`C.Postal`"),
-    }
+# Venues ------------------------------------------------------------------------------
 
 
 def venues(sources: Mapping[str, DataFrame]) -> DataFrame:
     """One table of all venues; ``sources`` maps kind to source."""
-    parts = [(source, _venue_columns(), kind) for kind, source in sources.items()]
+    parts = [(source, _columns(fixed.VENUE_COLUMNS), kind) for kind, source in sources.items()]
     return ingest_tagged(parts, "garito_kind")
 
 
@@ -83,21 +79,10 @@ def clean_venues(
 def social(associations: DataFrame, sports_clubs: DataFrame) -> DataFrame:
     """Associations and sports clubs as one table."""
     association_columns = {
-        "name": F.col("Asociación"),
-        "address": F.col("Domicilio"),
-        "county": F.lower("Provincia"),
-        "city": F.col("Municipio"),
-        "postal_code": F.col("C_Postal"),
+        **_columns(fixed.ASSOCIATION_COLUMNS),
         "sports": F.lit(fixed.NO_SPORTS),
     }
-    club_columns = {
-        "name": F.col("Nombre"),
-        "address": F.col("Domicilio"),
-        "county": F.lower("Provincia"),
-        "city": F.col("Localidad"),
-        "postal_code": F.col("`C.Postal`"),
-        "sports": F.col("Deportes"),
-    }
+    club_columns = _columns(fixed.SPORTS_CLUB_COLUMNS)
     return ingest_tagged(
         [
             (associations, association_columns, fixed.ASSOCIATION),

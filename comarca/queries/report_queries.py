@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from comarca.plans import reports, tables
+from comarca.plans import reports
+from comarca.plans.run import staged
 from comarca.queries import shapes
 from comarca.queries.operator_queries import _profile_sql
 from comarca.queries.registry import query
@@ -206,9 +207,9 @@ def _same(columns: list[str]) -> dict[str, str]:
     )
 )
 def report_venue_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.table_profile(venues_clean(spark, sf_dir))
+    return reports.table_profile(staged(spark, venues_clean(spark, sf_dir), "filled"))
 
 
 @query(_profile_sql(f"({shapes.POSTAL_CODES})", _same(["county", "city", "postal_code"])))
 def report_postal_code_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.table_profile(tables.postal_codes(venues_table(spark, sf_dir)))
+    return reports.table_profile(staged(spark, postal_codes_table(spark, sf_dir), "codes"))

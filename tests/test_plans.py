@@ -121,11 +121,13 @@ def test_dedup_sends_one_row_per_key_and_task(spark):
     assert dedup(df, ["city"]).count() == 1
 
 
-def test_profile_scans_once_and_aggregates_before_the_shuffle(spark):
+def test_profile_reads_each_column_once_and_counts_before_the_shuffle(spark):
     df = spark.read.parquet(f"{SF_DIR}/part.parquet")
     text = plan(profile(df))
-    assert text.count("FileScan") == 1
-    assert text.count("Exchange hashpartitioning") == 2
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert sorted(schemas) == sorted(f"{name}:{kind}" for name, kind in df.dtypes)
+    assert text.count("Exchange hashpartitioning") == len(df.columns)
+    assert text.count("partial_count(1)") == len(df.columns)
     assert "Expand" not in text
 
 
