@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comarca.functions import code_to_label, has_prefix, leading_int, repair_text, strip_code, to_int
+from comarca.functions import code_to_label, leading_int, repair_text, strip_code, to_int
 from comarca.operators import (
     attributes_long,
     attributes_wide,
@@ -164,14 +164,16 @@ def population(raw: DataFrame) -> DataFrame:
     """People per county and city in age ranges, from one row per city, sex and age.
 
     Keeps the region's municipalities (by code prefix), both sexes together, single ages.
+    The prefix is looked up once per row: text files have no statistics to push it to.
     """
     municipality = F.col(fixed.MUNICIPALITY)
+    code = F.substring(municipality, 1, 2)
     people = raw.where(
-        has_prefix(municipality, fixed.COUNTY_OF_CODE)
-        & (F.col(fixed.SEX) == fixed.BOTH_SEXES)
+        (F.col(fixed.SEX) == fixed.BOTH_SEXES)
         & (F.col(f"`{fixed.AGE}`") != fixed.ALL_AGES)
+        & code.isin(list(fixed.COUNTY_OF_CODE))
     ).select(
-        code_to_label(F.substring(municipality, 1, 2), fixed.COUNTY_OF_CODE).alias("county"),
+        code_to_label(code, fixed.COUNTY_OF_CODE).alias("county"),
         repair_text(strip_code(municipality)).alias("city"),
         leading_int(f"`{fixed.AGE}`").alias("age"),
         to_int(fixed.PEOPLE).alias("population"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comarca.functions import (
@@ -40,7 +40,7 @@ from comarca.operators import (
     unique_lookup,
     value_sets,
 )
-from comarca.queries.registry import query, table
+from comarca.queries.registry import profile_sql, query, table
 from comarca.sources import (
     ATTRIBUTE_DOCUMENT,
     ATTRIBUTE_PATH,
@@ -88,7 +88,7 @@ def delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts through delimited text: dotted header, padded code, quotes, separators, nulls."""
     written = table(spark, sf_dir, "part").select(
         F.lpad(F.col("p_partkey").cast("string"), 12, "0").alias("Part.Code"),
-        F.concat(F.col("p_name"), F.lit(' "'), F.col("p_brand"), F.lit('"; '), F.col("p_type")).alias("Label"),
+        F.concat("p_name", F.lit(' "'), "p_brand", F.lit('"; '), "p_type").alias("Label"),
         F.when(F.col("p_size") > 10, F.col("p_type")).alias("Kind"),
     )
     path = scratch_path(spark, "delimited")
@@ -106,7 +106,7 @@ def _part_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     different slots.
     """
 
-    def attribute(name: str, slot: str, value) -> F.Column:
+    def attribute(name: str, slot: str, value: Column) -> Column:
         return F.struct(
             F.lit(name).alias("name"),
             *[
@@ -388,23 +388,8 @@ def column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _profile_sql(source: str, columns: dict[str, str]) -> str:
-    """SQL for a profile, column by column."""
-    parts = [
-        f"""
-        SELECT '{name}' AS "column", CAST(coalesce(sum(n), 0) AS BIGINT) AS "count",
-               count(*) AS "unique",
-               arg_min(value, (-n, value)) AS top, max(n) AS freq
-        FROM (SELECT {expression} AS value, count(*) AS n FROM {source} GROUP BY 1)
-        WHERE value IS NOT NULL
-        """
-        for name, expression in columns.items()
-    ]
-    return " UNION ALL ".join(parts)
-
-
 @query(
-    _profile_sql(
+    profile_sql(
         "part",
         {
             "p_partkey": "CAST(p_partkey AS VARCHAR)",

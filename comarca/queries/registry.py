@@ -25,3 +25,18 @@ def query(sql: str) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def profile_sql(source: str, columns: dict[str, str]) -> str:
+    """SQL for a profile, column by column."""
+    parts = [
+        f"""
+        SELECT '{name}' AS "column", CAST(coalesce(sum(n), 0) AS BIGINT) AS "count",
+               count(*) AS "unique",
+               arg_min(value, (-n, value)) AS top, max(n) AS freq
+        FROM (SELECT {expression} AS value, count(*) AS n FROM {source} GROUP BY 1)
+        WHERE value IS NOT NULL
+        """
+        for name, expression in columns.items()
+    ]
+    return " UNION ALL ".join(parts)

@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from comarca.plans import reports
 from comarca.plans.run import staged
 from comarca.queries import shapes
-from comarca.queries.operator_queries import _profile_sql
-from comarca.queries.registry import query
+from comarca.queries.registry import profile_sql, query
 from comarca.queries.table_queries import (
     cultural_clean,
     cultural_table,
@@ -201,7 +200,7 @@ def _same(columns: list[str]) -> dict[str, str]:
 
 
 @query(
-    _profile_sql(
+    profile_sql(
         f"({shapes.CLEAN_VENUES})",
         _same(["name", "address", "county", "city", "postal_code", "garito_kind"]),
     )
@@ -210,6 +209,6 @@ def report_venue_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.table_profile(staged(spark, venues_clean(spark, sf_dir), "filled"))
 
 
-@query(_profile_sql(f"({shapes.POSTAL_CODES})", _same(["county", "city", "postal_code"])))
+@query(profile_sql(f"({shapes.POSTAL_CODES})", _same(["county", "city", "postal_code"])))
 def report_postal_code_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.table_profile(staged(spark, postal_codes_table(spark, sf_dir), "codes"))

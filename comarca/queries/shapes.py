@@ -47,13 +47,13 @@ def code(place: Column) -> Column:
     return F.concat(_pick(CODES, place), F.lpad(_text(place), 3, "0"))
 
 
-def _sql_pick(values: list[str], place: str) -> str:
+def sql_pick(values: list[str], place: str) -> str:
     listed = ", ".join(f"'{value}'" for value in values)
     return f"([{listed}])[CAST(({place}) % {len(values)} + 1 AS INTEGER)]"
 
 
 def sql_county(place: str) -> str:
-    return f"lower({_sql_pick(SPELLINGS, place)})"
+    return f"lower({sql_pick(SPELLINGS, place)})"
 
 
 def sql_city(place: str) -> str:
@@ -61,7 +61,7 @@ def sql_city(place: str) -> str:
 
 
 def sql_code(place: str) -> str:
-    return f"({_sql_pick(CODES, place)} || lpad(CAST({place} AS VARCHAR), 3, '0'))"
+    return f"({sql_pick(CODES, place)} || lpad(CAST({place} AS VARCHAR), 3, '0'))"
 
 
 # Venues: parts as bars, customers as restaurants, suppliers as cafés -------------------
@@ -105,13 +105,14 @@ def venue_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {fixed.BARS: bars, fixed.RESTAURANTS: restaurants, fixed.CAFES: cafes}
 
 
-_BRAND = "(CAST(substr(p_brand, 7, 2) AS INTEGER) - 1)"
+# The place of a part, in SQL.
+BRAND = "(CAST(substr(p_brand, 7, 2) AS INTEGER) - 1)"
 
 VENUES = f"""
     SELECT DISTINCT upper(p_name) AS name,
            CASE WHEN p_type <> 'PROMO' THEN p_type || ' ' || CAST(p_size AS VARCHAR) END AS address,
-           {sql_county(_BRAND)} AS county, {sql_city(_BRAND)} AS city,
-           CASE WHEN p_size > 5 THEN {sql_code(_BRAND)} END AS postal_code,
+           {sql_county(BRAND)} AS county, {sql_city(BRAND)} AS city,
+           CASE WHEN p_size > 5 THEN {sql_code(BRAND)} END AS postal_code,
            'bares' AS garito_kind
     FROM part
     UNION ALL
@@ -180,7 +181,7 @@ SOCIAL = f"""
     SELECT DISTINCT CASE WHEN c_acctbal < 0 THEN 'ANULADO' ELSE 'PEÑA ' || c_mktsegment END AS name,
            c_name AS address,
            CASE WHEN c_nationkey <> 24
-                THEN lower({_sql_pick(ASSOCIATION_SPELLINGS, 'c_nationkey')}) END AS county,
+                THEN lower({sql_pick(ASSOCIATION_SPELLINGS, 'c_nationkey')}) END AS county,
            upper({sql_city('c_nationkey')}) AS city, {sql_code('c_nationkey')} AS postal_code,
            'N/A' AS sports, 'association' AS social_kind
     FROM customer
@@ -281,14 +282,14 @@ def cultural_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 CULTURAL = f"""
     SELECT DISTINCT 'Biblioteca ' || p_name AS name, CASE WHEN p_type <> 'PROMO' THEN p_type END AS address,
-           {_sql_pick(SPELLINGS, _BRAND)} AS county, {sql_city(_BRAND)} AS city,
-           {sql_code(_BRAND)} AS postal_code, '{fixed.LIBRARIES}' AS cultural_kind
+           {sql_pick(SPELLINGS, BRAND)} AS county, {sql_city(BRAND)} AS city,
+           {sql_code(BRAND)} AS postal_code, '{fixed.LIBRARIES}' AS cultural_kind
     FROM part
     UNION ALL
     SELECT DISTINCT 'Museo ' || CASE c_mktsegment WHEN 'BUILDING' THEN 'del Vino'
                 WHEN 'FURNITURE' THEN 'del queso' ELSE lower(c_mktsegment) END,
            CASE WHEN c_acctbal >= 0 THEN c_name END,
-           {_sql_pick(SPELLINGS, 'c_nationkey')}, {sql_city('c_nationkey')},
+           {sql_pick(SPELLINGS, 'c_nationkey')}, {sql_city('c_nationkey')},
            {sql_code('c_nationkey')}, '{fixed.MUSEUMS}'
     FROM customer
 """
@@ -298,6 +299,17 @@ CLEAN_CULTURAL = _sql_clean_counties(CULTURAL)
 # Population: order lines as one row per municipality, sex and age -----------------------
 
 
+def _dotted(number: Column) -> Column:
+    """A whole number with thousands dots."""
+    below = F.lpad(_text(number % 1000), 3, "0")
+    millions = F.replace(F.format_number(number, 0), F.lit(","), F.lit("."))
+    return (
+        F.when(number < 1000, _text(number))
+        .when(number < 1_000_000, F.concat(_text(F.floor(number / 1000)), F.lit("."), below))
+        .otherwise(millions)
+    )
+
+
 def population_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places 0 to 24 by supplier; 24 lies outside the region and every other name is garbled."""
     place = F.col("l_suppkey") % 25
@@ -306,7 +318,7 @@ def population_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     garbled = [name.encode("utf-8").decode("iso-8859-1") for name in clean]
     years = (F.col("l_quantity") * 2).cast("int")
-    people = F.replace(F.format_number(F.floor("l_extendedprice"), 0), F.lit(","), F.lit("."))
+    people = _dotted(F.floor("l_extendedprice"))
     return table(spark, sf_dir, "lineitem").select(
         F.when(F.col("l_linestatus") == "O", _pick(garbled, place))
         .otherwise(_pick(clean, place))

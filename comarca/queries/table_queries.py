@@ -94,22 +94,35 @@ def cultural_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit([("gathered", cultural), ("cleaned", tables.clean_cultural(cultural))])
 
 
-@query("""
-    SELECT library, library_id, name, valor, parent, string, text FROM (
-        SELECT p_partkey AS library, 0 AS library_id, 'Identificador' AS name,
-               CAST(p_partkey AS VARCHAR) AS valor, NULL AS parent, NULL AS string, NULL AS text
-        FROM part
-        UNION ALL SELECT p_partkey, 0, 'NombreOrganismo', NULL, NULL, 'Biblioteca ' || p_name, NULL FROM part
-        UNION ALL SELECT p_partkey, 0, 'Descripcion_es', NULL, NULL, NULL, NULL FROM part
-        UNION ALL SELECT p_partkey, 0, 'Calle', NULL, NULL, CASE WHEN p_type <> 'PROMO' THEN p_type END, NULL FROM part
-        UNION ALL SELECT p_partkey, 0, 'CodigoPostal', NULL, NULL, """ + shapes.sql_code(shapes._BRAND) + """, NULL FROM part
-        UNION ALL SELECT p_partkey, 0, 'Telefono', '[]', NULL, NULL, NULL FROM part
-        UNION ALL SELECT p_partkey, 0, 'Localidad_NombreLocalidad', NULL, """ + shapes.sql_city(shapes._BRAND) + """, NULL, NULL FROM part
-        UNION ALL SELECT p_partkey, 0, 'Directorio Superior', """ + shapes._sql_pick(shapes.SPELLINGS, shapes._BRAND) + """, NULL, NULL, NULL FROM part
-        UNION ALL SELECT p_partkey, 0, 'Directorio Superior', NULL, NULL, NULL, 'Ñora' FROM part
-        UNION ALL SELECT p_partkey, 2, 'Descripcion_es', NULL, NULL, NULL, NULL FROM part
-    )
-""")
+def _library_attribute_sql() -> str:
+    """Per attribute: name, slot that holds the value, value; element 0 but for the last."""
+    listed = [
+        ("Identificador", "valor", "CAST(p_partkey AS VARCHAR)"),
+        ("NombreOrganismo", "string", "'Biblioteca ' || p_name"),
+        ("Descripcion_es", "valor", "NULL"),
+        ("Calle", "string", "CASE WHEN p_type <> 'PROMO' THEN p_type END"),
+        ("CodigoPostal", "string", shapes.sql_code(shapes.BRAND)),
+        ("Telefono", "valor", "'[]'"),
+        ("Localidad_NombreLocalidad", "parent", shapes.sql_city(shapes.BRAND)),
+        ("Directorio Superior", "valor", shapes.sql_pick(shapes.SPELLINGS, shapes.BRAND)),
+        ("Directorio Superior", "text", "'Ñora'"),
+        ("Descripcion_es", "valor", "NULL"),
+    ]
+    selects = []
+    for i, (name, slot, value) in enumerate(listed):
+        element = 2 if i == len(listed) - 1 else 0
+        slots = ", ".join(
+            f"CAST({value if other == slot else 'NULL'} AS VARCHAR) AS {other}"
+            for other in ("valor", "parent", "string", "text")
+        )
+        selects.append(
+            f"SELECT p_partkey AS library, {element} AS library_id, '{name}' AS name, {slots}"
+            " FROM part"
+        )
+    return " UNION ALL ".join(selects)
+
+
+@query(_library_attribute_sql())
 def library_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All attributes of all library elements; the element without any gives no row."""
     libraries = shapes.cultural_sources(spark, sf_dir)[fixed.LIBRARIES]

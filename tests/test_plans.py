@@ -63,7 +63,9 @@ def hot_facts(spark, same_rows=False):
     """A third of the rows belong to one key; its value is missing and can be filled."""
     note = F.lit("copy") if same_rows else F.sha2(F.col("id").cast("string"), 256)
     return spark.range(60_000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 5000)).alias("city"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 5000))
+        .alias("city"),
         F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.lit("1")).alias("code"),
         note.alias("note"),
     ).repartition(16)
