@@ -40,6 +40,7 @@ from comarca.operators import (
     unique_lookup,
     value_sets,
 )
+from comarca.plans.run import staged
 from comarca.queries.registry import profile_sql, query, table
 from comarca.sources import (
     ATTRIBUTE_DOCUMENT,
@@ -340,10 +341,13 @@ def canonicalise_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
 """)
 def row_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts along a cleanup: sentinel removed, duplicates removed, categories cleaned."""
+    """Row counts along a cleanup: sentinel removed, duplicates removed, categories cleaned.
+
+    The single rows are stored once, for the two steps that count them.
+    """
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_orderstatus")
     kept = drop_sentinel(orders, "o_orderstatus", ["P"])
-    single = dedup(kept, ["o_custkey", "o_orderpriority"])
+    single = staged(spark, dedup(kept, ["o_custkey", "o_orderpriority"]), "single")
     fixes = {"1-urgent": "1-URGENT", "2-high": "2-HIGH", "3-medium": "3-MEDIUM"}
     valid = canonicalise(single, "o_orderpriority", fixes, list(fixes.values()))
     return audit(
