@@ -37,8 +37,15 @@ def build_social(
     tables.store_by_county_and_postal_code(tables.clean_social(social), target + "social/")
 
 
-def build_cultural(spark: SparkSession, location: str, files: Sequence[str], target: str) -> None:
-    cultural = tables.clean_cultural(tables.load_cultural(spark, location, files))
+def build_cultural(
+    spark: SparkSession,
+    location: str,
+    files: Sequence[str],
+    target: str,
+    whole_file: bool = True,
+) -> None:
+    gathered = tables.load_cultural(spark, location, files, whole_file)
+    cultural = tables.clean_cultural(gathered)
     tables.store_by_county_and_postal_code(cultural, target + "cultural/")
 
 

@@ -140,9 +140,16 @@ def cultural(sources: Mapping[str, DataFrame]) -> DataFrame:
     return ingest_tagged(parts, "cultural_kind")
 
 
-def load_cultural(spark: SparkSession, location: str, files: Sequence[str]) -> DataFrame:
+def load_cultural(
+    spark: SparkSession, location: str, files: Sequence[str], whole_file: bool = True
+) -> DataFrame:
     """Cultural institutions from JSON documents; the kind is the file's stem."""
-    return cultural({source_tag(name): read_documents(spark, location + name) for name in files})
+    return cultural(
+        {
+            source_tag(name): read_documents(spark, location + name, whole_file=whole_file)
+            for name in files
+        }
+    )
 
 
 def clean_cultural(cultural_table: DataFrame) -> DataFrame:

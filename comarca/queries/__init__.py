@@ -1,4 +1,11 @@
-from comarca.queries import operator_queries, report_queries, table_queries
+from comarca.queries import file_queries, operator_queries, report_queries, table_queries
 from comarca.queries.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "operator_queries", "report_queries", "table_queries"]
+__all__ = [
+    "QUERIES",
+    "SQL",
+    "file_queries",
+    "operator_queries",
+    "report_queries",
+    "table_queries",
+]

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from comarca.functions import repair_text, to_int
 from comarca.operators import (
     bucket_sums,
     count_matrix,
@@ -125,3 +126,22 @@ def test_write_and_read_back(spark, records):
     write_partitioned(df, path, ["county", "code"])
     back = read_partitioned(spark, path, SCHEMA)
     assert Counter(rows(back.select(df.columns))) == Counter(rows(df))
+
+
+letters = st.text(st.characters(codec="utf-8", exclude_characters="\x00"), max_size=40)
+
+
+@quick
+@given(st.lists(letters, max_size=50))
+def test_garbled_text_is_always_repaired(spark, texts):
+    pairs = [(text, text.encode("utf-8").decode("iso-8859-1")) for text in texts]
+    df = spark.createDataFrame(pairs, "clean string, garbled string")
+    assert df.where(repair_text("garbled") != df.clean).count() == 0
+
+
+@quick
+@given(st.lists(st.integers(-(2**31), 2**31 - 1), max_size=50))
+def test_dotted_numbers_are_parsed(spark, numbers):
+    pairs = [(n, f"{n:,}".replace(",", ".")) for n in numbers]
+    df = spark.createDataFrame(pairs, "n int, written string")
+    assert rows(df.select("n")) == rows(df.select(to_int("written")))
