@@ -3,6 +3,7 @@ from comarca.operators.clean import canonicalise, drop_sentinel
 from comarca.operators.enrich import (
     derive_dimension,
     fill_from_lookup,
+    join_spread,
     rate_per,
     unique_lookup,
 )
@@ -43,6 +44,7 @@ __all__ = [
     "fill_from_lookup",
     "find_dupes",
     "has_no_nulls",
+    "join_spread",
     "null_counts",
     "pivot_first",
     "profile",

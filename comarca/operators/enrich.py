@@ -29,32 +29,36 @@ def unique_lookup(dimension: DataFrame, keys: Sequence[str], value: str) -> Data
     return grouped.where(F.col("_known") == 1).drop("_known")
 
 
+def join_spread(
+    df: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str, salts: int = SALTS
+) -> DataFrame:
+    """Equi-join a table whose keys may be hot with a smaller one that has few rows per key.
+
+    The rows are salted and the lookup is repeated once per salt, which splits a hot key. The
+    salt is a hash of the row and of the partition it comes from: copies of one row spread
+    too, and a retried task sends its rows to the same place whatever their order. Both sides
+    get a shuffle of their own, so AQE can broadcast a lookup it has measured to be small, or
+    split a partition that is still too large. ``how`` is ``inner`` or ``left``.
+    """
+    row = [F.spark_partition_id(), *[F.col(name) for name in df.columns]]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*row), F.lit(salts)))
+    every_salt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+    repeated = lookup.withColumn("_salt", every_salt)
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
 def fill_from_lookup(
     df: DataFrame, lookup: DataFrame, keys: Sequence[str], value: str, salts: int = SALTS
 ) -> DataFrame:
     """Fill nulls of ``value`` from a lookup with unique keys; all other cells stay as they are.
 
     Only the rows that can change are joined: value missing and key known. The rest goes
-    past the join unshuffled. The joined rows are salted and the lookup is repeated once per
-    salt, which splits a hot key. The salt is a hash of the row and of the partition it comes
-    from: copies of one row spread too, and a retried task sends its rows to the same place
-    whatever their order. Both sides have a shuffle of their own, so AQE can broadcast a
-    lookup it has measured to be small, or split a partition that is still too large.
+    past the join unshuffled. Rows of a hot key are spread.
     """
     known_key = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
     fillable = F.col(value).isNull() & known_key
-    row = [F.spark_partition_id(), *[F.col(c) for c in df.columns if c != value]]
-    row_salt = F.pmod(F.xxhash64(*row), F.lit(salts))
-    answers = lookup.select(
-        *keys,
-        F.col(value).alias("_answer"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt"),
-    )
-    filled = (
-        df.where(fillable)
-        .withColumn("_salt", row_salt)
-        .join(answers, [*keys, "_salt"], "left")
-        .withColumn(value, F.col("_answer"))
+    filled = join_spread(
+        df.where(fillable).drop(value), lookup.select(*keys, value), keys, "left", salts
     )
     return df.where(~fillable).unionByName(filled.select(*df.columns))
 
@@ -72,9 +76,9 @@ def rate_per(
     """Join a dimension with per-key totals and add ``numerator`` per ``per`` of ``denominator``.
 
     Keys missing on either side are dropped. ``minimum`` keeps dimension rows whose
-    denominator reaches it, before the join. Both sides hold few rows per key.
+    denominator reaches it, before the join. Rows of a hot key are spread.
     """
     if minimum is not None:
         dimension = dimension.where(F.col(denominator) >= minimum)
-    joined = dimension.join(totals, list(keys), "inner")
+    joined = join_spread(dimension, totals, keys, "inner")
     return joined.withColumn(name, per_unit(numerator, denominator, per))

@@ -21,6 +21,7 @@ from comarca.operators import (
     fill_from_lookup,
     find_dupes,
     has_no_nulls,
+    join_spread,
     null_counts,
     pivot_first,
     profile,
@@ -323,6 +324,17 @@ def test_fill_from_lookup(venues, salts):
     assert sorted(r[:3] for r in map(str, after)) == sorted(r[:3] for r in map(str, before))
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_spread_equals_a_plain_join(spark, how):
+    df = spark.createDataFrame(
+        [("x", 1), ("x", 1), ("x", None), ("y", 2), (None, 3), ("z", 4)], "k string, v int"
+    )
+    lookup = spark.createDataFrame(
+        [("x", "a"), ("x", "b"), ("y", None), (None, "n"), ("w", "c")], "k string, t string"
+    )
+    assert rows(join_spread(df, lookup, ["k"], how)) == rows(df.join(lookup, ["k"], how))
+
+
 def test_rate_per(spark):
     people = spark.createDataFrame(
         [("x", 200), ("y", 0), ("z", 50), (None, 10)], "city string, people long"

@@ -11,6 +11,7 @@ from comarca.operators import (
     dedup,
     fill_from_lookup,
     profile,
+    rate_per,
     top_k,
     unique_lookup,
 )
@@ -98,6 +99,15 @@ def test_fill_spreads_copies_of_one_row(spark, merge_joins):
     assert len(partition_sizes(filled.where("city = 'hot'"))) >= 8
 
 
+def test_rates_spread_a_hot_city(spark, merge_joins):
+    people = hot_facts(spark).select("city", F.lit(10).cast("long").alias("people"), "note")
+    totals = count_by(hot_facts(spark), ["city"])
+    rated = rate_per(people, totals, ["city"], "total", "people")
+    assert rated.count() == 60_000
+    assert rated.where("city = 'hot' and total = 20000").count() == 20_000
+    assert max(partition_sizes(rated)) < 20_000 / 4
+
+
 def test_aqe_splits_what_the_salts_leave_hot(spark, merge_joins):
     facts = hot_facts(spark).where("code is null")
     lookup = spark.createDataFrame([("hot", "9"), ("k1", "7")], "city string, code string")
