@@ -13,10 +13,13 @@ from comarca.functions import per_unit
 SALTS = 16
 
 
+def _known(columns: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(name).isNotNull() for name in columns])
+
+
 def derive_dimension(df: DataFrame, columns: Sequence[str], required: Sequence[str]) -> DataFrame:
     """The distinct combinations of some columns found in the facts, with the required ones known."""
-    known = reduce(Column.__and__, [F.col(name).isNotNull() for name in required])
-    return df.where(known).select(*columns).distinct()
+    return df.where(_known(required)).select(*columns).distinct()
 
 
 def unique_lookup(dimension: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -38,8 +41,11 @@ def join_spread(
     salt is a hash of the row and of the partition it comes from: copies of one row spread
     too, and a retried task sends its rows to the same place whatever their order. Both sides
     get a shuffle of their own, so AQE can broadcast a lookup it has measured to be small, or
-    split a partition that is still too large. ``how`` is ``inner`` or ``left``.
+    split a partition that is still too large. ``how`` is ``inner`` or ``left``. Filters on
+    the result stay above the salt, so filter the inputs instead.
     """
+    if how == "inner":
+        df = df.where(_known(keys))
     row = [F.spark_partition_id(), *[F.col(name) for name in df.columns]]
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*row), F.lit(salts)))
     every_salt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
@@ -55,8 +61,7 @@ def fill_from_lookup(
     Only the rows that can change are joined: value missing and key known. The rest goes
     past the join unshuffled. Rows of a hot key are spread.
     """
-    known_key = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
-    fillable = F.col(value).isNull() & known_key
+    fillable = F.col(value).isNull() & _known(keys)
     filled = join_spread(
         df.where(fillable).drop(value), lookup.select(*keys, value), keys, "left", salts
     )

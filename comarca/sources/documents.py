@@ -55,6 +55,6 @@ def read_documents(
 
     With ``whole_file`` a file is one document spanning many lines, read by one task; a
     folder of files is read in parallel. Without it each line is a document and large files
-    are split.
+    are split. A document that is no JSON, or has another shape, is an error.
     """
-    return spark.read.schema(schema).json(path, multiLine=whole_file)
+    return spark.read.schema(schema).json(path, multiLine=whole_file, mode="FAILFAST")

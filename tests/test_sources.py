@@ -59,6 +59,37 @@ def test_documents_with_a_field_of_two_shapes(spark, tmp_path):
     assert rows(found) == [("a", "1"), ("b", '[{"string": "x"}]'), ("c", "[]"), ("d", None)]
 
 
+@pytest.mark.parametrize("text", ['{"document": {"list": [', '{"document": {"list": "x"}}'])
+def test_a_malformed_document_is_an_error(spark, tmp_path, text):
+    (tmp_path / "d.json").write_text(text)
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+        read_documents(spark, str(tmp_path / "d.json")).collect()
+
+
+def test_documents_one_per_line_are_split(spark, tmp_path):
+    lines = ['{"document": {"date": "%d", "list": []}}' % i for i in range(2000)]
+    (tmp_path / "d.json").write_text("\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16KB")
+    try:
+        documents = read_documents(spark, str(tmp_path / "d.json"), whole_file=False)
+        assert documents.rdd.getNumPartitions() > 1
+        assert documents.select("document.date").distinct().count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_large_delimited_files_are_split(spark, tmp_path):
+    lines = ["a;ñ", *[f"{i};ü" for i in range(5000)]]
+    (tmp_path / "d.csv").write_bytes("\n".join(lines).encode("iso-8859-1"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4KB")
+    try:
+        df = read_delimited(spark, str(tmp_path / "d.csv"))
+        assert df.rdd.getNumPartitions() > 1
+        assert df.where("`ñ` = 'ü'").select("a").distinct().count() == 5000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_source_tag():
     assert source_tag("s3a://b/in/bares.csv") == "bares"
     assert source_tag("plain") == "plain"
