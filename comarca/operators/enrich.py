@@ -46,8 +46,10 @@ def join_spread(
     """
     if how == "inner":
         df = df.where(_known(keys))
-    row = [F.spark_partition_id(), *[F.col(name) for name in df.columns]]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*row), F.lit(salts)))
+    # Spark hashes no maps.
+    hashed = [name for name, kind in df.dtypes if "map<" not in kind]
+    row_hash = F.xxhash64(F.spark_partition_id(), *hashed)
+    salted = df.withColumn("_salt", F.pmod(row_hash, F.lit(salts)))
     every_salt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
     repeated = lookup.withColumn("_salt", every_salt)
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -335,6 +335,12 @@ def test_join_spread_equals_a_plain_join(spark, how):
     assert rows(join_spread(df, lookup, ["k"], how)) == rows(df.join(lookup, ["k"], how))
 
 
+def test_fill_from_lookup_carries_any_column_type(spark):
+    df = spark.sql("select 'x' as k, string(null) as v, map('a', 1) as m, array(1, null) as l")
+    lookup = spark.createDataFrame([("x", "1")], "k string, v string")
+    assert rows(fill_from_lookup(df, lookup, ["k"], "v")) == [("x", "1", {"a": 1}, [1, None])]
+
+
 def test_rate_per(spark):
     people = spark.createDataFrame(
         [("x", 200), ("y", 0), ("z", 50), (None, 10)], "city string, people long"
