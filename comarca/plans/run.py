@@ -21,11 +21,21 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def gather_venues(spark: SparkSession, location: str, files: Sequence[str]) -> DataFrame:
+    """The venue files as one staged table."""
+    return staged(spark, tables.load_venues(spark, location, files), "venues")
+
+
+def build_postal_codes(spark: SparkSession, venues: DataFrame, target: str) -> DataFrame:
+    """The postal codes found in gathered venues, stored below ``target`` and read back."""
+    tables.store_postal_codes(tables.postal_codes(venues), target)
+    return stored_table(spark, target, "postal_codes")
+
+
 def build_venues(spark: SparkSession, location: str, files: Sequence[str], target: str) -> None:
     """Venue files to ``postal_codes/`` and ``garitos/`` below ``target``."""
-    venues = staged(spark, tables.load_venues(spark, location, files), "venues")
-    tables.store_postal_codes(tables.postal_codes(venues), target)
-    known = read_partitioned(spark, target + "postal_codes/", fixed.POSTAL_CODE_SCHEMA)
+    venues = gather_venues(spark, location, files)
+    known = build_postal_codes(spark, venues, target)
     cleaned = tables.clean_venues(venues, known)
     tables.store_by_county_and_postal_code(cleaned, target + "garitos/")
 

@@ -32,22 +32,22 @@ def _written(
     return location
 
 
-def _venue_target(spark: SparkSession, sf_dir: str) -> str:
+def _venue_files(spark: SparkSession, sf_dir: str) -> str:
     sources = shapes.venue_sources(spark, sf_dir)
-    location = _written(spark, {file: sources[source_tag(file)] for file in fixed.VENUE_FILES})
-    target = _folder(spark, "tables")
-    run.build_venues(spark, location, fixed.VENUE_FILES, target)
-    return target
+    return _written(spark, {file: sources[source_tag(file)] for file in fixed.VENUE_FILES})
 
 
 @query(shapes.CLEAN_VENUES)
 def stored_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run.stored_table(spark, _venue_target(spark, sf_dir), "garitos")
+    target = _folder(spark, "tables")
+    run.build_venues(spark, _venue_files(spark, sf_dir), fixed.VENUE_FILES, target)
+    return run.stored_table(spark, target, "garitos")
 
 
 @query(shapes.POSTAL_CODES)
 def stored_postal_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run.stored_table(spark, _venue_target(spark, sf_dir), "postal_codes")
+    venues = run.gather_venues(spark, _venue_files(spark, sf_dir), fixed.VENUE_FILES)
+    return run.build_postal_codes(spark, venues, _folder(spark, "tables"))
 
 
 @query(f"""
