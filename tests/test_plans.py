@@ -23,12 +23,24 @@ PYTHON = re.compile("ArrowEvalPython|BatchEvalPython|MapInPandas|MapInArrow|Flat
 
 
 @pytest.mark.parametrize("name", sorted(driver.queries()))
-def test_no_python_worker_and_no_cross_join(spark, name):
+def test_query_plan(spark, name):
     text = plan(driver.queries()[name](spark, SF_DIR))
     assert not PYTHON.search(text)
     assert "CartesianProduct" not in text
     assert "NestedLoopJoin" not in text
-    assert "SinglePartition" not in text or no_rows_gathered(text)
+    assert "Window" not in text
+    assert no_rows_gathered(text)
+    assert hot_keys_are_split(text)
+
+
+def hot_keys_are_split(text):
+    """Rows meet by key only after a partial aggregate, or salted."""
+    lines = [line.lstrip("+-: ") for line in text.splitlines()]
+    return all(
+        "_salt" in line or re.match("(Hash|Sort|ObjectHash)Aggregate", child)
+        for line, child in zip(lines, lines[1:], strict=False)
+        if line.startswith("Exchange hashpartitioning")
+    )
 
 
 def no_rows_gathered(text):
