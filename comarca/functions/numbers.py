@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from comarca.functions.text import _column
+from comarca.functions.text import as_column
 
 
 def to_int(
@@ -17,7 +17,7 @@ def to_int(
     data_type: str = "int",
 ) -> Column:
     """Parse ``1.204`` as 1204 and a zero token as 0; blank or malformed text gives null."""
-    column = _column(column)
+    column = as_column(column)
     digits = F.replace(column, F.lit(thousands), F.lit(""))
     return F.when(column.isin(*zero_tokens), F.lit(0).cast(data_type)).otherwise(
         digits.try_cast(data_type)
@@ -26,9 +26,9 @@ def to_int(
 
 def leading_int(column: Column | str) -> Column:
     """The number before the first blank: ``100 y más`` -> 100, ``Total`` -> null."""
-    return F.regexp_extract(_column(column), r"([0-9]*)\s+", 1).try_cast("int")
+    return F.regexp_extract(as_column(column), r"([0-9]*)\s+", 1).try_cast("int")
 
 
 def per_unit(numerator: Column | str, denominator: Column | str, per: int = 100_000) -> Column:
     """``numerator`` per ``per`` units of ``denominator`` as a double; null over zero."""
-    return F.try_divide(_column(numerator) * F.lit(per), _column(denominator))
+    return F.try_divide(as_column(numerator) * F.lit(per), as_column(denominator))

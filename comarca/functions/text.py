@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 LATIN1_ONLY = r"^[\x{0}-\x{FF}]*$"
 
 
-def _column(value: Column | str) -> Column:
+def as_column(value: Column | str) -> Column:
+    """A column given by itself or by its name."""
     return F.col(value) if isinstance(value, str) else value
 
 
@@ -23,7 +24,7 @@ def repair_text(column: Column | str) -> Column:
     are needed: ``encode`` raises on characters beyond Latin-1 and ``decode`` on bytes that
     are no UTF-8.
     """
-    column = _column(column)
+    column = as_column(column)
     raw = F.encode(column, "ISO-8859-1")
     garbled = column.rlike(LATIN1_ONLY) & F.is_valid_utf8(raw)
     return F.when(garbled, F.decode(raw, "UTF-8")).otherwise(column)
@@ -31,16 +32,16 @@ def repair_text(column: Column | str) -> Column:
 
 def contains_any(column: Column | str, words: Iterable[str]) -> Column:
     """True when the text holds at least one of the words; null text stays null."""
-    column = _column(column)
+    column = as_column(column)
     return reduce(Column.__or__, [column.contains(word) for word in words])
 
 
 def has_prefix(column: Column | str, prefixes: Iterable[str]) -> Column:
     """True when the text starts with one of the prefixes (pushed down as StartsWith)."""
-    column = _column(column)
+    column = as_column(column)
     return reduce(Column.__or__, [column.startswith(prefix) for prefix in prefixes])
 
 
 def strip_code(column: Column | str) -> Column:
     """The name behind a leading numeric code: ``44001  Ababuj`` -> ``Ababuj``."""
-    return F.regexp_extract(_column(column), r"[0-9]*\s+(.+)", 1)
+    return F.regexp_extract(as_column(column), r"[0-9]*\s+(.+)", 1)

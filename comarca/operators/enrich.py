@@ -61,7 +61,8 @@ def fill_from_lookup(
     """Fill nulls of ``value`` from a lookup with unique keys; all other cells stay as they are.
 
     Only the rows that can change are joined: value missing and key known. The rest goes
-    past the join unshuffled. Rows of a hot key are spread.
+    past the join unshuffled. Rows of a hot key are spread. The table is read once for either
+    kind of row, so it should be a stored one.
     """
     fillable = F.col(value).isNull() & _known(keys)
     filled = join_spread(
