@@ -45,17 +45,29 @@ def attributes_wide(
 
     An attribute's value is its first non-null slot; a repeated attribute gives its smallest
     value, an absent one null. Rows without any of the names are dropped. The whole list is
-    in the row, so nothing is shuffled: no generated id, no group, no pivot.
+    in the row, so nothing is shuffled: no generated id, no group, no pivot. Each list is
+    cut down and sorted once, by name and value; a column is then the first item of its name.
     """
 
+    def item(attribute: Column) -> Column:
+        value = F.coalesce(*[attribute[slot] for slot in slots])
+        return F.struct(
+            attribute["name"].alias("name"),
+            value.isNull().alias("absent"),
+            value.alias("value"),
+        )
+
     def value_of(name: str) -> Column:
-        matches = F.filter(attributes, lambda item: item["name"] == F.lit(name))
-        values = F.transform(matches, lambda item: F.coalesce(*[item[slot] for slot in slots]))
-        return F.array_min(values)
+        place = F.array_position("_items.name", name).cast("int") - 1
+        return F.get("_items.value", place).alias(name)
+
+    def wanted(attribute: Column) -> Column:
+        return attribute["name"].isin(*names)
 
     others = [c for c in df.columns if c != attributes]
-    named = F.exists(attributes, lambda item: item["name"].isin(*names))
-    return df.where(named).select(*others, *[value_of(name).alias(name) for name in names])
+    items = F.sort_array(F.transform(F.filter(attributes, wanted), item)).alias("_items")
+    listed = df.where(F.exists(attributes, wanted)).select(*others, items)
+    return listed.select(*others, *[value_of(name) for name in names])
 
 
 def pivot_first(
