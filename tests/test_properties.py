@@ -139,6 +139,23 @@ def test_garbled_text_is_always_repaired(spark, texts):
     assert df.where(repair_text("garbled") != df.clean).count() == 0
 
 
+def read_again(text):
+    try:
+        return text.encode("iso-8859-1").decode("utf-8")
+    except UnicodeError:
+        return text
+
+
+high = st.sampled_from([chr(n) for n in range(0x7F, 0x102)] + ["Ã", "Â", "\n", "a", "–"])
+
+
+@quick
+@given(st.lists(st.text(high, max_size=6), max_size=200))
+def test_text_is_read_again_only_if_that_works(spark, texts):
+    df = spark.createDataFrame([(text, read_again(text)) for text in texts], "s string, t string")
+    assert df.where(repair_text("s") != df.t).count() == 0
+
+
 @quick
 @given(st.lists(st.integers(-(2**31), 2**31 - 1), max_size=50))
 def test_dotted_numbers_are_parsed(spark, numbers):
