@@ -32,5 +32,10 @@ def write_partitioned(
 def read_partitioned(
     spark: SparkSession, path: str, schema: T.StructType | str
 ) -> DataFrame:
-    """Read a partitioned table under a given schema, so ``05001`` stays text in a folder name."""
-    return spark.read.schema(schema).parquet(path)
+    """Read a partitioned table under a given schema, with the columns in its order.
+
+    The schema keeps ``05001`` text where it is a folder name, and spares the inference.
+    """
+    reader = spark.read.schema(schema)
+    names = T.StructType.fromDDL(schema).names if isinstance(schema, str) else schema.names
+    return reader.parquet(path).select(*[f"`{name}`" for name in names])
