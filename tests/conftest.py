@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[8,4]")
         .appName("comarca-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")

@@ -174,9 +174,11 @@ def test_scratch_paths_are_fresh_and_below_the_shared_folder(spark):
 class OtherSession:
     """Stands in for a session with other settings."""
 
+    applicationId = "app-1"
+
     def __init__(self, **settings):
         self.settings = {key.replace("_", "."): value for key, value in settings.items()}
-        self.conf = self
+        self.conf = self.sparkContext = self
 
     def get(self, key, default=None):
         return self.settings.get(key, default)
@@ -187,4 +189,4 @@ def test_scratch_on_a_cluster_needs_the_shared_folder():
         scratch_path(OtherSession(spark_master="yarn"), "x")
     assert scratch_path(OtherSession(spark_master="local[2]"), "x")
     shared = OtherSession(spark_master="yarn", spark_checkpoint_dir="hdfs:///tmp/")
-    assert scratch_path(shared, "x").startswith("hdfs:///tmp/comarca/x-")
+    assert scratch_path(shared, "x").startswith("hdfs:///tmp/comarca/app-1/x-")
