@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from comarca.plans import fixed, tables
+from comarca.plans import checks, fixed, reports, tables
 from comarca.sources import read_partitioned, scratch_path
 
 
@@ -81,3 +81,43 @@ def stored_table(spark: SparkSession, target: str, name: str) -> DataFrame:
         "population": fixed.POPULATION_SCHEMA,
     }
     return read_partitioned(spark, f"{target}{name}/", schemas[name])
+
+
+def region_checks(spark: SparkSession, target: str) -> dict[str, DataFrame]:
+    """Null and duplicate checks of the stored tables, by name."""
+    found = {}
+    for name in checks.REQUIRED:
+        found[f"{name}: nulls"] = checks.key_nulls(stored_table(spark, target, name), name)
+    for name in checks.UNIQUE:
+        dupes = checks.key_dupes(stored_table(spark, target, name), name)
+        found[f"{name}: repeated keys"] = dupes.limit(15)
+    return found
+
+
+def region_reports(spark: SparkSession, target: str) -> dict[str, DataFrame]:
+    """All reports on the stored tables, by title. Nothing runs until one is looked at."""
+    venues = stored_table(spark, target, "garitos")
+    codes = stored_table(spark, target, "postal_codes")
+    social = stored_table(spark, target, "social")
+    cultural = stored_table(spark, target, "cultural")
+    people = stored_table(spark, target, "population")
+    return {
+        "Venues sharing name, city and kind": reports.venue_groups(venues),
+        "Most repeated venue names": reports.venue_names(venues),
+        "Most repeated restaurant names": reports.venue_names(venues, fixed.RESTAURANTS, 15),
+        "Counties by cafes": reports.counties_by_venues(venues),
+        "Cities of a county by venues": reports.cities_by_venues(venues),
+        "Cities with one postal code": reports.cities_with_one_postal_code(codes).limit(5),
+        "Venue profile": reports.table_profile(venues),
+        "Postal code profile": reports.table_profile(codes),
+        "Counties of the social table": reports.counties(social),
+        "Sports of a county by clubs": reports.sports_by_associations(social),
+        "Cities by museums and libraries": reports.cities_by_cultural(cultural),
+        "Museums of a city": reports.museums_in_city(cultural),
+        "Museums by theme": reports.museums_by_theme(cultural),
+        "Most populated cities": reports.most_populated(people),
+        "Venues per 100,000 people": reports.highest_venue_rates(people, venues),
+        "Venues per 100,000 people, 5000 people and more": reports.highest_venue_rates(
+            people, venues, minimum_population=5000, k=30
+        ),
+    }

@@ -7,7 +7,7 @@ import pytest
 from comarca.operators import audit, find_dupes, has_no_nulls
 from comarca.plans import fixed, reports, run, tables
 from comarca.sources import read_delimited, read_documents
-from helpers import rows
+from helpers import plan, rows
 
 
 def line(values):
@@ -418,3 +418,19 @@ def test_sources_are_read_as_text(spark, location):
     clubs = read_delimited(spark, location + fixed.SPORTS_CLUB_FILE)
     assert set(dict(clubs.drop("_c13").dtypes).values()) == {"string"}
     assert clubs.where("`C.Postal` like '09%'").count() == 3
+
+
+def test_all_checks_and_reports_run(spark, target):
+    checked = run.region_checks(spark, target)
+    assert rows(checked["social: nulls"]) == [
+        ("city", 0),
+        ("county", 0),
+        ("name", 0),
+        ("social_kind", 0),
+    ]
+    assert [r.city for r in checked["population: repeated keys"].collect()] == ["Villa"]
+    shown = run.region_reports(spark, target)
+    sizes = {title: df.count() for title, df in shown.items()}
+    assert all(sizes.values()), sizes
+    plans = " ".join(plan(df) for df in shown.values())
+    assert "PartitionFilters: [isnotnull(county" in plans
