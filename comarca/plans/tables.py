@@ -16,7 +16,6 @@ from comarca.operators import (
     dedup,
     derive_dimension,
     drop_sentinel,
-    explode_elements,
     fill_from_lookup,
     unique_lookup,
 )
@@ -27,7 +26,7 @@ from comarca.sources import (
     SLOTS,
     ingest_tagged,
     read_delimited,
-    read_documents,
+    read_elements,
     source_tag,
     write_partitioned,
 )
@@ -122,34 +121,25 @@ def clean_social(social_table: DataFrame, canonicalise_first: bool = False) -> D
 
 
 def cultural(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """One table of all cultural institutions; ``sources`` maps kind to documents."""
+    """One table of all cultural institutions; ``sources`` maps kind to its elements.
+
+    Elements are rows with a list ``attributes``.
+    """
     columns = {out: F.col(f"`{name}`") for out, name in fixed.CULTURAL_COLUMNS.items()}
     parts = [
         (
-            attributes_wide(
-                explode_elements(documents, ATTRIBUTE_PATH),
-                "attributes",
-                fixed.CULTURAL_ATTRIBUTES,
-                SLOTS,
-            ),
+            attributes_wide(elements, "attributes", fixed.CULTURAL_ATTRIBUTES, SLOTS),
             columns,
             kind,
         )
-        for kind, documents in sources.items()
+        for kind, elements in sources.items()
     ]
     return ingest_tagged(parts, "cultural_kind")
 
 
-def load_cultural(
-    spark: SparkSession, location: str, files: Sequence[str], whole_file: bool = True
-) -> DataFrame:
+def load_cultural(spark: SparkSession, location: str, files: Sequence[str]) -> DataFrame:
     """Cultural institutions from JSON documents; the kind is the file's stem."""
-    return cultural(
-        {
-            source_tag(name): read_documents(spark, location + name, whole_file=whole_file)
-            for name in files
-        }
-    )
+    return cultural({source_tag(name): read_elements(spark, location + name) for name in files})
 
 
 def clean_cultural(cultural_table: DataFrame) -> DataFrame:

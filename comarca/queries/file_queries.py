@@ -76,11 +76,11 @@ def stored_social(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(shapes.CLEAN_CULTURAL)
 def stored_cultural(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents are written one per line, so that large files can be split."""
+    """The documents are written many to a file and read element by element."""
     location, target = _folder(spark, "sources"), _folder(spark, "tables")
     for kind, documents in shapes.cultural_sources(spark, sf_dir).items():
         documents.select("document").write.json(f"{location}{kind}.json")
-    run.build_cultural(spark, location, fixed.CULTURAL_FILES, target, whole_file=False)
+    run.build_cultural(spark, location, fixed.CULTURAL_FILES, target)
     return run.stored_table(spark, target, "cultural")
 
 

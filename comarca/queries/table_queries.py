@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comarca.operators import audit
+from comarca.operators import audit, explode_elements
 from comarca.plans import fixed, tables
 from comarca.plans.checks import REQUIRED, key_dupes, key_nulls
 from comarca.plans.run import staged
 from comarca.queries import shapes
 from comarca.queries.registry import query
+from comarca.sources import ATTRIBUTE_PATH
 
 
 def _null_counts_sql(source: str, columns: list[str]) -> str:
@@ -72,7 +73,10 @@ def social_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(shapes.CULTURAL)
 def cultural_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.cultural(shapes.cultural_sources(spark, sf_dir))
+    documents = shapes.cultural_sources(spark, sf_dir)
+    return tables.cultural(
+        {kind: explode_elements(source, ATTRIBUTE_PATH) for kind, source in documents.items()}
+    )
 
 
 @query(shapes.CLEAN_CULTURAL)

@@ -1,5 +1,11 @@
 from comarca.sources.delimited import read_delimited, write_delimited
-from comarca.sources.documents import ATTRIBUTE_DOCUMENT, ATTRIBUTE_PATH, SLOTS, read_documents
+from comarca.sources.documents import (
+    ATTRIBUTE_DOCUMENT,
+    ATTRIBUTE_PATH,
+    SLOTS,
+    read_documents,
+    read_elements,
+)
 from comarca.sources.scratch import scratch_path
 from comarca.sources.stored import read_partitioned, write_partitioned
 from comarca.sources.tagged import ingest_tagged, source_tag
@@ -11,6 +17,7 @@ __all__ = [
     "ingest_tagged",
     "read_delimited",
     "read_documents",
+    "read_elements",
     "read_partitioned",
     "scratch_path",
     "source_tag",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The places where an attribute may hold its value, in order of preference (fixed values).
@@ -13,6 +14,14 @@ ATTRIBUTE_PATH = "document.list.element.attribute"
 _ATTRIBUTE = T.StructType(
     [T.StructField(field, T.StringType()) for field in ("name", *SLOTS)]
 )
+_ELEMENT = T.StructType(
+    [
+        T.StructField(
+            "element",
+            T.StructType([T.StructField("attribute", T.ArrayType(_ATTRIBUTE))]),
+        )
+    ]
+)
 
 # ``valor`` is text in some attributes and a list in others; declared as text, a list is
 # kept as its JSON source.
@@ -23,21 +32,7 @@ ATTRIBUTE_DOCUMENT = T.StructType(
             T.StructType(
                 [
                     T.StructField("date", T.StringType()),
-                    T.StructField(
-                        "list",
-                        T.ArrayType(
-                            T.StructType(
-                                [
-                                    T.StructField(
-                                        "element",
-                                        T.StructType(
-                                            [T.StructField("attribute", T.ArrayType(_ATTRIBUTE))]
-                                        ),
-                                    )
-                                ]
-                            )
-                        ),
-                    ),
+                    T.StructField("list", T.ArrayType(_ELEMENT)),
                 ]
             ),
         )
@@ -58,3 +53,20 @@ def read_documents(
     are split. A document that is no JSON, or has another shape, is an error.
     """
     return spark.read.schema(schema).json(path, multiLine=whole_file, mode="FAILFAST")
+
+
+def read_elements(spark: SparkSession, path: str) -> DataFrame:
+    """Read just the elements of JSON documents, as one column ``attributes``.
+
+    A file is cut at the key ``"element"``, so one large document is read by many tasks,
+    whatever its line breaks. Quotes within a JSON text are escaped, hence the key cannot
+    appear inside one; a text that is the word itself would break its element, which is an
+    error. Elements have no position here: ``read_documents`` gives one.
+    """
+    pieces = spark.read.text(path, lineSep='"element"')
+    values = pieces.where(F.col("value").rlike(r"^\s*:"))
+    text = F.concat(F.lit('{"element"'), "value")
+    # Unpacked as a list of one: filters are not pushed below that, so each is parsed once.
+    listed = F.from_json(text, T.ArrayType(_ELEMENT), {"mode": "FAILFAST"})
+    parsed = values.select(F.inline_outer(listed))
+    return parsed.select(F.col("element.attribute").alias("attributes"))

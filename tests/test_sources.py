@@ -1,14 +1,19 @@
 """Readers, writers and the scratch location."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from comarca.operators import attributes_wide, explode_elements
 from comarca.sources import (
     ATTRIBUTE_PATH,
+    SLOTS,
     ingest_tagged,
     read_delimited,
     read_documents,
+    read_elements,
     read_partitioned,
     scratch_path,
     source_tag,
@@ -78,6 +83,42 @@ def test_documents_one_per_line_are_split(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.mark.parametrize("style", [{"indent": 1}, {"separators": (",", ":")}, {}])
+def test_one_large_document_is_read_by_many_tasks(spark, tmp_path, style):
+    elements = [
+        {"element": {"attribute": [
+            {"name": "id", "valor": str(i)},
+            {"name": "quote", "string": 'says {"element": 1}, "element" \\'},
+            {"name": "list", "valor": [{"string": "é"}]},
+            {"name": "none"},
+        ]}}
+        for i in range(500)
+    ] + [{"element": {"attribute": None}}, {"element": None}]
+    document = {"document": {"date": "2021", "list": elements}}
+    path = tmp_path / "d.json"
+    path.write_text(json.dumps(document, ensure_ascii=False, **style), encoding="utf-8")
+    whole = explode_elements(read_documents(spark, str(path)), ATTRIBUTE_PATH)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4KB")
+    try:
+        split = read_elements(spark, str(path))
+        assert split.rdd.getNumPartitions() > 4
+        names = ["id", "quote", "none"]
+        wide = attributes_wide(split, "attributes", names, SLOTS)
+        expected = attributes_wide(whole.drop("element_id"), "attributes", names, SLOTS)
+        assert rows(wide) == rows(expected)
+        assert wide.count() == 500
+        assert split.count() == 502
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_text_that_is_the_key_itself_is_an_error(spark, tmp_path):
+    item = {"element": {"attribute": [{"name": "a", "valor": "element"}, {"name": "b"}]}}
+    (tmp_path / "d.json").write_text(json.dumps({"document": {"list": [item]}}))
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        read_elements(spark, str(tmp_path / "d.json")).collect()
+
+
 def test_large_delimited_files_are_split(spark, tmp_path):
     lines = ["a;ñ", *[f"{i};ü" for i in range(5000)]]
     (tmp_path / "d.csv").write_bytes("\n".join(lines).encode("iso-8859-1"))
