@@ -61,7 +61,8 @@ def read_elements(spark: SparkSession, path: str) -> DataFrame:
     A file is cut at the key ``"element"``, so one large document is read by many tasks,
     whatever its line breaks. Quotes within a JSON text are escaped, hence the key cannot
     appear inside one; a text that is the word itself would break its element, which is an
-    error. Elements have no position here: ``read_documents`` gives one.
+    error. A file that ends between two elements is not noticed, unlike with
+    ``read_documents``, and elements have no position here.
     """
     pieces = spark.read.text(path, lineSep='"element"')
     values = pieces.where(F.col("value").rlike(r"^\s*:"))
