@@ -3,7 +3,7 @@
 import re
 from pathlib import Path
 
-import __spark_entry__ as driver
+from comarca.queries import QUERIES
 
 README = (Path(__file__).resolve().parent.parent / "README.md").read_text()
 
@@ -29,4 +29,4 @@ def test_every_inventory_id_is_listed():
 
 def test_every_query_is_listed_and_exists():
     named = set(re.findall(r"`(\w+)`", README))
-    assert set(driver.queries()) - named == set()
+    assert set(QUERIES) - named == set()

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from comarca.queries import QUERIES, SQL
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -37,17 +38,19 @@ def ordered(rows):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    result = driver.queries()[name](spark, SF_DIR)
+    result = QUERIES[name](spark, SF_DIR)
     columns = sorted(result.columns)
     got = ordered([tuple(row) for row in result.select(*[f"`{c}`" for c in columns]).collect()])
 
-    sql = f"SELECT {', '.join(f'"{c}"' for c in columns)} FROM ({driver.oracle_sql()[name]})"
-    described = duck.execute(f"DESCRIBE {driver.oracle_sql()[name]}").fetchall()
+    sql = f"SELECT {', '.join(f'"{c}"' for c in columns)} FROM ({SQL[name]})"
+    described = duck.execute(f"DESCRIBE {SQL[name]}").fetchall()
     assert sorted(row[0] for row in described) == columns
     expected_types = {row[0]: TYPES[row[1]] for row in described}
     assert dict(result.dtypes) == expected_types
