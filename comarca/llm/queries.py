@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comarca.llm.exact_dedup import exact_dedup
+from comarca.llm.packing import pack_documents
 from comarca.llm.registry import query, table
 from comarca.llm.url_rules import ALLOW, BLOCK, judge_urls, rule_table
 
@@ -60,3 +61,10 @@ RULES = [
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The longest rule and the verdict for every page."""
     return judge_urls(table(spark, sf_dir, "pages"), rule_table(spark, RULES))
+
+
+@query()
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies."""
+    pieces = pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
+    return pieces.withColumnRenamed("id", "doc_id")
