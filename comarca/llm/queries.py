@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from comarca.llm.exact_dedup import exact_dedup
 from comarca.llm.packing import pack_documents
 from comarca.llm.registry import query, table
+from comarca.llm.sharding import shard_by_bytes
 from comarca.llm.url_rules import ALLOW, BLOCK, judge_urls, rule_table
 
 
@@ -68,3 +69,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies."""
     pieces = pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
     return pieces.withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen shards of nearly equal bytes."""
+    placed = shard_by_bytes(table(spark, sf_dir, "documents"))
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", law, "shard", "slot", grown)
