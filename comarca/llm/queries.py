@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comarca.llm.exact_dedup import exact_dedup
+from comarca.llm.mixing import mix_plan
 from comarca.llm.packing import pack_documents
 from comarca.llm.registry import query, table
 from comarca.llm.sharding import shard_by_bytes
@@ -77,3 +78,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_by_bytes(table(spark, sf_dir, "documents"))
     law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
     return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", law, "shard", "slot", grown)
+
+
+@query()
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    plan = mix_plan(table(spark, sf_dir, "documents"))
+    taken = (F.col("copies") * F.col("size")).cast("long").alias("taken")
+    return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken, "shards")
