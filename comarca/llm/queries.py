@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from comarca.llm.exact_dedup import exact_dedup
 from comarca.llm.mixing import mix_plan
 from comarca.llm.packing import pack_documents
+from comarca.llm.quality_rules import judge_quality
 from comarca.llm.registry import query, table
 from comarca.llm.sharding import shard_by_bytes
 from comarca.llm.url_rules import ALLOW, BLOCK, judge_urls, rule_table
@@ -86,3 +87,13 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(table(spark, sf_dir, "documents"))
     taken = (F.col("copies") * F.col("size")).cast("long").alias("taken")
     return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken, "shards")
+
+
+@query()
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules, and a decision list learned from the quality labels."""
+    judged = judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", "base_failed", "kept", "rule",
+    )
