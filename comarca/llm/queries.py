@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from comarca.llm.common import is_held_out
 from comarca.llm.exact_dedup import exact_dedup
 from comarca.llm.mixing import mix_plan
 from comarca.llm.packing import pack_documents
 from comarca.llm.quality_rules import judge_quality
 from comarca.llm.registry import query, table
 from comarca.llm.sharding import shard_by_bytes
+from comarca.llm.toxicity import learn_toxicity, score_toxicity
 from comarca.llm.url_rules import ALLOW, BLOCK, judge_urls, rule_table
 
 
@@ -97,3 +99,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
         "n_repeat_words", "base_failed", "kept", "rule",
     )
+
+
+@query()
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, by its significant passages."""
+    docs = table(spark, sf_dir, "documents")
+    model = learn_toxicity(docs, table(spark, sf_dir, "labels"))
+    scored = score_toxicity(docs, model)
+    held_out = is_held_out(F.col("id")).alias("held_out")
+    return scored.select(F.col("id").alias("doc_id"), held_out, "score", "predicted", F.size("passages").alias("passages"))
