@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from comarca.llm.common import is_held_out
 from comarca.llm.exact_dedup import exact_dedup
+from comarca.llm.language import identify_languages, learn_languages
 from comarca.llm.mixing import mix_plan
 from comarca.llm.packing import pack_documents
+from comarca.llm.quality_model import learn_quality, score_quality
 from comarca.llm.quality_rules import judge_quality
 from comarca.llm.registry import query, table
 from comarca.llm.sharding import shard_by_bytes
@@ -109,3 +111,21 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(docs, model)
     held_out = is_held_out(F.col("id")).alias("held_out")
     return scored.select(F.col("id").alias("doc_id"), held_out, "score", "predicted", F.size("passages").alias("passages"))
+
+
+@query()
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = learn_quality(docs, table(spark, sf_dir, "labels"))
+    held_out = is_held_out(F.col("id")).alias("held_out")
+    return score_quality(docs, model).select(F.col("id").alias("doc_id"), held_out, "score", "predicted")
+
+
+@query()
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = identify_languages(docs, learn_languages(docs))
+    held_out = is_held_out(F.col("id")).alias("held_out")
+    return found.select(F.col("id").alias("doc_id"), held_out, "lang_pred", "score", "rejected")

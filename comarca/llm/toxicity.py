@@ -28,7 +28,7 @@ SAMPLE = 60_000
 VOCABULARY = 50_000
 PRIOR_TOKENS = 1000.0
 LEAST_COUNT = 0.5
-DEVIATIONS = 2.58
+DEVIATIONS = 1.7
 # What a token without a score takes off a segment.
 DRIFT = 0.5
 PASSAGES = "array<struct<first:int,last:int,score:double>>"
