@@ -29,7 +29,7 @@ def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col("row").getField(c).alias(c) for c in columns])
 
 
-def attach(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+def attach(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str) -> DataFrame:
     """Join every row with its group's row. ``size`` holds the number of rows of the group.
 
     Groups with at least a thousandth of all rows, of which there are at most a thousand, are
@@ -41,7 +41,7 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame
     is_hot = F.col(size) * HOT_PARTS >= total
     hot = F.broadcast(groups.where(is_hot))
     by_hot = rows.join(hot, key, "inner")
-    rest = rows.join(F.broadcast(groups.where(is_hot).select(key)), key, "left_anti")
+    rest = rows.join(F.broadcast(groups.where(is_hot).select(*([key] if isinstance(key, str) else key))), key, "left_anti")
     by_shuffle = rest.join(groups.where(~is_hot), key, "inner")
     return by_hot.unionByName(by_shuffle)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from comarca.llm.common import is_held_out
 from comarca.llm.exact_dedup import exact_dedup
+from comarca.llm.jaccard_join import jaccard_components
 from comarca.llm.language import identify_languages, learn_languages
 from comarca.llm.mixing import mix_plan
 from comarca.llm.packing import pack_documents
@@ -129,3 +130,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = identify_languages(docs, learn_languages(docs))
     held_out = is_held_out(F.col("id")).alias("held_out")
     return found.select(F.col("id").alias("doc_id"), held_out, "lang_pred", "score", "rejected")
+
+
+@query()
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingles are at least 85 % alike."""
+    found = jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
