@@ -11,7 +11,9 @@
 4. Frequent n-grams would give a square of pairs. So first every record of a prefix list is compared
    with one of it, the list's hub; the links found give components. Then only those records that do
    not belong to a list's largest component are compared with the others of the list. A pair of
-   one component needs no comparison, so no link between components is lost.
+   one component needs no comparison, so no link between components is lost. Pairs of a short list
+   are written down once, at the first n-gram that both prefixes have. Long lists are brought
+   together by their hub in blocks, where overlaps are counted in place: only links come out.
 5. Every pair left is verified once, on the whole sets, made again from the texts.
 """
 
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -42,9 +45,12 @@ LONG_LIST = 16
 # Records on which frequent n-grams are found, and parts that these are dealt out to.
 SAMPLE_RECORDS = 50_000
 SALTS = 64
-# Records of a list, and n-grams of a record's partners, that are compared in one place.
-LIST_PART = 20_000
+# Lists from this size on are compared in blocks; and how much meets in one place.
+LONG_LIST_PAIRS = 64
+BLOCK_RECORDS = 2_000
 PART_GRAMS = 500_000
+# Earlier n-grams of a prefix that are kept beside each, to tell repeated pairs.
+EARLIER = 4
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(29), np.uint64(0xBF58476D1CE4E5B9), np.uint64(32))
 
 
@@ -157,6 +163,44 @@ def _similar(threshold: Fraction):
     return similar
 
 
+def _block_links(threshold: Fraction):
+    """For the records of a block: links between its components, by counting common n-grams.
+
+    Each record outside the largest component is looked up in an index of the block's n-grams. What
+    is found linked is joined at once, so that at most one link for each record comes out.
+    """
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values("record").drop_duplicates("record")
+        sets = [np.frombuffer(x, np.uint64) for x in block["set"]]
+        records, ranges, part = (block[c].to_numpy() for c in ("record", "range", "part"))
+        low, high, slot = (int(block[c].iloc[0]) for c in ("low", "high", "slot"))
+        sizes = np.array([len(x) for x in sets])
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        names, gram = np.unique(np.concatenate(sets), return_inverse=True)
+        order = np.argsort(gram, kind="stable")
+        index = owner[order]
+        begins = np.concatenate([[0], np.cumsum(np.bincount(gram, minlength=len(names)))])
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        _, group = np.unique(block["component"].to_numpy(), return_inverse=True)
+        largest = int(np.argmax(np.bincount(group)))
+        found = []
+        for x in np.flatnonzero(group != largest):
+            own = gram[first[x] : first[x + 1]]
+            listed = [index[begins[g] : begins[g + 1]] for g in own.tolist()]
+            common = np.bincount(np.concatenate(listed), minlength=len(sets))
+            union = sizes[x] + sizes - common
+            linked = (threshold.denominator * common >= threshold.numerator * union) & (group != group[x])
+            linked &= (np.maximum(ranges, ranges[x]) == slot) & ((part != part[x]) | (low == high))
+            for y in np.flatnonzero(linked):
+                if group[y] != group[x]:
+                    found.append((int(records[x]), int(records[y])))
+                    group[group == group[y]] = group[x]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
 def _misses(n: Column, threshold: Fraction) -> Column:
     """``misses`` as a column."""
     over = threshold.denominator - threshold.numerator
@@ -217,10 +261,11 @@ class _Join:
         return kept.join(sums, "gram", "left").select("gram", "record", "n", df).where("df > 1")
 
     def prefixes(self) -> DataFrame:
-        """For each record its prefix, n-gram by n-gram: gram, slot, record, n, rest, df.
+        """For each record its prefix, n-gram by n-gram: gram, df, record, n, rest, range, before, slot.
 
-        ``rest`` is how many n-grams of the beginning come later. A slot is a range of sizes;
-        records whose sizes are near enough share one.
+        ``rest`` is how many n-grams of the beginning come later, ``before`` has the last ones of the
+        prefix. Records whose sizes are near enough lie in one range or two neighbouring ones,
+        and share the slot of the larger.
         """
         n, t = F.col("n"), self.threshold
         k = _misses(n, t)
@@ -233,12 +278,15 @@ class _Join:
         )
         ranked = ranked.withColumns({"length": length, "alone": alone, "prefix": prefix})
         chosen = F.slice("grams", F.lit(1), F.greatest(F.col("prefix") - F.col("alone"), F.lit(0)))
-        listed = ranked.select("record", "n", "length", "alone", F.posexplode(chosen).alias("at", "gram"))
+        ranked = ranked.withColumn("chosen", F.transform(chosen, lambda x: x["gram"]))
+        listed = ranked.select("record", "n", "length", "alone", "grams", "chosen", F.posexplode("chosen").alias("at", "gram"))
+        before = F.slice("chosen", F.greatest(F.col("at") - (EARLIER - 1), F.lit(1)), F.least("at", F.lit(EARLIER)))
         rest = (F.col("length") - F.col("alone") - F.col("at") - 1).alias("rest")
-        prefixes = staged(listed.select("gram.gram", "gram.df", "record", "n", rest), "prefixes")
         width = math.log(1 / t) * (1 + 1e-6) if t < 1 else 1e-9
-        size = F.floor(F.log(n.cast("double")) / width)
-        return prefixes.select("*", F.explode(F.array(size, size + 1)).alias("slot"))
+        size = F.floor(F.log(n.cast("double")) / width).cast("int").alias("range")
+        df = F.col("grams")[F.col("at")]["df"].cast("int").alias("df")
+        prefixes = staged(listed.select("gram", df, "record", "n", rest, size, before.alias("before")), "prefixes")
+        return prefixes.select("*", F.explode(F.array(F.col("range"), F.col("range") + 1)).alias("slot"))
 
     def near(self, rest: Column, other_rest: Column, n: Column, m: Column) -> Column:
         """Length filter and positional filter for two records at one n-gram of both prefixes.
@@ -257,33 +305,60 @@ class _Join:
         near = self.near(F.col("rest"), F.col("hub.rest"), F.col("n"), F.col("hub.n"))
         return self._pairs(joined.where((F.col("record") != F.col("hub.record")) & near), "record", "hub.record")
 
-    def cross_pairs(self, prefixes: DataFrame, components: DataFrame) -> DataFrame:
-        """The pairs that meet in a list and are not yet in one component."""
+    def mixed(self, prefixes: DataFrame, components: DataFrame) -> DataFrame:
+        """The lists that hold more than one component: their members, with the list's largest
+        component, hub and size. Stored."""
         known = bounded(components.withColumnRenamed("node", "record"))
         own = F.coalesce("component", "record").alias("component")
-        member = prefixes.join(known, "record", "left").select("gram", "slot", "record", "n", "rest", own)
-        counts = member.groupBy("gram", "slot", "component").count()
+        member = prefixes.join(known, "record", "left").select(*prefixes.columns, own)
+        counts = member.groupBy("gram", "slot", "component").agg(
+            F.count("*").alias("count"), F.min(F.struct(F.xxhash64("record").alias("order"), "record")).alias("hub")
+        )
         lists = counts.groupBy("gram", "slot").agg(
             F.max(F.struct("count", "component"))["component"].alias("largest"),
-            F.count("*").alias("components"), F.sum("count").alias("size"),
-        ).where("components > 1")
-        parts = (1 + F.floor(F.col("size") / LIST_PART)).cast("int").alias("parts")
-        lists = staged(lists.select("gram", "slot", "largest", "size", parts), "mixed-lists")
-        mixed = staged(attach(member, lists, ["gram", "slot"], "size"), "mixed")
-        some = mixed.where(F.col("component") != F.col("largest")).select(
-            "gram", "slot", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-            F.col("record").alias("a"), F.col("n").alias("n_a"), F.col("rest").alias("rest_a"), F.col("component").alias("of_a"),
-        )
-        every = mixed.select(
-            "gram", "slot", F.pmod(F.xxhash64("record"), F.col("parts")).cast("int").alias("part"),
-            F.col("record").alias("b"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b"), F.col("component").alias("of_b"),
-            (F.col("component") == F.col("largest")).alias("major"),
-        )
-        same = [some[c] == every[c] for c in ("gram", "slot", "part")]
+            F.count("*").alias("components"), F.sum("count").alias("size"), F.min("hub")["record"].alias("hub"),
+        ).where("components > 1").drop("components")
+        return staged(attach(member, staged(lists, "lists"), ["gram", "slot"], "size"), "mixed")
+
+    def cross_pairs(self, mixed: DataFrame) -> DataFrame:
+        """The pairs of short lists that are not yet in one component."""
+        short = mixed.where(F.col("size") < LONG_LIST_PAIRS)
+        columns = ("record", "n", "rest", "range", "before", "component")
+        some = short.where(F.col("component") != F.col("largest"))
+        some = some.select("gram", "slot", *[F.col(c).alias(f"{c}_a") for c in columns])
+        major = (F.col("component") == F.col("largest")).alias("major")
+        every = short.select("gram", "slot", *[F.col(c).alias(f"{c}_b") for c in columns], major)
         near = self.near(F.col("rest_a"), F.col("rest_b"), F.col("n_a"), F.col("n_b"))
-        once = F.col("major") | (F.col("a") < F.col("b"))
-        joined = some.join(every, [*same, F.col("of_a") != F.col("of_b"), near, once])
-        return self._pairs(joined, "a", "b")
+        once = (
+            (F.col("component_a") != F.col("component_b"))
+            & (F.col("major") | (F.col("record_a") < F.col("record_b")))
+            & (F.greatest("range_a", "range_b") == some["slot"])
+            & ~F.arrays_overlap("before_a", "before_b")
+        )
+        same = [some[c] == every[c] for c in ("gram", "slot")]
+        return self._pairs(some.join(every, [*same, near & once]), "record_a", "record_b")
+
+    def block_links(self, mixed: DataFrame) -> DataFrame:
+        """Links between components in long lists, enough of them to connect what is linked."""
+        long = mixed.where(F.col("size") >= LONG_LIST_PAIRS).groupBy("hub", "slot", "record").agg(
+            F.first("n").alias("n"), F.first("range").alias("range"), F.first("component").alias("component")
+        )
+        long = staged(long, "long")
+        parts = 1 + F.floor(F.greatest(F.count("*") / BLOCK_RECORDS, F.sum("n") / (4 * PART_GRAMS))).cast("int")
+        blocks = long.groupBy("hub", "slot").agg(F.count("*").alias("size"), parts.alias("parts"))
+        dealt = attach(long, staged(blocks, "blocks"), ["hub", "slot"], "size")
+        part = F.pmod(F.xxhash64("record"), F.col("parts")).cast("int").alias("part")
+        dealt = dealt.select("hub", "slot", "record", "range", "component", part, "parts")
+        dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+        low, high = F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")
+        dealt = dealt.select("hub", "slot", low, high, "record", "range", "component", "part")
+
+        names = self.rows.select("row", "id", "key")
+        wanted = long.select("record").distinct()
+        wanted = staged(wanted.join(names, wanted["record"] == names["row"]).drop("row"), "wanted")
+        sets = self._with_sets(wanted, "record long")
+        met = dealt.join(sets, "record").groupBy("hub", "slot", "low", "high")
+        return staged(met.applyInPandas(_block_links(self.threshold), "a long, b long").distinct(), "block-links")
 
     def _pairs(self, found: DataFrame, left: str, right: str) -> DataFrame:
         """Distinct pairs that pass the suffix filter."""
@@ -329,8 +404,9 @@ class _Join:
         """Of every linked record: node, component (numbers of records)."""
         prefixes = self.prefixes()
         links = self.verified(self.hub_pairs(prefixes))
-        pairs = self.cross_pairs(prefixes, connected_components(links))
-        return connected_components(links.union(self.verified(pairs)))
+        mixed = self.mixed(prefixes, connected_components(links))
+        links = links.union(self.block_links(mixed)).union(self.verified(self.cross_pairs(mixed)))
+        return connected_components(links)
 
 
 def jaccard_components(
