@@ -34,7 +34,7 @@ from pyspark.sql.window import Window
 
 from comarca.llm.common import HOT_PARTS, attach, bounded, rows_of, staged, unpacked
 from comarca.llm.components import connected_components
-from comarca.llm.words import filled, slices, word_codes
+from comarca.llm.words import slices, word_codes
 
 WORDS = 4
 THRESHOLD = Fraction(85, 100)
@@ -73,33 +73,41 @@ def beginning(size: int, threshold: Fraction) -> tuple[int, int]:
     return length, length - smaller // 2
 
 
-def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
+def shingle_sets(part: pa.Array, words: int) -> Iterator[np.ndarray]:
     """The sorted distinct 64-bit hashes of every text's word n-grams, A-Z in lower case.
 
     With fewer words than ``words`` the whole sequence is one n-gram; without a word there is none.
     """
     multiply, shift, last, fold = MIX
-    for part in slices(filled(texts)):
-        codes, starts, distinct = word_codes(pc.ascii_lower(part))
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in distinct.to_pylist()), np.uint64, len(distinct))
-        own = hashes[codes] if len(codes) else np.empty(0, np.uint64)
-
-        def mixed(columns: list[np.ndarray]) -> np.ndarray:
-            value = columns[0] * multiply
-            for column in columns[1:]:
-                value = ((value ^ (value >> shift)) + column) * multiply
-            value = (value ^ (value >> fold)) * last
-            return value ^ (value >> shift)
-
-        count = len(own) - words + 1
-        rolled = mixed([own[k : k + count] for k in range(words)]) if count > 0 else own[:0]
-        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-            if b - a >= words:
-                yield np.unique(rolled[a : b - words + 1])
-            elif b > a:
-                yield mixed([own[k : k + 1] for k in range(a, b)])
-            else:
-                yield own[:0]
+    codes, starts, distinct = word_codes(pc.ascii_lower(part))
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in distinct.to_pylist()), np.uint64, len(distinct))
+    own = hashes[codes] if len(codes) else np.empty(0, np.uint64)
+
+    def mixed(columns: list[np.ndarray]) -> np.ndarray:
+        value = columns[0] * multiply
+        for column in columns[1:]:
+            value = ((value ^ (value >> shift)) + column) * multiply
+        value = (value ^ (value >> fold)) * last
+        return value ^ (value >> shift)
+
+    count = len(own) - words + 1
+    rolled = mixed([own[k : k + count] for k in range(words)]) if count > 0 else own[:0]
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        if b - a >= words:
+            yield np.unique(rolled[a : b - words + 1])
+        elif b > a:
+            yield mixed([own[k : k + 1] for k in range(a, b)])
+        else:
+            yield own[:0]
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Slices of record batches whose last column is a text, and that column."""
+    for batch in batches:
+        at = 0
+        for texts in slices(batch.columns[-1]):
+            yield batch.slice(at, len(texts)), texts
+            at += len(texts)
 
 
 def _histogram(sets: np.ndarray) -> np.ndarray:
@@ -108,25 +116,22 @@ def _histogram(sets: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0], np.searchsorted(sets, bounds), [len(sets)]])).astype(np.int32)
 
 
+def _lists(arrays: list[np.ndarray], kind: np.dtype) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
+    flat = np.concatenate(arrays) if arrays else np.empty(0, kind)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(kind)))
+
+
 def _records(words: int, threshold: Fraction):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, sets, starts, bins = [], [], [], []
-            for own in shingle_sets(batch.column(3), words):
-                sizes.append(len(own))
-                sets.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None)
-                starts.append(own[: beginning(len(own), threshold)[0]])
-                bins.append(_histogram(own))
-            ends = np.concatenate([[0], np.cumsum([len(s) for s in starts])]).astype(np.int32)
-            flat = np.concatenate(starts) if starts else np.empty(0, np.uint64)
-            hist = np.concatenate(bins) if bins else np.empty(0, np.int32)
-            every = np.arange(len(sizes) + 1, dtype=np.int32) * RANGES
+        for batch, texts in _parts(batches):
+            sets = list(shingle_sets(texts, words))
             columns = [
-                *[batch.column(k) for k in range(3)],
-                pa.array(sizes, pa.int32()),
-                pa.array(sets, pa.binary()),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64))),
-                pa.ListArray.from_arrays(pa.array(every), pa.array(hist)),
+                *batch.columns[:-1],
+                pa.array([len(own) for own in sets], pa.int32()),
+                pa.array([xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None for own in sets], pa.binary()),
+                _lists([own[: beginning(len(own), threshold)[0]] for own in sets], np.int64),
+                _lists([_histogram(own) for own in sets], np.int32),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["row", "id", "key", "n", "set", "start", "hist"])
 
@@ -137,30 +142,17 @@ def _sets_of_texts(words: int):
     """Replaces the last column, texts, by their sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [own.tobytes() for own in shingle_sets(batch.columns[-1], words)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sets, pa.binary())], [*batch.schema.names[:-1], "set"])
+        for batch, texts in _parts(batches):
+            sets = _lists(list(shingle_sets(texts, words)), np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], sets], [*batch.schema.names[:-1], "set"])
 
     return run
 
 
-def _similar(threshold: Fraction):
-    """A column function of two sets: whether they are as similar as the threshold."""
-
-    @F.arrow_udf("boolean")
-    def similar(left: pa.Array, right: pa.Array) -> pa.Array:
-        found = []
-        for a, b in zip(left, right, strict=True):
-            own, theirs = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-            common = 0
-            if len(own) and len(theirs):
-                at = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
-                common = int((own[at] == theirs).sum())
-            union = len(own) + len(theirs) - common
-            found.append(threshold.denominator * common >= threshold.numerator * union and union > 0)
-        return pa.array(found, pa.bool_())
-
-    return similar
+def _similar(left: Column, right: Column, threshold: Fraction) -> Column:
+    """Whether two sets, arrays without repeats, are as similar as the threshold."""
+    common = F.size(F.array_intersect(left, right)).cast("long")
+    return common * threshold.denominator >= (F.size(left) + F.size(right) - common) * threshold.numerator
 
 
 def _block_links(threshold: Fraction):
@@ -172,7 +164,7 @@ def _block_links(threshold: Fraction):
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values("record").drop_duplicates("record")
-        sets = [np.frombuffer(x, np.uint64) for x in block["set"]]
+        sets = [np.asarray(x) for x in block["set"]]
         records, ranges, part = (block[c].to_numpy() for c in ("record", "range", "part"))
         low, high, slot = (int(block[c].iloc[0]) for c in ("low", "high", "slot"))
         sizes = np.array([len(x) for x in sets])
@@ -390,7 +382,7 @@ class _Join:
         right = staged(dealt.join(names, dealt["b"] == names["row"]).drop("row"), "right")
         a = self._with_sets(left, "a long, part int").withColumnRenamed("set", "set_a")
         b = self._with_sets(right, "a long, part int, b long")
-        linked = a.join(b, ["a", "part"]).where(_similar(self.threshold)("set_a", "set"))
+        linked = a.join(b, ["a", "part"]).where(_similar(F.col("set_a"), F.col("set"), self.threshold))
         return staged(linked.select("a", "b"), "links")
 
     def _with_sets(self, wanted: DataFrame, schema: str) -> DataFrame:
@@ -398,7 +390,7 @@ class _Join:
         same = (self.texts["key"] == wanted["key"]) & self.texts["id"].eqNullSafe(wanted["id"])
         names = [c for c in wanted.columns if c not in ("id", "key")]
         found = self.texts.join(wanted, same).select(*names, "text")
-        return found.mapInArrow(_sets_of_texts(self.words), f"{schema}, set binary")
+        return found.mapInArrow(_sets_of_texts(self.words), f"{schema}, set array<long>")
 
     def components(self) -> DataFrame:
         """Of every linked record: node, component (numbers of records)."""

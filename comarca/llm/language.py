@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comarca.llm.common import is_held_out
-from comarca.llm.words import filled, slices
+from comarca.llm.words import slices
 
 PER_LANGUAGE = 1_000
 MOST_SAMPLES = 8_000
@@ -53,7 +53,7 @@ def _grams(codes: np.ndarray, owners: np.ndarray, rows: int, dims: int) -> np.nd
 def count_vectors(texts: pa.Array) -> Iterator[np.ndarray]:
     """For slices of the texts, in order, the n-gram counts of every text, in lower case."""
     dims = 1 << BITS
-    for part in slices(filled(texts), SLICE_BYTES):
+    for part in slices(texts, SLICE_BYTES):
         lower = pc.replace_substring_regex(pc.utf8_lower(part), r"[^\p{L}]+", " ")
         for at in range(0, len(lower), 256):
             some = lower.slice(at, 256)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comarca.llm.common import labelled_sample, rows_of, staged, unpacked
-from comarca.llm.words import filled, slices, word_codes
+from comarca.llm.words import slices, word_codes
 
 SAMPLE = 60_000
 # Most words of the model; those with the largest scores are kept.
@@ -85,7 +85,7 @@ class ToxicityModel:
 
 def _scan(texts: pa.Array, words: pa.Array, scores: np.ndarray) -> Iterator[tuple[int, list]]:
     """The number of tokens and the maximal segments of every text."""
-    for part in slices(filled(texts)):
+    for part in slices(texts):
         codes, starts, distinct = word_codes(part)
         place = pc.fill_null(pc.index_in(tokens_of(distinct), value_set=words), -1).to_numpy(zero_copy_only=False)
         of_word = np.where(place >= 0, scores[place] if len(scores) else 0.0, 0.0) - DRIFT
@@ -124,7 +124,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         labels = batch.column(1).to_numpy()
         at = 0
-        for part in slices(filled(batch.column(0))):
+        for part in slices(batch.column(0)):
             codes, starts, distinct = word_codes(part)
             toxic = np.repeat(labels[at : at + len(part)] != 0, np.diff(starts))
             at += len(part)

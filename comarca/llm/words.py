@@ -8,22 +8,23 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
-
-
-def filled(texts: pa.Array) -> pa.Array:
-    """As large strings, null as ''."""
-    return pc.fill_null(texts.cast(pa.large_string()), "")
+SLICE_BYTES = 2 << 20
 
 
 def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:
-    """Consecutive slices of at most ``size`` bytes, or one longer text; covers every row."""
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    """Consecutive slices of at most ``size`` bytes, or one longer text, as large strings.
+
+    They cover every row; null is ''. Memory of earlier slices is given back.
+    """
+    # Cast before slicing: kernels take a slice's offset into account, but not first offsets above 0.
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
     at = 0
     while at < len(texts):
         before = ends[at - 1] if at else 0
         stop = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
         yield texts.slice(at, stop - at)
+        pa.default_memory_pool().release_unused()
         at = stop
 
 
