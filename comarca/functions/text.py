@@ -13,6 +13,9 @@ LATIN1_ONLY = r"^[\x{0}-\x{FF}]*$"
 # How the first two bytes of any accented letter look when read as ISO-8859-1.
 GARBLED_LETTER = r"[\x{C2}-\x{F4}][\x{80}-\x{BF}]"
 
+# One garbled Latin-1 letter, or any other character.
+LETTER_OR_CHARACTER = r"(?s)[\x{C2}\x{C3}][\x{80}-\x{BF}]|."
+
 
 def as_column(value: Column | str) -> Column:
     """A column given by itself or by its name."""
@@ -23,14 +26,20 @@ def repair_text(column: Column | str) -> Column:
     """Undo UTF-8 text that was read as ISO-8859-1 (``EspaÃ±a`` -> ``España``).
 
     The whole string is turned back into its Latin-1 bytes and kept only if they are valid
-    UTF-8, so every accented letter is covered and clean text passes through. The first
+    UTF-8, so every accented letter is covered and clean text passes through. Text in which only
+    some letters are garbled (``EspaÃ±a ñ``, ``日本 Ã±``) is repaired letter by letter. The first
     condition spares most clean text the others, which are needed: ``encode`` raises on
     characters beyond Latin-1 and ``decode`` on bytes that are no UTF-8.
     """
     column = as_column(column)
     raw = F.encode(column, "ISO-8859-1")
-    garbled = column.rlike(GARBLED_LETTER) & column.rlike(LATIN1_ONLY) & F.is_valid_utf8(raw)
-    return F.when(garbled, F.decode(raw, "UTF-8")).otherwise(column)
+    some = column.rlike(GARBLED_LETTER)
+    whole = some & column.rlike(LATIN1_ONLY) & F.is_valid_utf8(raw)
+    letters = F.transform(
+        F.regexp_extract_all(column, F.lit(LETTER_OR_CHARACTER), F.lit(0)),
+        lambda x: F.when(F.length(x) == 2, F.decode(F.encode(x, "ISO-8859-1"), "UTF-8")).otherwise(x),
+    )
+    return F.when(whole, F.decode(raw, "UTF-8")).when(some, F.array_join(letters, "")).otherwise(column)
 
 
 def contains_any(column: Column | str, words: Iterable[str]) -> Column:

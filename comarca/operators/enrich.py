@@ -13,6 +13,14 @@ from comarca.functions import per_unit
 SALTS = 16
 
 
+def free_name(base: str, *taken: Sequence[str]) -> str:
+    """A column name that none of the tables has."""
+    used = {name.lower() for names in taken for name in names}
+    while base.lower() in used:
+        base += "_"
+    return base
+
+
 def _known(columns: Sequence[str]) -> Column:
     return reduce(Column.__and__, [F.col(name).isNotNull() for name in columns])
 
@@ -28,8 +36,9 @@ def unique_lookup(dimension: DataFrame, keys: Sequence[str], value: str) -> Data
     Dimension rows are counted: a key listed twice is ambiguous even if both rows agree, so
     that a city name found in two counties gives no answer.
     """
-    grouped = dimension.groupBy(*keys).agg(F.count(value).alias("_known"), F.max(value).alias(value))
-    return grouped.where(F.col("_known") == 1).drop("_known")
+    known = free_name("_known", keys, [value])
+    grouped = dimension.groupBy(*keys).agg(F.count(value).alias(known), F.max(value).alias(value))
+    return grouped.where(F.col(known) == 1).drop(known)
 
 
 def join_spread(
@@ -49,10 +58,11 @@ def join_spread(
     # Spark hashes no maps.
     hashed = [name for name, kind in df.dtypes if "map<" not in kind]
     row_hash = F.xxhash64(F.spark_partition_id(), *hashed)
-    salted = df.withColumn("_salt", F.pmod(row_hash, F.lit(salts)))
+    salt = free_name("_salt", df.columns, lookup.columns)
+    salted = df.withColumn(salt, F.pmod(row_hash, F.lit(salts)))
     every_salt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-    repeated = lookup.withColumn("_salt", every_salt)
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    repeated = lookup.withColumn(salt, every_salt)
+    return salted.join(repeated, [*keys, salt], how).drop(salt)
 
 
 def fill_from_lookup(

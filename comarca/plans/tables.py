@@ -38,18 +38,26 @@ def _columns(headers: Mapping[str, str]) -> dict[str, Column]:
     return {**found, "county": F.lower(found["county"])}
 
 
+# Sources by kind; as pairs where several sources are of one kind.
+Sources = Mapping[str, DataFrame] | Sequence[tuple[str, DataFrame]]
+
+
+def _pairs(sources: Sources) -> Sequence[tuple[str, DataFrame]]:
+    return list(sources.items()) if isinstance(sources, Mapping) else sources
+
+
 # Venues ------------------------------------------------------------------------------
 
 
-def venues(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """One table of all venues; ``sources`` maps kind to source."""
-    parts = [(source, _columns(fixed.VENUE_COLUMNS), kind) for kind, source in sources.items()]
+def venues(sources: Sources) -> DataFrame:
+    """One table of all venues; ``sources`` maps kind to source, or lists such pairs."""
+    parts = [(source, _columns(fixed.VENUE_COLUMNS), kind) for kind, source in _pairs(sources)]
     return ingest_tagged(parts, "garito_kind")
 
 
 def load_venues(spark: SparkSession, location: str, files: Sequence[str]) -> DataFrame:
-    """Venues from delimited files; the kind is the file's stem."""
-    return venues({source_tag(name): read_delimited(spark, location + name) for name in files})
+    """Venues from delimited files; the kind is the file's stem, which several files may share."""
+    return venues([(source_tag(name), read_delimited(spark, location + name)) for name in files])
 
 
 def postal_codes(venue_table: DataFrame) -> DataFrame:
@@ -120,7 +128,7 @@ def clean_social(social_table: DataFrame, canonicalise_first: bool = False) -> D
 # Cultural ----------------------------------------------------------------------------
 
 
-def cultural(sources: Mapping[str, DataFrame]) -> DataFrame:
+def cultural(sources: Sources) -> DataFrame:
     """One table of all cultural institutions; ``sources`` maps kind to its elements.
 
     Elements are rows with a list ``attributes``.
@@ -132,14 +140,14 @@ def cultural(sources: Mapping[str, DataFrame]) -> DataFrame:
             columns,
             kind,
         )
-        for kind, elements in sources.items()
+        for kind, elements in _pairs(sources)
     ]
     return ingest_tagged(parts, "cultural_kind")
 
 
 def load_cultural(spark: SparkSession, location: str, files: Sequence[str]) -> DataFrame:
-    """Cultural institutions from JSON documents; the kind is the file's stem."""
-    return cultural({source_tag(name): read_elements(spark, location + name) for name in files})
+    """Cultural institutions from JSON documents; the kind is the file's stem, which several may share."""
+    return cultural([(source_tag(name), read_elements(spark, location + name)) for name in files])
 
 
 def clean_cultural(cultural_table: DataFrame) -> DataFrame:
@@ -173,7 +181,7 @@ def population(raw: DataFrame) -> DataFrame:
         code_to_label(code, fixed.COUNTY_OF_CODE).alias("county"),
         repair_text(strip_code(municipality)).alias("city"),
         leading_int(f"`{fixed.AGE}`").alias("age"),
-        to_int(fixed.PEOPLE).alias("population"),
+        to_int(fixed.PEOPLE, data_type="long").alias("population"),
     )
     return bucket_sums(
         people,

@@ -13,10 +13,11 @@ def read_delimited(
     Nothing is inferred: codes keep their leading zeros and the data is not scanned twice.
     Doubled quotes inside a value become one. Rows end at the line end, so a large file is
     split over many tasks. Blank values are null. Files with different headers are separate
-    sources, since columns are matched by position within one read.
+    sources, since columns are matched by position within one read; reading them together fails.
     """
     return spark.read.options(
-        header=True, sep=separator, encoding=encoding, escape='"', inferSchema=False
+        header=True, sep=separator, encoding=encoding, escape='"', inferSchema=False,
+        enforceSchema=False,
     ).csv(path)
 
 
