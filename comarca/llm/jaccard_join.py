@@ -456,7 +456,7 @@ def without_near_copies(
     stays = F.col("id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("first_key"))
     placed = placed.withColumn("stays", stays)
     per_id = placed.groupBy("id").agg(
-        F.count_if(F.col("n_shingles") > 0).alias("rows"), F.count_if("stays").alias("keeps")
+        F.count("*").alias("rows"), F.count_if("stays").alias("keeps")
     )
     per_id = staged(per_id.where((F.col("rows") > 1) | (F.col("keeps") == 0)), "left-out")
     gone = bounded(per_id.select(F.col("id").alias("gone")))

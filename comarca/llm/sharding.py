@@ -47,8 +47,8 @@ def _splitters(records: DataFrame, ranges: int, total: int) -> tuple[np.ndarray,
 
 def _range_of(hashes: np.ndarray, ids: np.ndarray):
     """A column function: the number of the range that a (hash, id) lies in."""
-    starts = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]]) if len(hashes) else np.empty(0, int)
-    stops = np.r_[starts[1:], len(hashes)].astype(int)
+    starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)])
+    stops = np.concatenate([starts[1:], [len(hashes)]])[: len(starts)].astype(int)
     split = {int(hashes[a]): (a, b) for a, b in zip(starts, stops, strict=True) if b - a > 1}
 
     @F.pandas_udf("int")
