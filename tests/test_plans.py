@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
+from comarca.queries import QUERIES
 from comarca.operators import (
     count_by,
     dedup,
@@ -22,9 +22,9 @@ SF_DIR = "/root/testdata/sf0.001"
 PYTHON = re.compile("ArrowEvalPython|BatchEvalPython|MapInPandas|MapInArrow|FlatMapGroupsIn|PythonUDF")
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_plan(spark, name):
-    text = plan(driver.queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     assert not PYTHON.search(text)
     assert "CartesianProduct" not in text
     assert "NestedLoopJoin" not in text
@@ -156,7 +156,7 @@ def test_profile_reads_each_column_once_and_counts_before_the_shuffle(spark):
 
 
 def test_attributes_wide_needs_no_shuffle(spark):
-    assert "Exchange" not in plan(driver.queries()["attributes_wide_parts"](spark, SF_DIR))
+    assert "Exchange" not in plan(QUERIES["attributes_wide_parts"](spark, SF_DIR))
 
 
 def test_ingest_shuffles_once_for_any_number_of_sources(spark):
@@ -192,11 +192,11 @@ def test_queries_on_a_stored_table_prune_folders_and_columns(spark, tmp_path):
     ],
 )
 def test_scans_read_only_the_columns_needed(spark, name, columns):
-    assert f"ReadSchema: struct<{columns}>" in plan(driver.queries()[name](spark, SF_DIR))
+    assert f"ReadSchema: struct<{columns}>" in plan(QUERIES[name](spark, SF_DIR))
 
 
 def test_filters_reach_the_scan(spark):
-    text = plan(driver.queries()["sentinel_rows"](spark, SF_DIR))
+    text = plan(QUERIES["sentinel_rows"](spark, SF_DIR))
     assert "EqualTo(event_type,error)" in text
-    text = plan(driver.queries()["text_theme_matches"](spark, SF_DIR))
+    text = plan(QUERIES["text_theme_matches"](spark, SF_DIR))
     assert "StringContains(text,tion)" in text
