@@ -55,5 +55,5 @@ def has_prefix(column: Column | str, prefixes: Iterable[str]) -> Column:
 
 
 def strip_code(column: Column | str) -> Column:
-    """The name behind a leading numeric code: ``44001  Ababuj`` -> ``Ababuj``."""
+    """The name behind a leading numeric code: ``44990  Lugarejo`` -> ``Lugarejo``."""
     return F.regexp_extract(as_column(column), r"[0-9]*\s+(.+)", 1)

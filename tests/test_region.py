@@ -135,7 +135,7 @@ POPULATION = [
     ("49001  Villa", BOTH, "20 años", "6.000"),
     ("37001  Villa", BOTH, "20 años", "4.000"),
     ("24001  Ñandú Álava Éxito", BOTH, "20 años", "50"),
-    ("44001  Ababuj", BOTH, "4 años", "77"),
+    ("44990  Lugarejo", BOTH, "4 años", "77"),
     ("42001  Vacía", BOTH, "4 años", ".."),
 ]
 
