@@ -12,6 +12,7 @@ from comarca.operators.quality import (
     audit_filters,
     dedup,
     find_dupes,
+    find_long_dupes,
     has_no_nulls,
     null_counts,
     profile,
@@ -43,6 +44,7 @@ __all__ = [
     "explode_elements",
     "fill_from_lookup",
     "find_dupes",
+    "find_long_dupes",
     "has_no_nulls",
     "join_spread",
     "null_counts",

@@ -51,7 +51,8 @@ def join_spread(
     too, and a retried task sends its rows to the same place whatever their order. Both sides
     get a shuffle of their own, so AQE can broadcast a lookup it has measured to be small, or
     split a partition that is still too large. ``how`` is ``inner`` or ``left``. Filters on
-    the result stay above the salt, so filter the inputs instead.
+    the result stay above the salt, so filter the inputs instead. The price is ``salts``
+    copies of the lookup.
     """
     if how == "inner":
         df = df.where(_known(keys))
@@ -90,13 +91,20 @@ def rate_per(
     per: int = 100_000,
     minimum: int | None = None,
     name: str = "ratio",
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join a dimension with per-key totals and add ``numerator`` per ``per`` of ``denominator``.
 
     Keys missing on either side are dropped. ``minimum`` keeps dimension rows whose
-    denominator reaches it, before the join. Rows of a hot key are spread.
+    denominator reaches it, before the join. Rows of a hot key are spread over ``salts``
+    tasks; with 1, for a dimension of few rows per key, it is a plain join. Both sides should be stored tables:
+    the join wants known keys, and Catalyst pushes that test down to the scan, where a
+    computed key is then computed once more for every raw row.
     """
     if minimum is not None:
         dimension = dimension.where(F.col(denominator) >= minimum)
-    joined = join_spread(dimension, totals, keys, "inner")
+    if salts == 1:
+        joined = dimension.join(totals, list(keys), "inner")
+    else:
+        joined = join_spread(dimension, totals, keys, "inner", salts)
     return joined.withColumn(name, per_unit(numerator, denominator, per))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from comarca.operators.enrich import join_spread
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, null_count) for all columns from one scan."""
@@ -34,12 +35,33 @@ def find_dupes(df: DataFrame, keys: Sequence[str], name: str = "count") -> DataF
     """Key groups with more than one row, largest first, then by key.
 
     Sorting by the key too spreads the many groups of the same size over the range
-    partitions of the sort.
+    partitions of the sort. For a long text see ``find_long_dupes``.
     """
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
     return groups.orderBy(F.col(name).desc(), *keys)
 
 
+def find_long_dupes(df: DataFrame, key: str, name: str = "count") -> DataFrame:
+    """Values of a long text column found in more than one row, most frequent first.
+
+    Values are counted by SHA-256 digest and length, so the counting shuffle holds no text. The
+    digests that repeat are joined back to fetch one text each; the join is salted, since one
+    text may be a third of all rows. Nulls count as one value. The table is read twice, so it
+    should be a stored one.
+    """
+    text = F.col(key).cast("string")
+    hashed = df.select(
+        F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b"")).alias("digest"),
+        F.coalesce(F.length(text), F.lit(-1)).alias("length"),
+        F.col(key),
+    )
+    keys = ["digest", "length"]
+    groups = hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    found = join_spread(hashed, groups.where(F.col("rows") > 1), keys, "inner")
+    fetched = found.groupBy(*keys).agg(F.min(key).alias(key), F.first("rows").alias("rows"))
+    return fetched.orderBy(F.col("rows").desc(), *keys).select(key, F.col("rows").alias(name))
+
+
 def dedup(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None
 ) -> DataFrame:

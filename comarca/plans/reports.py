@@ -127,12 +127,12 @@ def venue_rates(
     """Venues per 100,000 people by city, for cities with at least one venue with an address.
 
     Matched by city name alone unless ``keys`` says otherwise: namesakes in two counties
-    share their venues.
+    share their venues. The population has a row per city and county, so no city is hot.
     """
     totals = venues_per_city(venues, keys).where(F.col("total") >= 1).select(*keys, "total")
     people = population.select("county", "city", fixed.TOTAL_POPULATION)
     rates = rate_per(
-        people, totals, keys, "total", fixed.TOTAL_POPULATION, minimum=minimum_population
+        people, totals, keys, "total", fixed.TOTAL_POPULATION, minimum=minimum_population, salts=1
     )
     return rates.select("county", "city", fixed.TOTAL_POPULATION, "total", "ratio")
 

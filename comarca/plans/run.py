@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from comarca.operators import audit
 from comarca.plans import checks, fixed, reports, tables
-from comarca.sources import read_partitioned, scratch_path
+from comarca.sources import read_elements, read_partitioned, scratch_path
 
 
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -32,36 +33,77 @@ def build_postal_codes(spark: SparkSession, venues: DataFrame, target: str) -> D
     return stored_table(spark, target, "postal_codes")
 
 
-def build_venues(spark: SparkSession, location: str, files: Sequence[str], target: str) -> None:
-    """Venue files to ``postal_codes/`` and ``garitos/`` below ``target``."""
+def build_venues(
+    spark: SparkSession, location: str, files: Sequence[str], target: str
+) -> dict[str, DataFrame]:
+    """Venue files to ``postal_codes/`` and ``garitos/`` below ``target``.
+
+    Returned, as by the other builds, are the checks of the table before its cleanup.
+    """
     venues = gather_venues(spark, location, files)
     known = build_postal_codes(spark, venues, target)
     cleaned = tables.clean_venues(venues, known)
     tables.store_by_county_and_postal_code(cleaned, target + "garitos/")
+    filled = stored_table(spark, target, "garitos")
+    return {
+        "Venues as gathered: nulls": checks.key_nulls(venues, "garitos"),
+        "Venues: rows by step": audit([("gathered", venues), ("filled", filled)]),
+    }
 
 
 def build_social(
     spark: SparkSession, location: str, associations: str, sports_clubs: str, target: str
-) -> None:
-    social = tables.load_social(spark, location, associations, sports_clubs)
+) -> dict[str, DataFrame]:
+    gathered = tables.load_social(spark, location, associations, sports_clubs)
+    social = staged(spark, gathered, "social")
     tables.store_by_county_and_postal_code(tables.clean_social(social), target + "social/")
+    return {
+        "Social entries as gathered: nulls": checks.key_nulls(social, "social"),
+        "Social entries as gathered: repeated keys": reports.repeated_social(social),
+        "Social entries as gathered: voided": reports.voided_social(social),
+        "Social entries: rows by step": audit(tables.social_steps(social)),
+    }
 
 
-def build_cultural(spark: SparkSession, location: str, files: Sequence[str], target: str) -> None:
-    cultural = tables.clean_cultural(tables.load_cultural(spark, location, files))
-    tables.store_by_county_and_postal_code(cultural, target + "cultural/")
+def build_cultural(
+    spark: SparkSession, location: str, files: Sequence[str], target: str
+) -> dict[str, DataFrame]:
+    cultural = staged(spark, tables.load_cultural(spark, location, files), "cultural")
+    cleaned = tables.clean_cultural(cultural)
+    tables.store_by_county_and_postal_code(cleaned, target + "cultural/")
+    return {
+        "Institutions as gathered: nulls": checks.key_nulls(cultural, "cultural"),
+        "Institutions as gathered: repeated keys": reports.repeated_cultural(cultural),
+        "Institutions as gathered: repeated keys and addresses": reports.repeated_cultural(
+            cultural, with_address=True
+        ),
+        "Institutions: rows by step": audit(tables.cultural_steps(cultural)),
+    }
 
 
 def build_population(spark: SparkSession, location: str, file: str, target: str) -> None:
     tables.store_by_county(tables.load_population(spark, location, file), target + "population/")
 
 
-def build_region(spark: SparkSession, location: str, target: str) -> None:
-    """All five tables from the files of one folder, under their usual names."""
-    build_venues(spark, location, fixed.VENUE_FILES, target)
-    build_social(spark, location, fixed.ASSOCIATION_FILE, fixed.SPORTS_CLUB_FILE, target)
-    build_cultural(spark, location, fixed.CULTURAL_FILES, target)
+def library_attributes(spark: SparkSession, location: str, file: str) -> DataFrame:
+    """Every attribute of every library, from its file, read by many tasks."""
+    return tables.element_attributes(read_elements(spark, location + file))
+
+
+def build_region(spark: SparkSession, location: str, target: str) -> dict[str, DataFrame]:
+    """All five tables from the files of one folder, under their usual names.
+
+    Returned are the checks before cleanup, by title; nothing of them runs until one is
+    looked at.
+    """
+    found = {
+        **build_venues(spark, location, fixed.VENUE_FILES, target),
+        **build_social(spark, location, fixed.ASSOCIATION_FILE, fixed.SPORTS_CLUB_FILE, target),
+        **build_cultural(spark, location, fixed.CULTURAL_FILES, target),
+    }
     build_population(spark, location, fixed.POPULATION_FILE, target)
+    libraries = library_attributes(spark, location, f"{fixed.LIBRARIES}.json")
+    return {**found, "Attributes of libraries": libraries}
 
 
 def stored_table(spark: SparkSession, target: str, name: str) -> DataFrame:

@@ -113,16 +113,27 @@ def clean_counties(df: DataFrame) -> DataFrame:
     return canonicalise(df, "county", fixed.COUNTY_FIXES, fixed.VALID_COUNTIES)
 
 
+def social_steps(
+    social_table: DataFrame, canonicalise_first: bool = False
+) -> list[tuple[str, DataFrame]]:
+    """The social table before and after each step of its cleanup."""
+    kept = drop_sentinel(social_table, "name", [fixed.VOIDED])
+    if canonicalise_first:
+        placed = clean_counties(kept)
+        last = [("in a county", placed), ("one per key", dedup(placed, UNIQUE["social"]))]
+    else:
+        single = dedup(kept, UNIQUE["social"])
+        last = [("one per key", single), ("in a county", clean_counties(single))]
+    return [("gathered", social_table), ("without voided", kept), *last]
+
+
 def clean_social(social_table: DataFrame, canonicalise_first: bool = False) -> DataFrame:
     """Remove voided entries, keep one row per key, then clean the counties.
 
     In this order two spellings of a county keep a row each. ``canonicalise_first`` cleans
     the counties before the duplicates are looked for.
     """
-    kept = drop_sentinel(social_table, "name", [fixed.VOIDED])
-    if canonicalise_first:
-        return dedup(clean_counties(kept), UNIQUE["social"])
-    return clean_counties(dedup(kept, UNIQUE["social"]))
+    return social_steps(social_table, canonicalise_first)[-1][1]
 
 
 # Cultural ----------------------------------------------------------------------------
@@ -150,6 +161,11 @@ def load_cultural(spark: SparkSession, location: str, files: Sequence[str]) -> D
     return cultural([(source_tag(name), read_elements(spark, location + name)) for name in files])
 
 
+def cultural_steps(cultural_table: DataFrame) -> list[tuple[str, DataFrame]]:
+    """The cultural table before and after its cleanup."""
+    return [("gathered", cultural_table), ("in a county", clean_cultural(cultural_table))]
+
+
 def clean_cultural(cultural_table: DataFrame) -> DataFrame:
     """Clean the counties. Equal names are kept: they are branches at different addresses."""
     return clean_counties(cultural_table)
@@ -162,6 +178,17 @@ def cultural_attributes(
     return attributes_long(documents, ATTRIBUTE_PATH, id_columns, SLOTS, position)
 
 
+def element_attributes(elements: DataFrame, position: str = "library_id") -> DataFrame:
+    """The same for elements read on their own, by as many tasks as ``read_elements`` has.
+
+    The id tells elements apart; it grows with the place in the file, but is no count.
+    """
+    numbered = elements.select(F.monotonically_increasing_id().alias(position), "attributes")
+    exploded = numbered.select(position, F.explode("attributes").alias("attribute"))
+    fields = [F.col(f"attribute.{field}").alias(field) for field in ("name", *SLOTS)]
+    return exploded.select(position, *fields)
+
+
 # Population --------------------------------------------------------------------------
 
 

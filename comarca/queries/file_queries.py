@@ -10,11 +10,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from comarca.operators import count_matrix
 from comarca.plans import fixed, reports, run
 from comarca.queries import shapes
 from comarca.queries.registry import query
+from comarca.queries.table_queries import LIBRARY_ATTRIBUTES
 from comarca.sources import scratch_path, source_tag, write_delimited
 
 
@@ -44,6 +46,22 @@ def stored_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.stored_table(spark, target, "garitos")
 
 
+@query(shapes.CLEAN_VENUES)
+def stored_venues_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the bars in two files of one name."""
+    sources = shapes.venue_sources(spark, sf_dir)
+    bars = sources.pop(fixed.BARS)
+    recent = F.xxhash64("Nombre") % 2 == 0
+    files = {
+        "2020/bares.csv": bars.where(~recent),
+        "2021/bares.csv": bars.where(recent),
+        **{f"2021/{kind}.csv": source for kind, source in sources.items()},
+    }
+    target = _folder(spark, "tables")
+    run.build_venues(spark, _written(spark, files), list(files), target)
+    return run.stored_table(spark, target, "garitos")
+
+
 @query(shapes.POSTAL_CODES)
 def stored_postal_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     venues = run.gather_venues(spark, _venue_files(spark, sf_dir), fixed.VENUE_FILES)
@@ -84,6 +102,17 @@ def stored_cultural(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.stored_table(spark, target, "cultural")
 
 
+@query(f"SELECT * EXCLUDE (library, library_id) FROM ({LIBRARY_ATTRIBUTES})")
+def stored_library_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The long view of documents of many lines each, read element by element."""
+    location = _folder(spark, "sources")
+    libraries = shapes.cultural_sources(spark, sf_dir)[fixed.LIBRARIES]
+    text = F.to_json(F.struct("document"), {"pretty": "true"})
+    libraries.select(text).write.text(location + "libraries.json")
+    long = run.library_attributes(spark, location, "libraries.json")
+    return long.drop("library_id").withColumnRenamed("LocalidadPadre", "parent")
+
+
 @query(shapes.POPULATION)
 def stored_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = {fixed.POPULATION_FILE: shapes.population_source(spark, sf_dir)}

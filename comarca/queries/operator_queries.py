@@ -31,6 +31,7 @@ from comarca.operators import (
     explode_elements,
     fill_from_lookup,
     find_dupes,
+    find_long_dupes,
     null_counts,
     pivot_first,
     profile,
@@ -271,7 +272,7 @@ def find_dupes_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT text, count(*) AS "count" FROM documents GROUP BY text HAVING count(*) > 1
 """)
 def find_dupe_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_dupes(table(spark, sf_dir, "documents"), ["text"])
+    return find_long_dupes(table(spark, sf_dir, "documents"), "text")
 
 
 @query("""

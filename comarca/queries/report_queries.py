@@ -1,7 +1,7 @@
 """The reports, over the regional tables made from the test tables.
 
-Filling postal codes changes no other column, so reports that do not read them run on the
-venues as gathered; their SQL runs on the filled table.
+Reports on venues run on the filled table, stored in the scratch folder as the build of the
+region stores it; so calling such a query runs the jobs that store it.
 """
 
 from __future__ import annotations
@@ -27,6 +27,14 @@ _THEME = "(name LIKE '%Vino%' OR name LIKE '%vino%' OR name LIKE '%ueso%')"
 _CITY = "Peñón 3"
 
 
+def _filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged(spark, venues_clean(spark, sf_dir), "filled")
+
+
+def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged(spark, population_table(spark, sf_dir), "people")
+
+
 @query(f"""
     SELECT name, county, city, garito_kind, count(name) AS total FROM ({shapes.VENUES})
     GROUP BY ALL ORDER BY total DESC, name, county, city, garito_kind LIMIT 10
@@ -40,7 +48,7 @@ def report_venue_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY name ORDER BY total DESC, name LIMIT 30
 """)
 def report_venue_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.venue_names(venues_table(spark, sf_dir))
+    return reports.venue_names(_filled(spark, sf_dir))
 
 
 @query(f"""
@@ -48,7 +56,7 @@ def report_venue_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE garito_kind = 'restaurantes' GROUP BY name ORDER BY total DESC, name LIMIT 15
 """)
 def report_restaurant_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.venue_names(venues_table(spark, sf_dir), "restaurantes", 15)
+    return reports.venue_names(_filled(spark, sf_dir), "restaurantes", 15)
 
 
 @query(f"""
@@ -56,7 +64,7 @@ def report_restaurant_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE garito_kind = 'cafeterias' GROUP BY county ORDER BY total DESC, county LIMIT 10
 """)
 def report_counties_by_cafes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.counties_by_venues(venues_table(spark, sf_dir))
+    return reports.counties_by_venues(_filled(spark, sf_dir))
 
 
 @query(f"""
@@ -68,7 +76,7 @@ def report_counties_by_cafes(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY city ORDER BY total DESC, city LIMIT 30
 """)
 def report_cities_by_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.cities_by_venues(venues_table(spark, sf_dir))
+    return reports.cities_by_venues(_filled(spark, sf_dir))
 
 
 @query(f"""
@@ -103,7 +111,7 @@ def report_sports(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
     SELECT name, county, city, cultural_kind, count(*) AS "count" FROM ({shapes.CULTURAL})
     GROUP BY ALL HAVING count(*) > 1
-    ORDER BY "count" DESC, name, county, city, cultural_kind LIMIT 15
+    ORDER BY "count" DESC, name, county NULLS FIRST, city, cultural_kind LIMIT 15
 """)
 def report_repeated_cultural(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.repeated_cultural(cultural_table(spark, sf_dir))
@@ -112,7 +120,7 @@ def report_repeated_cultural(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
     SELECT name, county, city, cultural_kind, address, count(*) AS "count"
     FROM ({shapes.CULTURAL}) GROUP BY ALL HAVING count(*) > 1
-    ORDER BY "count" DESC, name, county, city, cultural_kind, address NULLS FIRST LIMIT 15
+    ORDER BY "count" DESC, name, county NULLS FIRST, city, cultural_kind, address NULLS FIRST LIMIT 15
 """)
 def report_repeated_cultural_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.repeated_cultural(cultural_table(spark, sf_dir), with_address=True)
@@ -174,20 +182,19 @@ def _rates_sql(condition: str = "") -> str:
     """
 
 
-# A city of the test data has more people than a city of the region, in proportion to sf.
-_MINIMUM = 5_000_000
+# A city of the test data has more people than a city of the region, but for the small ones.
+_MINIMUM = 1_000_000
 
 
 @query(_rates_sql())
 def report_venue_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    people = population_table(spark, sf_dir)
-    return reports.highest_venue_rates(people, venues_table(spark, sf_dir))
+    return reports.highest_venue_rates(_people(spark, sf_dir), _filled(spark, sf_dir))
 
 
 @query(_rates_sql(f"WHERE p.total_population >= {_MINIMUM}"))
 def report_venue_rates_large(spark: SparkSession, sf_dir: str) -> DataFrame:
-    people = population_table(spark, sf_dir)
-    return reports.highest_venue_rates(people, venues_table(spark, sf_dir), _MINIMUM)
+    people = _people(spark, sf_dir)
+    return reports.highest_venue_rates(people, _filled(spark, sf_dir), _MINIMUM)
 
 
 @query(shapes.ONE_POSTAL_CODE)
@@ -206,7 +213,7 @@ def _same(columns: list[str]) -> dict[str, str]:
     )
 )
 def report_venue_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.table_profile(staged(spark, venues_clean(spark, sf_dir), "filled"))
+    return reports.table_profile(_filled(spark, sf_dir))
 
 
 @query(profile_sql(f"({shapes.POSTAL_CODES})", _same(["county", "city", "postal_code"])))

@@ -24,6 +24,16 @@ ASSOCIATION_SPELLINGS = [
     "AVILA", "BURGOS", "LEON", "PALENCIA", "SALAMANCA", "SEGOVIA", "SORIA", "VALLADOLID",
     "ZAMORA", "MADRID",
 ]
+# The same counties with their accents, as every other association spells them.
+ACCENTED_SPELLINGS = ["Ávila", "BURGOS", "León", *ASSOCIATION_SPELLINGS[3:]]
+
+# Counties as the museums spell them; nation 24 has none.
+MUSEUM_SPELLINGS = [
+    "AVILA", "Burgos", "LEON", "Palencia", "MADRID", "Segovia", "Soria", "León", "Zamora",
+]
+
+# Places with few people at any scale.
+SMALL_PLACES = [5, 8, 17]
 
 
 def _text(column: Column | str) -> Column:
@@ -157,7 +167,9 @@ def associations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("Asociación"),
         F.col("c_name").alias("Domicilio"),
         F.upper(city(nation)).alias("Municipio"),
-        F.when(nation != 24, _pick(ASSOCIATION_SPELLINGS, nation)).alias("Provincia"),
+        F.when((nation != 24) & (F.col("c_custkey") % 2 == 0), _pick(ACCENTED_SPELLINGS, nation))
+        .when(nation != 24, _pick(ASSOCIATION_SPELLINGS, nation))
+        .alias("Provincia"),
         code(nation).alias("C_Postal"),
     )
 
@@ -180,8 +192,9 @@ _CUSTKEY = "(o_custkey % 25)"
 SOCIAL = f"""
     SELECT DISTINCT CASE WHEN c_acctbal < 0 THEN 'ANULADO' ELSE 'PEÑA ' || c_mktsegment END AS name,
            c_name AS address,
-           CASE WHEN c_nationkey <> 24
-                THEN lower({sql_pick(ASSOCIATION_SPELLINGS, 'c_nationkey')}) END AS county,
+           CASE WHEN c_nationkey = 24 THEN NULL
+                WHEN c_custkey % 2 = 0 THEN lower({sql_pick(ACCENTED_SPELLINGS, 'c_nationkey')})
+                ELSE lower({sql_pick(ASSOCIATION_SPELLINGS, 'c_nationkey')}) END AS county,
            upper({sql_city('c_nationkey')}) AS city, {sql_code('c_nationkey')} AS postal_code,
            'N/A' AS sports, 'association' AS social_kind
     FROM customer
@@ -216,9 +229,10 @@ def _sql_single_social(source: str) -> str:
     """
 
 
-_UNVOIDED = f"SELECT * FROM ({SOCIAL}) WHERE name <> 'ANULADO'"
-CLEAN_SOCIAL = _sql_clean_counties(_sql_single_social(_UNVOIDED))
-CLEAN_SOCIAL_FIRST = _sql_single_social(_sql_clean_counties(_UNVOIDED))
+UNVOIDED = f"SELECT * FROM ({SOCIAL}) WHERE name <> 'ANULADO'"
+SINGLE_SOCIAL = _sql_single_social(UNVOIDED)
+CLEAN_SOCIAL = _sql_clean_counties(SINGLE_SOCIAL)
+CLEAN_SOCIAL_FIRST = _sql_single_social(_sql_clean_counties(UNVOIDED))
 
 
 # Cultural: parts as libraries, customers as museums ------------------------------------
@@ -231,7 +245,8 @@ def _attribute(name: str, slot: str, value: Column) -> Column:
 
 
 def _cultural_document(
-    df: DataFrame, key: str, name: Column, address: Column, place: Column, postal: Column
+    df: DataFrame, key: str, name: Column, address: Column, place: Column, postal: Column,
+    placed: Column,
 ) -> DataFrame:
     """One document per row, with an empty element besides the institution."""
     attributes = F.array(
@@ -242,8 +257,8 @@ def _cultural_document(
         _attribute("CodigoPostal", "string", postal),
         _attribute("Telefono", "valor", F.lit("[]")),
         _attribute("Localidad_NombreLocalidad", "LocalidadPadre", city(place)),
-        _attribute("Directorio Superior", "valor", county(place)),
-        _attribute("Directorio Superior", "text", F.lit("Ñora")),
+        _attribute("Directorio Superior", "valor", placed),
+        _attribute("Directorio Superior", "text", F.when(placed.isNotNull(), F.lit("Ñora"))),
     )
 
     def element(listed: Column) -> Column:
@@ -265,7 +280,9 @@ def cultural_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(F.col("p_type") != "PROMO", F.col("p_type")),
         brand,
         code(brand),
+        county(brand),
     )
+    nation, custkey = F.col("c_nationkey"), F.col("c_custkey")
     themes = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("del Vino")).when(
         F.col("c_mktsegment") == "FURNITURE", F.lit("del queso")
     )
@@ -273,9 +290,11 @@ def cultural_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         table(spark, sf_dir, "customer"),
         "c_custkey",
         F.concat(F.lit("Museo "), F.coalesce(themes, F.lower("c_mktsegment"))),
-        F.when(F.col("c_acctbal") >= 0, F.col("c_name")),
-        F.col("c_nationkey"),
-        code(F.col("c_nationkey")),
+        F.when((F.col("c_acctbal") >= 0) & (custkey % 2 == 0), F.col("c_name"))
+        .when(F.col("c_acctbal") >= 0, F.lit("Plaza Mayor")),
+        nation,
+        F.when(custkey % 3 == 0, code(nation + 100)).otherwise(code(nation)),
+        F.when(nation != 24, _pick(MUSEUM_SPELLINGS, nation)),
     )
     return {fixed.LIBRARIES: libraries, fixed.MUSEUMS: museums}
 
@@ -288,9 +307,13 @@ CULTURAL = f"""
     UNION ALL
     SELECT DISTINCT 'Museo ' || CASE c_mktsegment WHEN 'BUILDING' THEN 'del Vino'
                 WHEN 'FURNITURE' THEN 'del queso' ELSE lower(c_mktsegment) END,
-           CASE WHEN c_acctbal >= 0 THEN c_name END,
-           {sql_pick(SPELLINGS, 'c_nationkey')}, {sql_city('c_nationkey')},
-           {sql_code('c_nationkey')}, '{fixed.MUSEUMS}'
+           CASE WHEN c_acctbal >= 0 AND c_custkey % 2 = 0 THEN c_name
+                WHEN c_acctbal >= 0 THEN 'Plaza Mayor' END,
+           CASE WHEN c_nationkey <> 24 THEN {sql_pick(MUSEUM_SPELLINGS, 'c_nationkey')} END,
+           {sql_city('c_nationkey')},
+           CASE WHEN c_custkey % 3 = 0 THEN {sql_code('c_nationkey + 100')}
+                ELSE {sql_code('c_nationkey')} END,
+           '{fixed.MUSEUMS}'
     FROM customer
 """
 CLEAN_CULTURAL = _sql_clean_counties(CULTURAL)
@@ -318,7 +341,8 @@ def population_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     garbled = [name.encode("utf-8").decode("iso-8859-1") for name in clean]
     years = (F.col("l_quantity") * 2).cast("int")
-    people = _dotted(F.floor("l_extendedprice"))
+    few = F.col("l_linenumber").cast("long")
+    people = _dotted(F.when(place.isin(SMALL_PLACES), few).otherwise(F.floor("l_extendedprice")))
     return table(spark, sf_dir, "lineitem").select(
         F.when(F.col("l_linestatus") == "O", _pick(garbled, place))
         .otherwise(_pick(clean, place))
@@ -355,6 +379,7 @@ POPULATION = f"""
         SELECT {sql_county(_SUPPLIER)} AS county, {sql_city(_SUPPLIER)} AS city,
                CAST(l_quantity * 2 AS INTEGER) AS age,
                CASE WHEN l_discount = 0 THEN 0
+                    WHEN {_SUPPLIER} IN ({', '.join(map(str, SMALL_PLACES))}) THEN l_linenumber
                     ELSE CAST(floor(l_extendedprice) AS INTEGER) END AS people
         FROM lineitem
         WHERE l_suppkey % 25 <> 24 AND l_returnflag = 'A' AND l_tax <> 0

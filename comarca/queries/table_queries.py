@@ -64,11 +64,14 @@ def social_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
     SELECT 'gathered' AS step, count(*) AS rows FROM ({shapes.SOCIAL})
-    UNION ALL SELECT 'cleaned', count(*) FROM ({shapes.CLEAN_SOCIAL})
+    UNION ALL SELECT 'without voided', count(*) FROM ({shapes.UNVOIDED})
+    UNION ALL SELECT 'one per key', count(*) FROM ({shapes.SINGLE_SOCIAL})
+    UNION ALL SELECT 'in a county', count(*) FROM ({shapes.CLEAN_SOCIAL})
 """)
 def social_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores the gathered table, then counts it after each step."""
     social = staged(spark, social_table(spark, sf_dir), "social")
-    return audit([("gathered", social), ("cleaned", tables.clean_social(social))])
+    return audit(tables.social_steps(social))
 
 
 @query(shapes.CULTURAL)
@@ -91,11 +94,11 @@ def cultural_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
     SELECT 'gathered' AS step, count(*) AS rows FROM ({shapes.CULTURAL})
-    UNION ALL SELECT 'cleaned', count(*) FROM ({shapes.CLEAN_CULTURAL})
+    UNION ALL SELECT 'in a county', count(*) FROM ({shapes.CLEAN_CULTURAL})
 """)
 def cultural_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     cultural = staged(spark, cultural_table(spark, sf_dir), "cultural")
-    return audit([("gathered", cultural), ("cleaned", tables.clean_cultural(cultural))])
+    return audit(tables.cultural_steps(cultural))
 
 
 def _library_attribute_sql() -> str:
@@ -126,7 +129,10 @@ def _library_attribute_sql() -> str:
     return " UNION ALL ".join(selects)
 
 
-@query(_library_attribute_sql())
+LIBRARY_ATTRIBUTES = _library_attribute_sql()
+
+
+@query(LIBRARY_ATTRIBUTES)
 def library_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All attributes of all library elements; the element without any gives no row."""
     libraries = shapes.cultural_sources(spark, sf_dir)[fixed.LIBRARIES]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,19 +55,74 @@ def read_documents(
     return spark.read.schema(schema).json(path, multiLine=whole_file, mode="FAILFAST")
 
 
+# What may stand between elements, as patterns. Values beside the list are plain.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_MEMBER = rf"\s*+{_STRING}\s*+:\s*+(?:{_STRING}|[\w.+-]++)\s*+"
+_OPEN = (
+    rf'\s*+\{{(?:{_MEMBER},)*\s*+"document"\s*+:\s*+\{{(?:{_MEMBER},)*\s*+"list"\s*+:\s*+\['
+)
+_CLOSE = rf"\s*+\](?:\s*+,{_MEMBER})*+\s*+\}}(?:\s*+,{_MEMBER})*+\s*+\}}"
+_EMPTY = rf"(?:{_OPEN}{_CLOSE})*+"
+
+_HEAD = rf"^\uFEFF?{_EMPTY}{_OPEN}\s*+\{{\s*+$"
+_WHOLE = rf"^\uFEFF?{_EMPTY}\s*+$"
+_NEXT = r"\}\s*+,\s*+\{\s*+$"
+_JOINT = rf"\}}{_CLOSE}{_EMPTY}{_OPEN}\s*+\{{\s*+$"
+_LAST = rf"\}}{_CLOSE}{_EMPTY}\s*+$"
+
+
+def _count(text: Column, character: str) -> Column:
+    return F.length(text) - F.length(F.translate(text, character, ""))
+
+
+def _faults(pieces: DataFrame) -> tuple[int, str | None]:
+    """How many files are not whole documents, and the name of one of them. One job.
+
+    A whole file opens a document before its first element, closes the last one at its end,
+    and has nothing but the next element or document between two elements.
+    """
+    text = F.col("value")
+    valued = text.rlike(r"^\s*+:")
+    opening = ~valued & text.rlike(_HEAD)
+    alone = ~valued & text.rlike(_WHOLE)
+    # Lists of attributes close like lists of elements, but not as deep.
+    bare = F.regexp_replace(text, _STRING, "")
+    level = _count(bare, "{") - _count(bare, "}")
+    closing = valued & text.rlike(_LAST) & (level == -3)
+    between = valued & (text.rlike(_NEXT) | text.rlike(_JOINT)) & (level == 0)
+    files = pieces.groupBy("file").agg(
+        F.count_if(opening | alone).alias("starts"),
+        F.count_if(closing | alone).alias("ends"),
+        F.count_if(~(opening | alone | closing | between)).alias("strange"),
+    )
+    sound = (F.col("starts") == 1) & (F.col("ends") == 1) & (F.col("strange") == 0)
+    found = files.where(~sound).agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("file"))
+    return tuple(found.first())
+
+
 def read_elements(spark: SparkSession, path: str) -> DataFrame:
     """Read just the elements of JSON documents, as one column ``attributes``.
 
     A file is cut at the key ``"element"``, so one large document is read by many tasks,
-    whatever its line breaks. Quotes within a JSON text are escaped, hence the key cannot
-    appear inside one; a text that is the word itself would break its element, which is an
-    error. A file that ends between two elements is not noticed, unlike with
-    ``read_documents``, and elements have no position here.
+    whatever its line breaks. A first job checks that every file is whole: it raises
+    ``ValueError`` for text of another shape, for a file cut anywhere and for text after the
+    end. Files may hold several documents; an empty file has no elements. Quotes within a
+    JSON text are escaped, hence the key cannot appear inside one; if some text is the word
+    itself, the files are read one task per file. A broken element is an error when it is
+    read. Elements have no position here.
     """
-    pieces = spark.read.text(path, lineSep='"element"')
-    values = pieces.where(F.col("value").rlike(r"^\s*:"))
+    name = F.col("_metadata.file_path").alias("file")
+    pieces = spark.read.text(path, lineSep='"element"').select("value", name)
+    if _faults(pieces)[0]:
+        # A text that is the key itself: cut only at keys, which takes a whole file in one task.
+        files = spark.read.text(path, wholetext=True).select("value", name)
+        cut = F.explode(F.split("value", r'"element"(?=\s*+:)'))
+        pieces = files.select(cut.alias("value"), "file")
+        n, file = _faults(pieces)
+        if n:
+            raise ValueError(f"{n} files of {path} are not whole attribute documents, one is {file}")
     text = F.concat(F.lit('{"element"'), "value")
     # Unpacked as a list of one: filters are not pushed below that, so each is parsed once.
     listed = F.from_json(text, T.ArrayType(_ELEMENT), {"mode": "FAILFAST"})
-    parsed = values.select(F.inline_outer(listed))
+    parsed = pieces.where(F.col("value").rlike(r"^\s*+:")).select(F.inline_outer(listed))
     return parsed.select(F.col("element.attribute").alias("attributes"))

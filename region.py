@@ -14,8 +14,8 @@ from comarca.plans import run
 
 def main(location: str, target: str) -> None:
     spark = SparkSession.builder.appName("comarca").getOrCreate()
-    run.build_region(spark, location, target)
-    shown = {**run.region_checks(spark, target), **run.region_reports(spark, target)}
+    before = run.build_region(spark, location, target)
+    shown = {**before, **run.region_checks(spark, target), **run.region_reports(spark, target)}
     for title, df in shown.items():
         print(title)
         df.show(30, truncate=False)

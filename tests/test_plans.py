@@ -120,6 +120,18 @@ def test_rates_spread_a_hot_city(spark, merge_joins):
     assert max(partition_sizes(rated)) < 20_000 / 4
 
 
+def test_rates_on_stored_tables_shuffle_little_and_repair_nothing(spark, merge_joins):
+    text = plan(QUERIES["report_venue_rates"](spark, SF_DIR))
+    assert text.count("Exchange hashpartitioning") <= 4
+    assert "regexp" not in text and "Generate" not in text
+
+
+def test_texts_are_counted_by_digest(spark, merge_joins):
+    text = plan(QUERIES["find_dupe_text"](spark, SF_DIR))
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", text)
+    assert keys and not any("text" in key for key in keys)
+
+
 def test_aqe_splits_what_the_salts_leave_hot(spark, merge_joins):
     facts = hot_facts(spark).where("code is null")
     lookup = spark.createDataFrame([("hot", "9"), ("k1", "7")], "city string, code string")

@@ -174,6 +174,21 @@ def target(spark, location, tmp_path_factory):
     return folder
 
 
+def test_checks_before_the_cleanup(spark, location, tmp_path):
+    found = run.build_region(spark, location, f"{tmp_path}/")
+    steps = found["Social entries: rows by step"].collect()
+    assert [tuple(r) for r in steps] == [
+        ("gathered", 15), ("without voided", 12), ("one per key", 10), ("in a county", 8)
+    ]
+    assert rows(found["Institutions: rows by step"]) == [("gathered", 9), ("in a county", 8)]
+    assert rows(found["Venues: rows by step"]) == [("filled", 14), ("gathered", 14)]
+    assert found["Social entries as gathered: voided"].count() == 2
+    assert found["Social entries as gathered: repeated keys"].count() == 2
+    assert dict(rows(found["Venues as gathered: nulls"]))["postal_code"] > 0
+    libraries = found["Attributes of libraries"]
+    assert (libraries.count(), libraries.select("library_id").distinct().count()) == (32, 4)
+
+
 @pytest.fixture
 def stored(spark, target):
     return lambda name: run.stored_table(spark, target, name)

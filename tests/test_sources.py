@@ -112,11 +112,58 @@ def test_one_large_document_is_read_by_many_tasks(spark, tmp_path, style):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_a_text_that_is_the_key_itself_is_an_error(spark, tmp_path):
+def test_a_text_that_is_the_key_itself_is_read(spark, tmp_path):
     item = {"element": {"attribute": [{"name": "a", "valor": "element"}, {"name": "b"}]}}
-    (tmp_path / "d.json").write_text(json.dumps({"document": {"list": [item]}}))
-    with pytest.raises(Exception, match="MALFORMED_RECORD"):
-        read_elements(spark, str(tmp_path / "d.json")).collect()
+    document = {"document": {"list": [item, {"element": None}, item]}}
+    (tmp_path / "d.json").write_text(json.dumps(document, indent=2))
+    found = read_elements(spark, str(tmp_path / "d.json"))
+    assert found.count() == 3
+    assert found.selectExpr("inline(attributes)").where("valor = 'element'").count() == 2
+
+
+ELEMENT = '{"element":{"attribute":[{"name":"a"}]}}'
+START = '{"note":"x\\"","document":{"date":"1","list":['
+END = '],"pages":3},"ok":true}'
+
+
+@pytest.mark.parametrize(
+    "text, count",
+    [
+        (START + END, 0),
+        (START + ELEMENT + END, 1),
+        (f"{START} {ELEMENT} ,\n {ELEMENT} {END}\n", 2),
+        (f"{START}{ELEMENT}{END}\n{START}{END}\n{START}{ELEMENT},{ELEMENT}{END}\n", 3),
+        (f"{START}{END}{START}{ELEMENT}{END}{START}{END}", 1),
+        ("", 0),
+    ],
+)
+def test_whole_documents_are_read_element_by_element(spark, tmp_path, text, count):
+    (tmp_path / "d.json").write_text(text)
+    assert read_elements(spark, str(tmp_path / "d.json")).count() == count
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "no JSON",
+        '{"rows": []}',
+        f'{{"rows": [{ELEMENT}]}}',
+        START,
+        f"{START}{ELEMENT}",
+        f"{START}{ELEMENT},",
+        f"{START}{ELEMENT},{{",
+        f"{START}{ELEMENT},{ELEMENT[:6]}",
+        f"{START}{ELEMENT}]}}",
+        f"{START}{ELEMENT}{END}garbage",
+        f"{START}{ELEMENT}{END}{START}",
+        f"{ELEMENT}{END}",
+    ],
+)
+def test_a_file_that_is_not_whole_is_an_error(spark, tmp_path, text):
+    (tmp_path / "good.json").write_text(START + ELEMENT + END)
+    (tmp_path / "bad.json").write_text(text)
+    with pytest.raises(ValueError, match="1 files of .* one is .*bad.json"):
+        read_elements(spark, str(tmp_path))
 
 
 def test_large_delimited_files_are_split(spark, tmp_path):
