@@ -67,3 +67,9 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_python_workers_find_the_library(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "environment", {"PYTHONPATH": "/elsewhere"})
+    driver.importable(lambda session, folder: session.range(1))(spark, SF_DIR)
+    assert spark.sparkContext.environment["PYTHONPATH"] == f"{driver.HERE}{os.pathsep}/elsewhere"
