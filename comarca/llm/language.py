@@ -16,8 +16,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from comarca.llm.common import is_held_out
+from comarca.llm.common import is_held_out, staged
 from comarca.llm.words import slices
 
 PER_LANGUAGE = 1_000
@@ -79,8 +80,9 @@ class LanguageModel:
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts = [row.astype("<f4").tobytes() for rows in count_vectors(batch.column(1)) for row in rows]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.binary())], ["lang", "counts"])
+        counts = [row.astype("<f4").tobytes() for rows in count_vectors(batch.column(2)) for row in rows]
+        columns = [batch.column(0), batch.column(1), pa.array(counts, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "hash", "counts"])
 
 
 def cluster(vectors: np.ndarray, count: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
@@ -100,6 +102,16 @@ def cluster(vectors: np.ndarray, count: int, rounds: int = ROUNDS) -> tuple[np.n
     return centroids, np.argmax(vectors @ centroids.T, axis=1)
 
 
+def fair_share(sizes: list[int], most: int, limit: int) -> int:
+    """The largest number up to ``most`` that every group, or all of a smaller one, can give if at
+    most ``limit`` are taken in all; at least 1."""
+    low, high = 1, max(most, 1)
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if sum(min(size, middle) for size in sizes) <= limit else (low, middle - 1)
+    return low
+
+
 def learn_languages(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -108,22 +120,32 @@ def learn_languages(
     per_language: int = PER_LANGUAGE,
     limit: int = MOST_SAMPLES,
 ) -> LanguageModel:
-    """Learn from about ``per_language`` documents per language that are not held out, at most
+    """Learn from at most ``per_language`` documents per language that are not held out, at most
     ``limit`` in all. Runs jobs.
 
     They are those with the smallest hash of their id, from documents with a language and a
-    letter. Their n-gram counts, 8 KB each, come to the driver, which clusters them.
+    letter, whatever the layout. With many languages each gets fewer, so that every one is learned;
+    only of more than ``limit`` languages the rarest are not. Their n-gram counts, 8 KB each, come
+    to the driver, which clusters them.
     """
-    lang, text = F.col(lang_column), F.col(text_column)
-    usable = docs.where(lang.isNotNull() & F.rlike(text, F.lit(r"\p{L}")) & ~is_held_out(F.col(id_column)))
-    keys = docs.where(lang.isNotNull() & ~is_held_out(F.col(id_column)))
-    sizes = keys.groupBy(lang.alias("of")).count()
-    chance = F.pmod(F.xxhash64(F.col(id_column).alias("id"), F.lit(19)), F.lit(1 << 30)) / float(1 << 30)
-    shares = sizes.select("of", F.least(F.lit(per_language) / F.col("count"), F.lit(1.0)).alias("share"))
-    shares = shares.orderBy(F.desc("share"), "of").limit(limit)
-    picked = usable.join(F.broadcast(shares), lang == F.col("of")).where(chance < F.col("share"))
-    vectors = picked.select(F.col("of").alias("lang"), text.alias("text")).mapInArrow(_vectors, "lang string, counts binary")
-    rows = vectors.limit(limit).collect()
+    lang, text, ident = F.col(lang_column), F.col(text_column), F.col(id_column)
+    usable = docs.where(lang.isNotNull() & F.rlike(text, F.lit(r"\p{L}")) & ~is_held_out(ident))
+    hashed = usable.select(
+        lang.alias("lang"), F.pmod(F.xxhash64(ident.alias("id"), F.lit(19)), F.lit(1 << 30)).alias("hash"), text.alias("text")
+    )
+    sizes = hashed.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("count"), F.min("hash").alias("least"))
+    sizes = staged(sizes.orderBy(F.desc("count"), "of").limit(limit), "languages")
+    own = fair_share([row["count"] for row in sizes.select("count").collect()], per_language, limit)
+    # Some more than that are drawn by their hash, and the one with the smallest for certain.
+    share = (own + 4 * own**0.5 + 16) / F.col("count")
+    drawn = sizes.select("of", F.greatest("least", F.floor(share * (1 << 30))).alias("up_to"))
+    likely = hashed.join(F.broadcast(drawn), F.col("lang") == F.col("of")).where(F.col("hash") <= F.col("up_to"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "text"))
+    picked = likely.select("lang", "hash", "text", place.alias("place")).where(F.col("place") <= own)
+    # The texts are dealt out again, so that no task counts all those of a language.
+    dealt = picked.select("lang", "hash", "text").repartition("hash")
+    vectors = dealt.mapInArrow(_vectors, "lang string, hash long, counts binary")
+    rows = sorted(vectors.collect())
     dims = 1 << BITS
     names = np.array([row["lang"] for row in rows], dtype=object)
     counts = np.array([np.frombuffer(row["counts"], "<f4") for row in rows], dtype=np.float32).reshape(-1, dims)

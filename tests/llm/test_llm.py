@@ -17,7 +17,7 @@ from comarca.llm import jaccard_join as jj
 from comarca.llm.components import connected_components
 from comarca.llm.exact_dedup import DigestIndex, digests, exact_dedup, without_copies
 from comarca.llm.jaccard_join import beginning, jaccard_components, misses, without_near_copies
-from comarca.llm.language import identify_languages, learn_languages
+from comarca.llm.language import fair_share, identify_languages, learn_languages
 from comarca.llm.mixing import mix, mix_plan, split_quotas
 from comarca.llm.packing import Packer, encode_document, pack_documents, split_text
 from comarca.llm.quality_model import isotonic, learn_quality, score_quality
@@ -325,6 +325,28 @@ def test_languages(spark, odd, none):
     assert {r["lang_pred"] for r in identify_languages(odd, learn_languages(none)).collect()} == {"und"}
 
 
+@given(st.lists(st.integers(1, 50), max_size=20), st.integers(1, 40), st.integers(20, 200))
+@settings(max_examples=100, deadline=None)
+def test_fair_share_is_the_largest(sizes, most, limit):
+    fits = [n for n in range(1, most + 1) if sum(min(s, n) for s in sizes) <= limit]
+    assert fair_share(sizes, most, limit) == max(fits, default=1)
+
+
+def test_every_language_is_learned_whatever_the_layout(spark):
+    names = [f"l{k}" for k in range(12)]
+    rows = [(60 * n + k, f"{chr(97 + n) * 3} {chr(98 + n) * (1 + k % 5)}", name) for n, name in enumerate(names) for k in range(60)]
+    stored = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartitionByRange(12, "lang")
+    models = [learn_languages(table, limit=96) for table in (stored, stored.repartition(5))]
+    for model in models:
+        assert set(model.languages) == set(names)
+        assert (model.centroids == models[0].centroids).all()
+    rare = spark.createDataFrame([(1000 + k, "zzz", f"dirty{k}") for k in range(40)], stored.schema)
+    assert set(learn_languages(rare.union(stored), limit=12).languages) == set(names)
+    learned = next(k for k in range(1000, 2000) if zlib.crc32(str(k).encode()) % 5)
+    same = spark.createDataFrame([(learned, "qq rr", "same")] * 3000, stored.schema)
+    assert "same" in learn_languages(same.union(stored)).languages
+
+
 # Jaccard join --------------------------------------------------------------------------
 
 
