@@ -22,8 +22,6 @@ BLOCKS = 4096
 SHARDS = 16
 WEIGHTS = (5, 2, 1)
 MOST_ROUNDS = 3
-# What a target leaves of its part round is filled from the next block, and more up to so many rows.
-FILL_ROWS = 256
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -75,7 +73,7 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int = 0) -> np.ndarray:
 
 
 def _fitting(rows: pd.DataFrame) -> pd.DataFrame:
-    """Documents of a source's last blocks, in order, that fit into what the target leaves."""
+    """Documents of a source's cut blocks, in order, that fit into what the target leaves."""
     rows = rows.sort_values(["place", "order", "id", "row"])
     room, taken = int(round(rows["room"].max())), []
     for size in rows["size"]:
@@ -88,6 +86,45 @@ def _fitting(rows: pd.DataFrame) -> pd.DataFrame:
     return rows.assign(taken=taken)[["row", "taken"]]
 
 
+def _candidates(blocked: DataFrame, table: DataFrame, seed: int) -> DataFrame:
+    """Documents that may fill what a source's whole blocks leave of its target, its room.
+
+    Documents no longer than the room come in classes of length, by powers of two. Of each class
+    those of the first cut blocks come, in permuted order, until they reach the room together;
+    no fill needs more. So if not all of a class come, one of it is left out, and what is left at
+    the end is less than that. The smallest longer document comes too, as the one that may go over.
+    """
+    ends = table.where("cut").groupBy(F.col("source").alias("of")).agg(F.bround(F.max("room")).cast("long").alias("left"))
+    ends = staged(ends.where("left > 0"), "rooms")
+    cut = table.where("cut").select(F.col("source").alias("cut_source"), F.col("block").alias("cut_block"), "place")
+    cut = cut.join(bounded(ends), F.col("cut_source").eqNullSafe(F.col("of"))).drop("of")
+    in_cut = F.col("source").eqNullSafe(F.col("cut_source")) & (F.col("block") == F.col("cut_block"))
+    length = F.when(F.col("size") <= F.col("left"), F.length(F.bin("size"))).otherwise(0)
+    documents = (
+        blocked.where("size > 0").join(bounded(staged(cut, "cut")), in_cut)
+        .select("id", "row", "source", "block", "size", "place", F.col("left").alias("room"), length.alias("length"))
+    )
+
+    classes = documents.groupBy("source", "block", "place", "room", "length").agg(
+        F.sum("size").alias("words"), F.min("size").alias("least")
+    )
+    earlier = Window.partitionBy("source", "length").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    all_of = Window.partitionBy("source", "length")
+    nearest = F.struct("least", "place") == F.min(F.struct("least", "place")).over(all_of)
+    reached = F.coalesce(F.sum("words").over(earlier), F.lit(0))
+    wanted = classes.withColumn("wanted", F.when(F.col("length") == 0, nearest).otherwise(reached < F.col("room")))
+    wanted = wanted.where("wanted").select(
+        F.col("source").alias("of"), F.col("block").alias("of_block"), F.col("length").alias("of_length"), "least"
+    )
+    own = (
+        F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("of_block"))
+        & (F.col("length") == F.col("of_length")) & ((F.col("length") > 0) | (F.col("size") == F.col("least")))
+    )
+    order = F.xxhash64("id", F.lit(seed + 1)).alias("order")
+    chosen = documents.join(bounded(staged(wanted, "wanted")), own)
+    return chosen.select("id", "row", "source", "block", "size", "room", "place", order)
+
+
 def mix_plan(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -105,8 +142,9 @@ def mix_plan(
     Words are runs of other characters than blank and 0x09 to 0x0D; null texts have none. See
     ``source_targets`` for the targets: all words, by weight, of at most three times a
     source's own. A source's rounds over all its blocks and the blocks of its part round sum
-    up to its target, give or take at most half of the smallest document that was left out
-    of its last, partly taken blocks. Equal input gives equal output, whatever its layout, except that copies
+    up to its target, give or take less than any document that was left out of the part round, or
+    half of the one that went over; what whole blocks leave is filled from all the later ones,
+    see ``_candidates``. Equal input gives equal output, whatever its layout, except that copies
     of one row may swap. Null ids and null sources are values. A source without a word is
     taken no time. An empty table gives no rows. Other columns are not looked at.
 
@@ -145,28 +183,30 @@ def mix_plan(
     rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     part = F.col("target") - rounds * F.col("source_size")
     reached = F.coalesce(F.sum("words").over(earlier), F.lit(0))
-    past = F.col("words") > F.col("room")
-    rows_past = F.coalesce(F.sum(F.when(past, F.col("rows"))).over(earlier), F.lit(0))
     table = (
         blocked.groupBy("source", "block", "source_size", "target")
-        .agg(F.sum("size").alias("words"), F.count("*").alias("rows"))
+        .agg(F.sum("size").alias("words"))
         .withColumns({"place": F.row_number().over(permuted) - 1, "room": part - reached, "rounds": rounds})
-        .withColumn("rows_past", rows_past)
-        .withColumn(
-            "part",
-            F.when(part <= 0, 0).when(~past, 2).when(F.col("rows_past") < FILL_ROWS, 1).otherwise(0),
-        )
+        .withColumn("whole", (part > 0) & (F.col("words") <= F.col("room")))
+        .withColumn("cut", (part > 0) & ~F.col("whole"))
     )
     table = staged(table, "blocks")
-    drawn = _draw(table, shards, seed)
 
-    # What fits of the blocks where a target ends, a few for each source.
-    cut = table.where("part = 1").select("source", "block", "room", "place")
-    own = blocked["source"].eqNullSafe(cut["source"]) & (blocked["block"] == cut["block"])
-    order = F.xxhash64("id", F.lit(seed + 1)).alias("order")
-    last = blocked.join(bounded(cut), own).select("id", "row", cut["source"], "size", "room", "place", order)
+    # What fits of the blocks after those that go whole, and which of them it is in.
+    last = staged(_candidates(blocked, table, seed), "cut-documents")
     fits = last.groupBy("source").applyInPandas(_fitting, "row long, taken boolean").where("taken").select("row")
     fits = bounded(staged(fits, "fitting")).withColumn("fits", F.lit(True))
+    filled = staged(last.join(fits, "row").select("source", "block").distinct(), "filled")
+    filled = bounded(filled).withColumn("filled", F.lit(True))
+    own = table["source"].eqNullSafe(filled["source"]) & (table["block"] == filled["block"])
+    kind = F.when(F.col("whole"), 2).when(F.col("filled"), 1).otherwise(0)
+    drawing = Window.partitionBy("source").orderBy("place")
+    table = (
+        table.join(filled, own, "left").drop(filled["source"]).drop(filled["block"]).withColumn("part", kind)
+        .withColumn("part_place", F.sum(F.when(F.col("part") > 0, 1).otherwise(0)).over(drawing) - 1)
+    )
+    table = staged(table, "parts")
+    drawn = _draw(table, shards, seed)
 
     draws = bounded(drawn)
     own = blocked["source"].eqNullSafe(draws["source"]) & (blocked["block"] == draws["block"])
@@ -202,7 +242,9 @@ def _draw(table: DataFrame, shards: int, seed: int) -> DataFrame:
     known = table.join(F.broadcast(ends), table["source"].eqNullSafe(ends["source"])).drop(ends["source"])
     known = known.join(F.broadcast(sized), known["source"].eqNullSafe(sized["source"])).drop(sized["source"])
     times = F.col("rounds").cast("int") + F.when(F.col("part") > 0, 1).otherwise(0)
-    number = F.transform(F.sequence(F.lit(0), times), lambda k: k * F.col("n") + F.col("place"))
+    turn = F.when(F.col("part") > 0, F.col("part_place"))
+    at_place = lambda k: k * F.col("n") + F.when(k < F.col("rounds"), F.col("place")).otherwise(turn)
+    number = F.transform(F.sequence(F.lit(0), times), at_place)
     number = F.slice(number, F.lit(1), times)
     shard = F.transform(number, lambda at: F.size(F.filter(F.col("ends"), lambda end: end <= at)))
     return known.select("source", "block", "rounds", "part", shard.alias("shards"))

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from comarca.llm import QUERIES
 from comarca.llm import jaccard_join as jj
@@ -221,6 +222,19 @@ def test_mixing(spark, odd, none):
     assert len(mix_plan(odd).collect()) == len(odd_rows()) and mix(odd).columns == odd.columns
 
 
+def test_targets_are_met_around_long_documents(spark):
+    rows = [(k, "w " * 20, f"s{k % 12:02}") for k in range(18_000)]
+    rows += [(20_000 + k, "w " * 24_000, f"s{k:02}") for k in range(12)]
+    plan = mix_plan(spark.createDataFrame(rows, "doc_id long, text string, source string"), shards=4, blocks=96)
+    left_out = F.when(F.col("copies") == F.floor(F.col("target") / F.col("source_size")), F.col("size"))
+    taken = F.sum(F.col("copies") * F.col("size")).alias("taken")
+    found = plan.groupBy("source").agg(taken, F.max("target").alias("target"), F.min(left_out).alias("left")).collect()
+    assert sum(r["left"] == 20 for r in found) >= 6
+    for r in found:  # with all short documents taken, the long one is in or out, whichever is nearer
+        assert abs(r["taken"] - r["target"]) < (20 if r["left"] == 20 else 12_001)
+    assert plan.where("exists(shards, s -> s < 0 or s > 3) or size(shards) != copies").count() == 0
+
+
 def test_quotas_are_split_whole():
     counts = split_quotas(np.array([100, 0, 7, 1]), 5, seed=1)
     assert counts.sum(axis=1).tolist() == [100, 0, 7, 1]
