@@ -1,6 +1,6 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
-Every source is cut into blocks by a hash of the ids, in proportion to its size, and gets a quota of
+Every source is cut into blocks by a hash of ids and texts, in proportion to its size, and gets a quota of
 block draws that meets its target: whole rounds over all blocks, and a part of one more round. A
 binary tree over the output shards splits the quotas of all sources: how many of a node's
 draws go left is one multivariate-hypergeometric draw. A shard so gets its counts as if all draws
@@ -102,7 +102,7 @@ def _candidates(blocked: DataFrame, table: DataFrame, seed: int) -> DataFrame:
     length = F.when(F.col("size") <= F.col("left"), F.length(F.bin("size"))).otherwise(0)
     documents = (
         blocked.where("size > 0").join(bounded(staged(cut, "cut")), in_cut)
-        .select("id", "row", "source", "block", "size", "place", F.col("left").alias("room"), length.alias("length"))
+        .select("id", "row", "source", "digest", "block", "size", "place", F.col("left").alias("room"), length.alias("length"))
     )
 
     classes = documents.groupBy("source", "block", "place", "room", "length").agg(
@@ -120,7 +120,7 @@ def _candidates(blocked: DataFrame, table: DataFrame, seed: int) -> DataFrame:
         F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("of_block"))
         & (F.col("length") == F.col("of_length")) & ((F.col("length") > 0) | (F.col("size") == F.col("least")))
     )
-    order = F.xxhash64("id", F.lit(seed + 1)).alias("order")
+    order = F.xxhash64("id", "digest", F.lit(seed + 1)).alias("order")
     chosen = documents.join(bounded(staged(wanted, "wanted")), own)
     return chosen.select("id", "row", "source", "block", "size", "room", "place", order)
 
@@ -136,7 +136,7 @@ def mix_plan(
 ) -> DataFrame:
     """How often each row is taken, and into which output shards. Runs jobs; the result is stored.
 
-    Columns: id, row, source, size (words), source_size, target (of the source), copies, and
+    Columns: id, row, source, digest (hash of the text), size (words), source_size, target (of the source), copies, and
     shards (an array with the output shard of every copy).
 
     Words are runs of other characters than blank and 0x09 to 0x0D; null texts have none. See
@@ -154,7 +154,7 @@ def mix_plan(
     words = staged(
         docs.select(
             F.col(id_column).cast("long").alias("id"), F.col(source_column).alias("source"),
-            word_count(F.col(text_column)).alias("size"), F.monotonically_increasing_id().alias("row"),
+            F.xxhash64(text_column).alias("digest"), word_count(F.col(text_column)).alias("size"), F.monotonically_increasing_id().alias("row"),
         ),
         "words",
     )
@@ -171,10 +171,11 @@ def mix_plan(
 
     # One row for each source: joined by broadcast if they are few.
     few = bounded(planned)
-    block = F.pmod(F.xxhash64("id", F.lit(seed)), F.col("blocks"))
+    block = F.pmod(F.xxhash64("id", "digest", F.lit(seed)), F.col("blocks"))
     blocked = words.join(few, words["source"].eqNullSafe(few["source"])).drop(few["source"])
     blocked = staged(
-        blocked.select("id", "row", words["source"], "size", "source_size", "target", block.alias("block")), "blocked"
+        blocked.select("id", "row", words["source"], "digest", "size", "source_size", "target", block.alias("block")),
+        "blocked",
     )
 
     # A row for each block: where it lies in its source's permuted order, and how much of it goes.
@@ -215,7 +216,7 @@ def mix_plan(
     copies = whole + F.when((F.col("part") == 2) | ((F.col("part") == 1) & F.col("fits").isNotNull()), 1).otherwise(0)
     return staged(
         joined.select(
-            "id", "row", blocked["source"], "size", "source_size", "target", copies.alias("copies"),
+            "id", "row", blocked["source"], "digest", "size", "source_size", "target", copies.alias("copies"),
             F.slice("shards", F.lit(1), copies).alias("shards"),
         ),
         "mix-plan",
@@ -260,14 +261,38 @@ def mix(
 ) -> DataFrame:
     """The mix itself: every document as often as it is taken, with all its columns.
 
-    Rows are partitioned by output shard, and shuffled within by a hash of id and copy. If several
-    rows share an id, the plan of one of them holds for all; see ``mix_plan``.
+    Rows are partitioned by output shard, and shuffled within by a hash of id, text and copy. Every
+    row is taken as ``mix_plan`` says; of rows that are equal in id, source and text any may
+    be the ones that are taken once more than the others.
     """
     plan = mix_plan(docs, id_column, text_column, source_column, shards, seed=seed)
-    one = plan.groupBy("id").agg(F.max_by("shards", F.struct("copies", "row")).alias("shards"))
-    taken = bounded(staged(one.where(F.size("shards") > 0), "taken"))
+    # Equal rows lie in one block, so their plans differ by one copy at most.
+    alike = plan.groupBy("id", "source", "digest").agg(
+        F.max_by("shards", "copies").alias("shards"), F.min("copies").alias("least"),
+        (F.sum("copies") - F.count("*") * F.min("copies")).alias("more"),
+    )
+    taken = staged(alike.where(F.size("shards") > 0), "taken")
     rows = rows_of(docs)
-    own = rows["row"].getField(id_column).cast("long").eqNullSafe(taken["id"])
-    copies = rows.join(taken, own).select("row", "id", F.posexplode("shards").alias("copy", "shard"))
+    known = {
+        "id": rows["row"].getField(id_column).cast("long"), "source": rows["row"].getField(source_column),
+        "digest": F.xxhash64(rows["row"].getField(text_column)),
+    }
+    keyed = rows.select("row", *[value.alias(f"row_{name}") for name, value in known.items()])
+
+    def with_plan(plans: DataFrame) -> DataFrame:
+        own = [keyed[f"row_{name}"].eqNullSafe(plans[name]) for name in known]
+        return keyed.join(bounded(plans), own).select("row", "id", "source", "digest", "shards", "least", "more")
+
+    chosen = with_plan(taken.where("more = 0"))
+    uneven = taken.where("more > 0")
+    if not uneven.isEmpty():
+        numbered = staged(with_plan(uneven).withColumn("number", F.monotonically_increasing_id()), "uneven")
+        place = F.row_number().over(Window.partitionBy(*known).orderBy("number"))
+        first = numbered.select("number", "more", place.alias("place")).where("place <= more").select("number")
+        first = bounded(staged(first, "once-more")).withColumn("first", F.lit(True))
+        own = F.when(F.col("first"), F.col("shards")).otherwise(F.slice("shards", F.lit(1), F.col("least")))
+        chosen = chosen.unionByName(numbered.join(first, "number", "left").withColumn("shards", own).select(*chosen.columns))
+    copies = chosen.select("row", "id", "digest", F.posexplode("shards").alias("copy", "shard"))
     dealt = copies.repartition(shards, "shard")
-    return unpacked(dealt.sortWithinPartitions("shard", F.xxhash64("id", "copy", F.lit(seed))), docs.columns)
+    order = F.xxhash64("id", "digest", "copy", F.lit(seed))
+    return unpacked(dealt.sortWithinPartitions("shard", order), docs.columns)

@@ -235,6 +235,23 @@ def test_targets_are_met_around_long_documents(spark):
     assert plan.where("exists(shards, s -> s < 0 or s > 3) or size(shards) != copies").count() == 0
 
 
+def test_ids_that_are_null_or_of_several_rows_are_mixed_by_row(spark):
+    rows = [(None if k % 2 else k // 8, "w " * (1 + k % 9) + str(k % 700), f"s{k % 3}") for k in range(4200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mix_plan(docs, shards=4)
+    wanted, taken = Counter(), Counter()
+    for r in plan.collect():
+        wanted[r["source"]] += r["copies"] * r["size"]
+    for r in mix(docs, shards=4).collect():
+        taken[r["source"]] += len(WORD.findall(r["text"]))
+    assert taken == wanted
+    targets = plan.groupBy("source").agg(F.max("target").alias("target")).collect()
+    assert all(abs(taken[r["source"]] - r["target"]) <= 10 for r in targets)
+    hot = spark.createDataFrame([(None, f"w {k}", "s") for k in range(1000)] + [(k, "w w", "t") for k in range(1000)], docs.schema)
+    parts = mix_plan(hot, shards=4).where("id is null").groupBy("shards").count().collect()
+    assert len(parts) > 2 and max(r["count"] for r in parts) < 600
+
+
 def test_quotas_are_split_whole():
     counts = split_quotas(np.array([100, 0, 7, 1]), 5, seed=1)
     assert counts.sum(axis=1).tolist() == [100, 0, 7, 1]
