@@ -43,25 +43,27 @@ def tokens_of(words: pa.Array) -> pa.Array:
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments, as (first, last, score), in order.
 
-    Linear time: sums are cumulative, and only positive scores open or join segments.
+    Linear time: sums are cumulative, only positive scores open or join segments, and every
+    segment knows the nearest earlier one that starts lower, so that none is passed twice.
     """
     sums = np.concatenate([[0.0], np.cumsum(scores, dtype=np.float64)])
-    found: list[tuple[int, int, float, float]] = []  # first, last, sum before, sum after
+    # First, last, sum before, sum after, and the place of the nearest earlier one with a lower sum before, or -1.
+    found: list[tuple[int, int, float, float, int]] = []
     for at in np.flatnonzero(scores > 0).tolist():
         first, low, high = at, float(sums[at]), float(sums[at + 1])
         # Join those that end lower than this one ends, from where the sum was lower.
         below = len(found) - 1
         while below >= 0:
             if found[below][2] >= low:
-                below -= 1
+                below = found[below][4]
                 continue
             if found[below][3] >= high:
                 break
-            first, low = found[below][0], found[below][2]
+            first, _, low, _, lower = found[below]
             del found[below:]
-            below = len(found) - 1
-        found.append((first, at, low, high))
-    return [(first, last, high - low) for first, last, low, high in found]
+            below = lower
+        found.append((first, at, low, high, below))
+    return [(first, last, high - low) for first, last, low, high, _ in found]
 
 
 @dataclass(frozen=True)

@@ -3,6 +3,7 @@
 import json
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -298,6 +299,13 @@ def test_segments_are_those_of_the_definition(steps):
     assert [s for *_, s in maximal_segments(np.array(scores))] == pytest.approx([s for *_, s in brute_segments(scores)])
 
 
+def test_long_texts_are_searched_in_linear_time():
+    began = time.process_time()
+    found = maximal_segments(np.tile([1.0, -2.0], 30_000))
+    assert found == [(2 * k, 2 * k, 1.0) for k in range(30_000)]
+    assert time.process_time() - began < 3
+
+
 def learned_rows():
     random.seed(4)
     clean = [f"w{k}" for k in range(300)]
