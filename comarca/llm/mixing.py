@@ -261,8 +261,8 @@ def mix(
 ) -> DataFrame:
     """The mix itself: every document as often as it is taken, with all its columns.
 
-    Rows are partitioned by output shard, and shuffled within by a hash of id, text and copy. Every
-    row is taken as ``mix_plan`` says; of rows that are equal in id, source and text any may
+    Rows are ranged by output shard, and shuffled within by a hash of id, text and copy; a large
+    shard spans several partitions, one after the other. Every row is taken as ``mix_plan`` says; of rows that are equal in id, source and text any may
     be the ones that are taken once more than the others.
     """
     plan = mix_plan(docs, id_column, text_column, source_column, shards, seed=seed)
@@ -293,6 +293,6 @@ def mix(
         own = F.when(F.col("first"), F.col("shards")).otherwise(F.slice("shards", F.lit(1), F.col("least")))
         chosen = chosen.unionByName(numbered.join(first, "number", "left").withColumn("shards", own).select(*chosen.columns))
     copies = chosen.select("row", "id", "digest", F.posexplode("shards").alias("copy", "shard"))
-    dealt = copies.repartition(shards, "shard")
     order = F.xxhash64("id", "digest", "copy", F.lit(seed))
-    return unpacked(dealt.sortWithinPartitions("shard", order), docs.columns)
+    dealt = copies.repartitionByRange("shard", order).sortWithinPartitions("shard", order)
+    return unpacked(dealt, docs.columns)

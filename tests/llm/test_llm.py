@@ -253,6 +253,16 @@ def test_ids_that_are_null_or_of_several_rows_are_mixed_by_row(spark):
     assert len(parts) > 2 and max(r["count"] for r in parts) < 600
 
 
+def test_a_shard_of_the_mix_may_span_several_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        docs = spark.createDataFrame([(k, f"w {k}", "s") for k in range(4000)], "doc_id long, text string, source string")
+        sizes = mix(docs, shards=1).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 1500
+
+
 def test_quotas_are_split_whole():
     counts = split_quotas(np.array([100, 0, 7, 1]), 5, seed=1)
     assert counts.sum(axis=1).tolist() == [100, 0, 7, 1]
