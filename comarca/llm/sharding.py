@@ -1,8 +1,8 @@
 """Shards of nearly equal bytes, cut out of a range partition by sampled splitters.
 
-The key of a record is (hash of its text, id), so that equal texts lie side by side. Size-weighted
-draws of keys give quantile boundaries, which cut the records into many more ranges than shards;
-a text that fills whole ranges by itself is subdivided by id. The exact sizes of the ranges then
+The key of a record is (hash of its text, id, row), so that equal texts lie side by side. Draws of
+keys, weighted by bytes and rows, give quantile boundaries, which cut the records into many more
+ranges than shards; a text that fills whole ranges by itself is subdivided by id and row. The exact sizes of the ranges then
 say where every record lies in the order of all bytes, and so its shard.
 """
 
@@ -22,46 +22,55 @@ ROWS_PER_RANGE = 1_000_000
 MOST_RANGES = 1 << 16
 
 
-def _splitters(records: DataFrame, ranges: int, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where ranges begin, as sorted (hash, id): quantiles of size-weighted draws.
+KEY = np.dtype([("hash", np.int64), ("id", np.int64), ("row", np.int64)])
 
-    Each record is drawn its share of ``ranges * DRAWS_PER_RANGE`` times, rounded at random by
-    its id; so that many rows come to the driver at most, whatever the table's size, in
-    expectation. Quantiles within one hash keep their ids, all others fall back to the
-    first id of their hash, so that equal texts are cut apart only where they fill a range.
+
+def _splitters(records: DataFrame, ranges: int, total: int, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where ranges begin, as sorted (hash, id, row): quantiles of weighted draws; and the hashes drawn repeatedly.
+
+    A record's weight is its share of the bytes or of the rows, whichever is larger, so that a
+    range is bounded in both. Each is drawn that share of ``ranges * DRAWS_PER_RANGE`` times, rounded
+    at random; so at most twice as many rows come to the driver, whatever the table's size, in
+    expectation. Quantiles within one hash keep their ids and rows, all others fall back to the first
+    of their hash, so that equal texts are cut apart only where they fill a range.
     """
     draws = ranges * DRAWS_PER_RANGE
-    chance = F.pmod(F.xxhash64("id", "hash", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    times = F.floor(F.col("size") * F.lit(draws / max(total, 1)) + chance).alias("times")
-    drawn = records.select("hash", F.coalesce("id", F.lit(-(1 << 63))).alias("id"), times).where("times > 0")
-    sample = drawn.orderBy("hash", "id").toPandas()
+    chance = F.pmod(F.xxhash64("id", "hash", "row", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    share = F.greatest(F.col("size") / F.lit(float(max(total, 1))), F.lit(1.0 / max(count, 1)))
+    times = F.floor(share * F.lit(draws) + chance).alias("times")
+    drawn = records.select("hash", F.coalesce("id", F.lit(-(1 << 63))).alias("id"), "row", times).where("times > 0")
+    sample = drawn.orderBy("hash", "id", "row").toPandas()
     if sample.empty:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, KEY), np.empty(0, np.int64)
+    weights = sample.groupby("hash")["times"].sum()
     reached = np.cumsum(sample["times"].to_numpy())
     at = np.searchsorted(reached, reached[-1] * np.arange(1, ranges) / ranges, side="right")
     cuts = sample.iloc[np.unique(np.minimum(at, len(sample) - 1))]
-    hashes, ids = cuts["hash"].to_numpy(np.int64), cuts["id"].to_numpy(np.int64)
-    opens = np.r_[True, hashes[1:] != hashes[:-1]]
-    return hashes, np.where(opens, np.iinfo(np.int64).min, ids)
+    keys = np.empty(len(cuts), KEY)
+    for name in KEY.names:
+        keys[name] = cuts[name].to_numpy(np.int64)
+    opens = np.r_[True, keys["hash"][1:] != keys["hash"][:-1]]
+    keys["id"][opens] = keys["row"][opens] = np.iinfo(np.int64).min
+    return keys, weights.index.to_numpy(np.int64)[weights.to_numpy() > 1]
 
 
-def _range_of(hashes: np.ndarray, ids: np.ndarray):
-    """A column function: the number of the range that a (hash, id) lies in."""
-    starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)])
-    stops = np.concatenate([starts[1:], [len(hashes)]])[: len(starts)].astype(int)
-    split = {int(hashes[a]): (a, b) for a, b in zip(starts, stops, strict=True) if b - a > 1}
+def _range_of(keys: np.ndarray):
+    """A column function: the number of the range that a (hash, id, row) lies in."""
+    hashes = np.ascontiguousarray(keys["hash"])
+    split = np.unique(hashes[1:][hashes[1:] == hashes[:-1]])
 
     @F.pandas_udf("int")
-    def number(own_hash: pd.Series, own_id: pd.Series) -> pd.Series:
+    def number(own_hash: pd.Series, own_id: pd.Series, own_row: pd.Series) -> pd.Series:
         values = own_hash.to_numpy(np.int64)
         found = np.searchsorted(hashes, values, side="right")
-        if split:
-            for k in np.flatnonzero(np.isin(values, list(split))):
-                first, last = split[int(values[k])]
-                found[k] = first + np.searchsorted(ids[first:last], own_id[k], side="right")
+        within = np.flatnonzero(np.isin(values, split))
+        own = np.empty(len(within), KEY)
+        for name, column in zip(KEY.names, (own_hash, own_id, own_row), strict=True):
+            own[name] = column.to_numpy(np.int64)[within]
+        found[within] = np.searchsorted(keys, own, side="right")
         return pd.Series(found.astype(np.int32))
 
-    return number, sorted(split)
+    return number
 
 
 def shard_by_bytes(
@@ -93,10 +102,9 @@ def shard_by_bytes(
     )
     total, count = records.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     ranges = min(max(ranges, count // ROWS_PER_RANGE), MOST_RANGES)
-    hashes, ids = _splitters(records, ranges, total)
-    number, filled = _range_of(hashes, ids)
+    keys, often = _splitters(records, ranges, total, count)
     own_id = F.coalesce("id", F.lit(-(1 << 63)))
-    ranged = staged(records.withColumn("range", number("hash", own_id)), "ranged")
+    ranged = staged(records.withColumn("range", _range_of(keys)("hash", own_id, "row")), "ranged")
 
     # At most MOST_RANGES rows: what lies before each range.
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
@@ -107,6 +115,14 @@ def shard_by_bytes(
         F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"),
     )
 
+    # Texts with more bytes than a range, and where others that lie in several ranges begin: at a range's start.
+    drawn = records.sparkSession.createDataFrame([(int(h),) for h in often], "hash long")
+    of_hash = ranged.join(F.broadcast(drawn), "hash").groupBy("hash").agg(
+        (F.sum("size") > F.lit(total / ranges)).alias("apart"), F.min("range").alias("range"), F.max("range").alias("last")
+    )
+    of_hash = of_hash.where(F.col("apart") | (F.col("last") > F.col("range"))).join(F.broadcast(offsets), "range")
+    groups = of_hash.select("hash", "apart", F.col("bytes_before").alias("first_before"))
+
     order = Window.partitionBy("range").orderBy("hash", "id", "row")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     same = Window.partitionBy("range", "hash").orderBy("id", "row")
@@ -115,10 +131,10 @@ def shard_by_bytes(
         F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("bytes_in"),
         (F.row_number().over(order) - 1).alias("rows_in"),
         F.coalesce(F.sum("size").over(same.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("copies_in"),
-    ).join(F.broadcast(offsets), "range")
-    # Equal texts go by where the first of them lies, those that were subdivided each by itself.
-    apart = F.col("hash").isin([int(h) for h in filled]) if filled else F.lit(False)
-    place = F.col("bytes_before") + F.col("bytes_in") - F.when(apart, 0).otherwise(F.col("copies_in"))
+    ).join(F.broadcast(offsets), "range").join(F.broadcast(staged(groups, "groups")), "hash", "left")
+    # Equal texts go by where the first of them lies, those with more bytes than a range each by itself.
+    own = F.col("bytes_before") + F.col("bytes_in")
+    place = F.when(F.col("apart"), own).otherwise(F.coalesce("first_before", own - F.col("copies_in")))
     shard = F.least(F.floor(place * shards / F.lit(max(total, 1))), F.lit(shards - 1)).cast("int")
     placed = staged(
         placed.select("id", "size", "text_crc32", shard.alias("shard"), (F.col("rows_before") + F.col("rows_in")).alias("at")),

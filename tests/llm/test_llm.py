@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from comarca.llm import QUERIES
 from comarca.llm import jaccard_join as jj
+from comarca.llm import sharding
 from comarca.llm.components import connected_components
 from comarca.llm.exact_dedup import DigestIndex, digests, exact_dedup, without_copies
 from comarca.llm.jaccard_join import beginning, jaccard_components, misses, without_near_copies
@@ -185,6 +186,24 @@ def test_shards_are_even_and_keep_equal_texts_together(spark):
 # Mixing --------------------------------------------------------------------------------
 
 
+def test_ranges_are_bounded_in_rows(spark, monkeypatch):
+    seen = {}
+    stage = sharding.staged
+    monkeypatch.setattr(sharding, "staged", lambda table, name: seen.setdefault(name, stage(table, name)))
+    rows = [(None, None) for _ in range(3000)] + [(k, "") for k in range(3000)]
+    rows += [(k, f"{k} " + "long " * 40) for k in range(3000, 6000)]
+    rows += [(k, "twice " * 4000) for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = shard_by_bytes(docs, shards=4, ranges=64).collect()
+    assert max(r["count"] for r in seen["ranged"].groupBy("range").count().collect()) < 9000 / 64 * 5
+    assert len(out) == len(rows) and len({r["shard"] for r in out if r["size"] == 1}) == 1
+    for shard in range(4):
+        assert sorted(r["slot"] for r in out if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in out)))
+    monkeypatch.undo()
+    again = shard_by_bytes(docs.coalesce(1), shards=4, ranges=64).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, out))
+
+
 def wanted_targets(sizes):
     names = sorted([s for s in sizes if s is not None]) + [None] * (None in sizes)
     weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
