@@ -7,6 +7,7 @@ from comarca.operators.enrich import (
     rate_per,
     unique_lookup,
 )
+from comarca.operators.order import starts_before
 from comarca.operators.quality import (
     audit,
     audit_filters,
@@ -51,6 +52,7 @@ __all__ = [
     "pivot_first",
     "profile",
     "rate_per",
+    "starts_before",
     "stats",
     "top_k",
     "unique_lookup",
