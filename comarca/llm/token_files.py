@@ -9,13 +9,17 @@ row per file has what lies before each, and is written last: without it the file
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,47 +31,123 @@ VOCABULARY = "word_bpe_49k.json"
 END = 2
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1000
-KNOWN_WORDS = 1 << 16
-KNOWN_BYTES = 32
+KNOWN_WORDS = 1 << 20
+KNOWN_BYTES = 64
+TEXT_BYTES = 4 << 20
 
 TOKENS = "doc_id long, part int, offset long, n_tokens long, ids array<int>"
 MANIFEST = "part int, rows long, tokens long, first_id long, last_id long, start long"
 DIGESTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-@cache
-def _tokenizer(vocabulary: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks have the cores
-    import public_tokenizers
-    from tokenizers import Tokenizer
+# How the tokenizer must prepare text for the short way below (fixed values of its file).
+PREPARED = {
+    "normalizer": ["NFC", "Replace", "Lowercase"],
+    "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+}
+# Words of these characters are the same in every normal form, and Python lower-cases them alike.
+_SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
-    return Tokenizer.from_file(vocabulary if os.path.isabs(vocabulary) else public_tokenizers.path(vocabulary))
 
+class Tokenizer:
+    """A tokenizer file. ``words`` gives the ids of words without white space, one by one.
 
-class WordIds:
-    """Ids of words; those of short ones are kept, ``KNOWN_WORDS`` at a time."""
+    If the file prepares text in the known way, simple words go straight to its merges; that
+    spares the bookkeeping of places. All other words, and special tokens, go the whole way.
+    """
 
     def __init__(self, vocabulary: str):
-        self.tokenizer = _tokenizer(vocabulary)
-        self.known: dict[str, np.ndarray] = {}
-
-    def __call__(self, words: pa.Array) -> list[np.ndarray]:
-        names = words.to_pylist()
-        new = [word for word in names if word not in self.known]
-        fresh = {}
-        for at in range(0, len(new), 1024):
-            some = new[at : at + 1024]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            fresh.update((w, np.array(e.ids, dtype=np.int32)) for w, e in zip(some, found, strict=True))
-        ids = [self.known[w] if w in self.known else fresh[w] for w in names]
-        if len(self.known) + len(fresh) > KNOWN_WORDS:
-            self.known.clear()
-        short = {w: found for w, found in fresh.items() if len(w) <= KNOWN_BYTES}
-        if len(short) <= KNOWN_WORDS:
-            self.known.update(short)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks have the cores
+        import public_tokenizers
+        import tokenizers
+
+        file = vocabulary if os.path.isabs(vocabulary) else public_tokenizers.path(vocabulary)
+        self.whole = tokenizers.Tokenizer.from_file(file)
+        self.model = self.whole.model
+        parts = json.loads(self.whole.to_str())
+        first, *rest = (parts["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.known_way = (
+            [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])] == PREPARED["normalizer"]
+            and first.get("pattern", {}).get("Regex") == PREPARED["pattern"]
+            and (first.get("behavior"), first.get("invert")) == ("Removed", True)
+            and [(r["type"], r["add_prefix_space"], r["use_regex"]) for r in rest] == [("ByteLevel", False, False)]
+        )
+        level = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in parts["added_tokens"]) or "(?!)")
+        self.as_bytes = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
+
+    def _simple(self, word: str) -> bool:
+        return self.known_way and _SIMPLE.fullmatch(word) is not None and not self.special.search(word)
+
+    def words(self, words: list[str]) -> list[list[int]]:
+        ids, merge = [], self.model.tokenize
+        hard = []
+        for word in words:
+            if self._simple(word):
+                low = word.lower()
+                pieces = _PIECE.findall(low)
+                if not low.isascii():
+                    pieces = [piece.translate(self.as_bytes) for piece in pieces]
+                ids.append([t.id for piece in pieces for t in merge(piece)])
+            else:
+                hard.append(len(ids))
+                ids.append([])
+        for at in range(0, len(hard), 1024):
+            some = hard[at : at + 1024]
+            found = self.whole.encode_batch_fast([words[k] for k in some], add_special_tokens=False)
+            for k, encoded in zip(some, found, strict=True):
+                ids[k] = encoded.ids
         return ids
 
 
+class WordIds:
+    """Ids of words. Those of words up to ``KNOWN_BYTES`` are kept, at most ``KNOWN_WORDS`` of
+    them and a text's: when they become too many, the half met latest stays."""
+
+    def __init__(self, vocabulary: str):
+        self.tokenizer = Tokenizer(vocabulary)
+        self.words = pa.array([], pa.large_string())
+        self.sizes, self.met = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids = np.empty(0, np.int32)
+        self.turn = 0
+
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A list of ids, and where in it each of the distinct words' begin and how many there are."""
+        self.turn += 1
+        self._forget()
+        place = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        fresh = self.tokenizer.words(words.take(pa.array(new)).to_pylist())
+        self.met[place[place >= 0]] = self.turn
+        place[new] = len(self.words) + np.arange(len(new))
+        self.words = pa.concat_arrays([self.words, words.take(pa.array(new))])
+        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, fresh), np.int64, len(fresh))])
+        self.met = np.concatenate([self.met, np.full(len(new), self.turn)])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(fresh), np.int32)])
+        starts = np.cumsum(self.sizes) - self.sizes
+        return self.ids, starts[place], self.sizes[place]
+
+    def _forget(self) -> None:
+        short = pc.binary_length(self.words).to_numpy() <= KNOWN_BYTES
+        if len(short) > KNOWN_WORDS:
+            latest = np.argsort(-self.met, kind="stable")[: KNOWN_WORDS // 2]
+            kept = np.zeros(len(short), bool)
+            kept[latest] = True
+            short &= kept
+        if short.all():
+            return
+        self.ids = self.ids[np.repeat(short, self.sizes)]
+        self.words = self.words.filter(pa.array(short))
+        self.sizes, self.met = self.sizes[short], self.met[short]
+
+
+@cache
+def word_ids_of(vocabulary: str) -> WordIds:
+    """One for all tasks of a worker."""
+    return WordIds(vocabulary)
+
+
 def document_ids(texts: pa.Array, word_ids: WordIds, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The ids of some texts, each closed by ``end``, and where each text's begin, with the end.
 
@@ -75,10 +155,7 @@ def document_ids(texts: pa.Array, word_ids: WordIds, end: int) -> tuple[np.ndarr
     words' ids; every distinct word of the texts is encoded once.
     """
     codes, begins, words = word_codes(texts)
-    found = word_ids(words)
-    sizes = np.array([len(ids) for ids in found], dtype=np.int64)
-    flat = np.concatenate(found) if found else np.empty(0, np.int32)
-    starts = np.cumsum(sizes) - sizes
+    flat, starts, sizes = word_ids(words)
     lengths = sizes[codes]
     places = np.concatenate([[0], np.cumsum(lengths)])
     ids = flat[np.repeat(starts[codes] - places[:-1], lengths) + np.arange(places[-1])]
@@ -88,10 +165,10 @@ def document_ids(texts: pa.Array, word_ids: WordIds, end: int) -> tuple[np.ndarr
 
 def _tokenised(vocabulary: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, offset, word_ids = TaskContext.get().partitionId(), 0, WordIds(vocabulary)
+        part, offset, word_ids = TaskContext.get().partitionId(), 0, word_ids_of(vocabulary)
         for batch in batches:
             at = 0
-            for texts in slices(batch.column("text")):
+            for texts in slices(batch.column("text"), TEXT_BYTES):
                 ids, begins = document_ids(texts, word_ids, end)
                 n = len(texts)
                 columns = [
@@ -119,7 +196,7 @@ def write_token_files(
     ``vocabulary`` is a file of ``public_tokenizers`` or an absolute path that all executors
     have, of a tokenizer that drops white space between words. An empty table makes a manifest
     without rows. Texts are shuffled once, by ranges that Spark draws from the keys. A task holds
-    about ``SLICE_BYTES`` of text, or one longer text, and a stripe.
+    about ``TEXT_BYTES`` of text, or one longer text, and a stripe.
     """
     spark = docs.sparkSession
     keys = ["doc_id", "text_hash", "place"]

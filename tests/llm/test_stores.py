@@ -19,7 +19,7 @@ from comarca.llm import frames as fr
 from comarca.llm import vector_codes as vc
 from comarca.llm.fill_middle import MARKS, digests, fill_in_middle, filled_texts, mark_places, restored
 from comarca.llm.frames import frame_texts, store_frames
-from comarca.llm.token_files import TOKENS, WordIds, document_ids, read_token_files, token_digests, write_token_files
+from comarca.llm.token_files import TOKENS, WordIds, document_ids, read_token_files, token_digests, word_ids_of, write_token_files
 
 UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 
@@ -147,11 +147,28 @@ def test_ids_by_word_are_those_of_whole_texts(tokenizer, texts):
     import pyarrow as pa
 
     filled = pa.array([t or "" for t in texts], pa.large_string())
-    ids, begins = document_ids(filled, WordIds("word_bpe_49k.json"), 2)
+    ids, begins = document_ids(filled, word_ids_of("word_bpe_49k.json"), 2)
     whole = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
     assert [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:], strict=True)] == whole
 
 
+def test_every_simple_character_and_forgotten_words(tokenizer, monkeypatch):
+    import pyarrow as pa
+
+    from comarca.llm import token_files
+
+    monkeypatch.setattr(token_files, "KNOWN_WORDS", 40)
+    word_ids = WordIds("word_bpe_49k.json")
+    assert word_ids.tokenizer.known_way
+    random.seed(2)
+    signs = [chr(c) for c in [*range(0x21, 0x7F), *range(0xA1, 0x180)]] + ["'s", "'LL", "<|endoftext|>", " ", "x" * 90]
+    for _ in range(150):
+        text = "".join(random.choice(signs) for _ in range(random.randrange(60)))
+        ids, _ = document_ids(pa.array([text], pa.large_string()), word_ids, 2)
+        assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+    assert len(word_ids.words) < 200
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
 
