@@ -1,4 +1,5 @@
 from comarca.operators.analyze import count_by, count_matrix, distinct_values, top_k, value_sets
+from comarca.operators.bloom import bloom_filter, cannot_have, may_have
 from comarca.operators.clean import canonicalise, drop_sentinel
 from comarca.operators.enrich import (
     derive_dimension,
@@ -33,7 +34,9 @@ __all__ = [
     "attributes_wide",
     "audit",
     "audit_filters",
+    "bloom_filter",
     "bucket_sums",
+    "cannot_have",
     "canonicalise",
     "count_by",
     "count_matrix",
@@ -48,6 +51,7 @@ __all__ = [
     "find_long_dupes",
     "has_no_nulls",
     "join_spread",
+    "may_have",
     "null_counts",
     "pivot_first",
     "profile",

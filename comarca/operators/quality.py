@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from comarca.operators.enrich import join_spread
+from comarca.operators.bloom import bloom_filter, may_have
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, null_count) for all columns from one scan."""
@@ -44,10 +44,11 @@ def find_dupes(df: DataFrame, keys: Sequence[str], name: str = "count") -> DataF
 def find_long_dupes(df: DataFrame, key: str, name: str = "count") -> DataFrame:
     """Values of a long text column found in more than one row, most frequent first.
 
-    Values are counted by SHA-256 digest and length, so the counting shuffle holds no text. The
-    digests that repeat are joined back to fetch one text each; the join is salted, since one
-    text may be a third of all rows. Nulls count as one value. The table is read twice, so it
-    should be a stored one.
+    Values are counted by SHA-256 digest and length, so the counting shuffle holds no text. A
+    Bloom filter of the digests that repeat, of bounded size, goes to the tasks that read the
+    table again; only rows that pass leave them, as one text per digest and task, however
+    often it comes. They are counted once more, which drops the few that passed by chance. Nulls
+    count as one value. The table is read twice, so it should be a stored one.
     """
     text = F.col(key).cast("string")
     hashed = df.select(
@@ -57,9 +58,12 @@ def find_long_dupes(df: DataFrame, key: str, name: str = "count") -> DataFrame:
     )
     keys = ["digest", "length"]
     groups = hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    found = join_spread(hashed, groups.where(F.col("rows") > 1), keys, "inner")
-    fetched = found.groupBy(*keys).agg(F.min(key).alias(key), F.first("rows").alias("rows"))
-    return fetched.orderBy(F.col("rows").desc(), *keys).select(key, F.col("rows").alias(name))
+    repeated = bloom_filter(groups.where(F.col("rows") > 1), keys)
+    fetched = may_have(hashed, repeated, keys).groupBy(*keys).agg(
+        F.min(key).alias(key), F.count(F.lit(1)).alias("rows")
+    )
+    found = fetched.where(F.col("rows") > 1)
+    return found.orderBy(F.col("rows").desc(), *keys).select(key, F.col("rows").alias(name))
 
 
 def dedup(
