@@ -31,6 +31,8 @@ VOCABULARY = "word_bpe_49k.json"
 END = 2
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1000
+# Files whose totals are summed in one task.
+FILE_BLOCK = 1024
 KNOWN_WORDS = 1 << 20
 KNOWN_BYTES = 64
 TEXT_BYTES = 4 << 20
@@ -220,7 +222,8 @@ def write_token_files(
         F.count(F.lit(1)).alias("rows"), F.sum("n_tokens").alias("tokens"),
         F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"),
     )
-    starts_before(files, "part", "tokens", "start").write.orc(f"{path}/manifest")
+    block = F.floor(F.col("part") / FILE_BLOCK)
+    starts_before(files, block, "part", "tokens").write.orc(f"{path}/manifest")
 
 
 def read_token_files(spark: SparkSession, path: str, ids: Sequence[int] | None = None) -> DataFrame:
