@@ -86,8 +86,11 @@ def build_population(spark: SparkSession, location: str, file: str, target: str)
 
 
 def library_attributes(spark: SparkSession, location: str, file: str) -> DataFrame:
-    """Every attribute of every library, from its file, read by many tasks."""
-    return tables.element_attributes(read_elements(spark, location + file))
+    """Every attribute of every library, from its file, read by many tasks.
+
+    Libraries are numbered from 0 as they stand in the file.
+    """
+    return tables.element_attributes(read_elements(spark, location + file, "library_id"))
 
 
 def build_region(spark: SparkSession, location: str, target: str) -> dict[str, DataFrame]:

@@ -179,12 +179,8 @@ def cultural_attributes(
 
 
 def element_attributes(elements: DataFrame, position: str = "library_id") -> DataFrame:
-    """The same for elements read on their own, by as many tasks as ``read_elements`` has.
-
-    The id tells elements apart; it grows with the place in the file, but is no count.
-    """
-    numbered = elements.select(F.monotonically_increasing_id().alias(position), "attributes")
-    exploded = numbered.select(position, F.explode("attributes").alias("attribute"))
+    """The same for elements read on their own and counted, by as many tasks as ``read_elements`` has."""
+    exploded = elements.select(position, F.explode("attributes").alias("attribute"))
     fields = [F.col(f"attribute.{field}").alias(field) for field in ("name", *SLOTS)]
     return exploded.select(position, *fields)
 

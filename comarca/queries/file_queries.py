@@ -102,15 +102,20 @@ def stored_cultural(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.stored_table(spark, target, "cultural")
 
 
-@query(f"SELECT * EXCLUDE (library, library_id) FROM ({LIBRARY_ATTRIBUTES})")
+# Every library's document has three elements; the last two are an empty one and one with an attribute.
+@query(f"""
+    SELECT * EXCLUDE (library) REPLACE (
+        3 * (SELECT count(*) FROM part WHERE p_partkey < library) + library_id AS library_id)
+    FROM ({LIBRARY_ATTRIBUTES})
+""")
 def stored_library_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The long view of documents of many lines each, read element by element."""
+    """The long view of documents of many lines each, read and numbered element by element."""
     location = _folder(spark, "sources")
-    libraries = shapes.cultural_sources(spark, sf_dir)[fixed.LIBRARIES]
+    libraries = shapes.cultural_sources(spark, sf_dir)[fixed.LIBRARIES].orderBy("key")
     text = F.to_json(F.struct("document"), {"pretty": "true"})
     libraries.select(text).write.text(location + "libraries.json")
     long = run.library_attributes(spark, location, "libraries.json")
-    return long.drop("library_id").withColumnRenamed("LocalidadPadre", "parent")
+    return long.withColumnRenamed("LocalidadPadre", "parent")
 
 
 @query(shapes.POPULATION)

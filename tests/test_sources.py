@@ -142,10 +142,86 @@ def test_whole_documents_are_read_element_by_element(spark, tmp_path, text, coun
     assert read_elements(spark, str(tmp_path / "d.json")).count() == count
 
 
+@pytest.mark.parametrize(
+    "text, count",
+    [
+        ('{"other":{"a":[{"b":1}]},"document":{"date":"1","list":[' + ELEMENT + END, 1),
+        (f'{START}{{"id":5,{ELEMENT[1:]},{{"id":{{"x":[1,2]}},{ELEMENT[1:]}{END}', 2),
+        (f'{START}{ELEMENT[:-1]},"after":[{{}}]}},{ELEMENT}],"more":{{"y":[[]]}}}},"z":[1]}}', 2),
+        (f'{START}{ELEMENT}],"t":"}} {{"}}}}\n{START}{ELEMENT}{END}', 2),
+        (f'{{"document":{{"a":{{"list":[]}},"list":[]}}}} {START}{ELEMENT},{ELEMENT}{END}', 2),
+    ],
+)
+def test_members_beside_the_lists_and_elements_are_passed_over(spark, tmp_path, text, count):
+    (tmp_path / "d.json").write_text(text)
+    found = read_elements(spark, str(tmp_path / "d.json"), "place").orderBy("place").collect()
+    assert [r["place"] for r in found] == list(range(count))
+    assert all(r["attributes"][0]["name"] == "a" for r in found)
+
+
+def numbered_files(tmp_path):
+    """Files of one document, of several, of none, with elements that tell where they belong."""
+    def element(name):
+        return json.dumps({"element": {"attribute": [{"name": name, "valor": "x" * (int(name) % 90)}]}})
+
+    at = 0
+    for k, sizes in enumerate([[900], [], [300, 0, 700], [1], [0], [2099]]):
+        parts = []
+        for n in sizes:
+            parts.append('{"document":{"list":[\n' + ",\n".join(element(str(at + i)) for i in range(n)) + "\n]}}")
+            at += n
+        (tmp_path / f"d{k}.json").write_text("\n".join(parts))
+    return at
+
+
+@pytest.mark.parametrize("split, open_cost", [("2KB", "1"), ("7KB", "4KB"), ("64KB", "1KB"), ("128MB", "4MB")])
+def test_positions_do_not_depend_on_the_splits(spark, tmp_path, split, open_cost):
+    total = numbered_files(tmp_path)
+    assert total == 4000
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", open_cost)
+    try:
+        found = read_elements(spark, str(tmp_path), "place").selectExpr("place", "cast(attributes[0].name as long) as name")
+        assert sorted(tuple(r) for r in found.collect()) == [(k, k) for k in range(total)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_positions_counted_under_other_settings_are_refused(spark, tmp_path):
+    numbered_files(tmp_path)
+    found = read_elements(spark, str(tmp_path), "place")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3KB")
+    try:
+        with pytest.raises(Exception, match="split otherwise"):
+            found.selectExpr("sum(place)").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_positions_where_a_text_is_the_key_itself(spark, tmp_path):
+    items = [{"element": {"attribute": [{"name": str(k), "valor": "element"}]}} for k in range(50)]
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"document": {"list": items}}))
+    found = read_elements(spark, str(tmp_path), "place").orderBy("place").collect()
+    assert [(r["place"], r["attributes"][0]["name"]) for r in found] == [(k, str(k % 50)) for k in range(100)]
+
+
+def test_files_are_read_twice_at_most(spark, tmp_path):
+    """Once to judge and count, once for the elements, positions or not."""
+    numbered_files(tmp_path)
+    text = read_elements(spark, str(tmp_path), "place")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan text") == 1 and "Window" not in text and "Exchange hashpartitioning" not in text
+
+
 @pytest.mark.parametrize(
     "text",
     [
         "no JSON",
+        f"{START}{ELEMENT}{END},{START}{ELEMENT}{END}",
+        f"{START}{ELEMENT}{ELEMENT}{END}",
+        f'{START}{{"id":5,}}{END}',
+        f'{START}{{"id":5}},{ELEMENT}{END}',
         '{"rows": []}',
         f'{{"rows": [{ELEMENT}]}}',
         START,
