@@ -4,6 +4,7 @@ from comarca.operators.clean import canonicalise, drop_sentinel
 from comarca.operators.enrich import (
     derive_dimension,
     fill_from_lookup,
+    hot_keys,
     join_spread,
     rate_per,
     unique_lookup,
@@ -50,6 +51,7 @@ __all__ = [
     "find_dupes",
     "find_long_dupes",
     "has_no_nulls",
+    "hot_keys",
     "join_spread",
     "may_have",
     "null_counts",

@@ -5,7 +5,15 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from comarca.operators import bloom_filter, cannot_have, find_long_dupes, may_have, starts_before
+from comarca.operators import (
+    bloom_filter,
+    cannot_have,
+    find_long_dupes,
+    hot_keys,
+    join_spread,
+    may_have,
+    starts_before,
+)
 from helpers import rows
 
 KEYS = ["a", "b"]
@@ -73,3 +81,66 @@ def test_starts_before(spark, blocks):
         assert row["start"] == at
         at += row["size"] or 0
     assert starts_before(pieces.limit(0), "number", "number", "size").count() == 0
+
+
+def facts_with_hot_keys(spark, n=60_000):
+    """Key 0 has a third of the rows, 2 and 3 a thirtieth each, some have none; the rest one each."""
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 10 == 1, F.col("id") % 3 + 1).when(F.col("id") % 10 == 4, F.lit(None))
+    return spark.range(n, numPartitions=6).select(key.otherwise(F.col("id") + 10).alias("k"), F.lit("x").alias("j"), F.col("id").alias("v"))
+
+
+def hashes(spark, keys):
+    df = spark.createDataFrame([(k, "x") for k in keys], "k long, j string")
+    return {r[0] for r in df.select(F.xxhash64("k", "j")).collect()}
+
+
+def test_hot_keys_are_measured(spark):
+    facts = facts_with_hot_keys(spark).withColumn("k", F.col("k").cast("long"))
+    counts = {r["k"]: r["count"] for r in facts.where("k is not null").groupBy("k").count().collect()}
+    hot = {k for k, n in counts.items() if n >= 1000}
+    assert len(hot) == 3 and 0 in hot
+    assert set(hot_keys(facts, ["k", "j"])) == hashes(spark, hot)
+    assert hot_keys(spark.range(50_000).select(F.col("id").alias("k")), ["k"]) == []
+    assert hot_keys(spark.range(0).select(F.col("id").alias("k")), ["k"]) == []
+    assert hot_keys(facts.where("k is null"), ["k"]) == []
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("kind", ["long", "int"])
+def test_only_hot_keys_repeat_the_lookup(spark, how, kind):
+    facts = facts_with_hot_keys(spark, 12_000).withColumn("k", F.col("k").cast("long"))
+    lookup = spark.range(12_020).select(F.col("id").cast(kind).alias("k"), F.lit("x").alias("j"), (F.col("id") * 2).alias("w"))
+    joined = join_spread(facts, lookup, ["k", "j"], how)
+    assert rows(joined) == rows(facts.join(lookup, ["k", "j"], how))
+
+
+def repeated_rows(spark, facts, lookup, monkeypatch):
+    """How many rows the lookup has on its side of the join."""
+    sizes = []
+    frame = type(lookup)
+    join = frame.join
+    monkeypatch.setattr(frame, "join", lambda self, other, *rest: sizes.append(other.count()) or join(self, other, *rest))
+    join_spread(facts, lookup, ["k", "j"], "inner")
+    return sizes[-1]
+
+
+def test_a_uniform_table_has_its_lookup_once(spark, monkeypatch):
+    lookup = spark.range(20_000).select(F.col("id").alias("k"), F.lit("x").alias("j"))
+    uniform = spark.range(40_000).select((F.col("id") % 20_000).alias("k"), F.lit("x").alias("j"))
+    assert repeated_rows(spark, uniform, lookup, monkeypatch) == 20_000
+    skewed = facts_with_hot_keys(spark).withColumn("k", F.col("k").cast("long"))
+    assert repeated_rows(spark, skewed, lookup, monkeypatch) == 20_000 + 3 * 15
+
+
+def test_rows_without_a_key_are_spread_in_a_left_join(spark):
+    facts = spark.range(8000, numPartitions=4).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("v"))
+    lookup = spark.createDataFrame([(1, 2)], "k long, w long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = join_spread(facts, lookup, ["k"], "left")
+        sizes = joined.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 8000 and max(sizes) < 4000
