@@ -19,6 +19,7 @@ from comarca.operators.quality import (
     has_no_nulls,
     null_counts,
     profile,
+    profile_sketch,
     stats,
 )
 from comarca.operators.reshape import (
@@ -29,8 +30,10 @@ from comarca.operators.reshape import (
     explode_elements,
     pivot_first,
 )
+from comarca.operators.trace import Traced
 
 __all__ = [
+    "Traced",
     "attributes_long",
     "attributes_wide",
     "audit",
@@ -57,6 +60,7 @@ __all__ = [
     "null_counts",
     "pivot_first",
     "profile",
+    "profile_sketch",
     "rate_per",
     "starts_before",
     "stats",

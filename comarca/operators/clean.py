@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comarca.functions import code_to_label
 
 
+def canonical_value(column: str, fixes: Mapping[str, str] | None = None) -> Column:
+    """A category in lower case, with known misspellings replaced; ``fixes`` match whole values."""
+    lowered = F.lower(column)
+    return code_to_label(lowered, fixes, default=lowered) if fixes else lowered
+
+
+def not_sentinel(column: str, values: Sequence[object]) -> Column:
+    """Whether a value is known and no sentinel."""
+    return ~F.col(column).isin(*values)
+
+
 def canonicalise(
     df: DataFrame,
     column: str,
@@ -21,12 +32,10 @@ def canonicalise(
     ``fixes`` match whole lower-cased values. Null is never an allowed value, so with
     ``allowed`` the null rows go too.
     """
-    lowered = F.lower(column)
-    value = code_to_label(lowered, fixes, default=lowered) if fixes else lowered
-    cleaned = df.withColumn(column, value)
+    cleaned = df.withColumn(column, canonical_value(column, fixes))
     return cleaned if allowed is None else cleaned.where(F.col(column).isin(*allowed))
 
 
 def drop_sentinel(df: DataFrame, column: str, values: Sequence[object]) -> DataFrame:
     """Remove rows marked by a sentinel value. Null is unknown and goes as well."""
-    return df.where(~F.col(column).isin(*values))
+    return df.where(not_sentinel(column, values))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -88,8 +89,8 @@ def dedup(
 def audit(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """(step, rows) for the stages of a cleanup, in one job.
 
-    Each step is counted by a query of its own that reads the columns it needs. Counting
-    while the cleanup runs would be cheaper, but a retried task would be counted twice.
+    Each step is counted by a query of its own that reads the columns it needs: meant for tables
+    that are stored. ``Traced`` counts all steps of a cleanup in the pass that makes it.
     """
     counts = [
         df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(step).alias("step"), "rows")
@@ -162,3 +163,46 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         )
 
     return reduce(DataFrame.unionByName, [summary(name) for name in columns or df.columns])
+
+
+# Deviations that the error of a distinct count stands for, and a sketch's places for frequent values.
+DEVIATIONS = 4
+PROFILE_PLACES = 1 << 12
+# Equally frequent values that are looked at to name the smallest.
+TIED = 1000
+
+
+def profile_sketch(
+    df: DataFrame, columns: Sequence[str] | None = None, deviation: float = 0.01, places: int = PROFILE_PLACES
+) -> DataFrame:
+    """(column, count, unique, top, freq, unique_error, freq_error), in one scan and one small shuffle.
+
+    For tables too wide or too large for ``profile``. Each task keeps two sketches per column, of
+    bounded size, which are merged: registers for the distinct values and ``places`` counters for
+    the frequent ones. ``count`` is exact. ``unique`` is off by a share of ``unique_error`` at
+    most, four times the standard deviation. ``freq`` is too high by ``freq_error`` rows at most,
+    by none where the column has no more values than places. ``top`` and ``freq`` are null if no
+    value is more frequent than that error; among equally frequent ones the smallest is named.
+    """
+    names = list(columns or df.columns)
+    # The counters' map has the next power of two above 4/3 of the places; it loses 3.5 parts of that.
+    capacity = 1 << math.ceil(math.log2(math.ceil(places / 0.75)))
+
+    def sketches(name: str) -> Column:
+        value = F.col(f"`{name}`").cast("string")
+        return F.struct(
+            F.lit(name).alias("column"),
+            F.count(value).alias("count"),
+            F.approx_count_distinct(value, deviation).alias("unique"),
+            F.call_function("approx_top_k", value, F.lit(TIED), F.lit(places)).alias("items"),
+        )
+
+    found = df.agg(F.array(*[sketches(name) for name in names]).alias("rows")).select(F.inline("rows"))
+    known = F.filter("items", lambda item: item["item"].isNotNull())
+    error = F.when(F.col("unique") > 0.75 * places, F.ceil(F.col("count") * 3.5 / capacity)).otherwise(F.lit(0))
+    told = found.withColumn("items", known).withColumn("freq_error", error.cast("long"))
+    freq = F.array_max(F.transform("items", lambda item: item["count"]))
+    told = told.withColumn("freq", F.when(freq > F.col("freq_error"), freq))
+    most = F.filter("items", lambda item: item["count"] == F.col("freq"))
+    top = F.array_min(F.transform(most, lambda item: item["item"]))
+    return told.select("column", "count", "unique", top.alias("top"), "freq", F.lit(DEVIATIONS * deviation).alias("unique_error"), "freq_error")

@@ -56,12 +56,14 @@ def build_social(
 ) -> dict[str, DataFrame]:
     gathered = tables.load_social(spark, location, associations, sports_clubs)
     social = staged(spark, gathered, "social")
-    tables.store_by_county_and_postal_code(tables.clean_social(social), target + "social/")
+    trace = tables.social_trace(social)
+    trace = trace.over(staged(spark, trace.df, "social-trace"))
+    tables.store_by_county_and_postal_code(trace.table(), target + "social/")
     return {
         "Social entries as gathered: nulls": checks.key_nulls(social, "social"),
         "Social entries as gathered: repeated keys": reports.repeated_social(social),
         "Social entries as gathered: voided": reports.voided_social(social),
-        "Social entries: rows by step": audit(tables.social_steps(social)),
+        "Social entries: rows by step": trace.audit(),
     }
 
 
@@ -77,7 +79,7 @@ def build_cultural(
         "Institutions as gathered: repeated keys and addresses": reports.repeated_cultural(
             cultural, with_address=True
         ),
-        "Institutions: rows by step": audit(tables.cultural_steps(cultural)),
+        "Institutions: rows by step": tables.cultural_trace(cultural).audit(),
     }
 
 

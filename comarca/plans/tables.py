@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from comarca.functions import code_to_label, leading_int, repair_text, strip_code, to_int
 from comarca.operators import (
+    Traced,
     attributes_long,
     attributes_wide,
     bucket_sums,
@@ -113,18 +114,14 @@ def clean_counties(df: DataFrame) -> DataFrame:
     return canonicalise(df, "county", fixed.COUNTY_FIXES, fixed.VALID_COUNTIES)
 
 
-def social_steps(
-    social_table: DataFrame, canonicalise_first: bool = False
-) -> list[tuple[str, DataFrame]]:
-    """The social table before and after each step of its cleanup."""
-    kept = drop_sentinel(social_table, "name", [fixed.VOIDED])
+def social_trace(social_table: DataFrame, canonicalise_first: bool = False) -> Traced:
+    """The same cleanup with its row counts, from one pass and one dedup."""
+    kept = Traced.start(social_table, "gathered").without("without voided", "name", [fixed.VOIDED])
     if canonicalise_first:
-        placed = clean_counties(kept)
-        last = [("in a county", placed), ("one per key", dedup(placed, UNIQUE["social"]))]
-    else:
-        single = dedup(kept, UNIQUE["social"])
-        last = [("one per key", single), ("in a county", clean_counties(single))]
-    return [("gathered", social_table), ("without voided", kept), *last]
+        placed = kept.canonical("in a county", "county", fixed.COUNTY_FIXES, fixed.VALID_COUNTIES)
+        return placed.single("one per key", UNIQUE["social"])
+    single = kept.single("one per key", UNIQUE["social"])
+    return single.canonical("in a county", "county", fixed.COUNTY_FIXES, fixed.VALID_COUNTIES)
 
 
 def clean_social(social_table: DataFrame, canonicalise_first: bool = False) -> DataFrame:
@@ -133,7 +130,10 @@ def clean_social(social_table: DataFrame, canonicalise_first: bool = False) -> D
     In this order two spellings of a county keep a row each. ``canonicalise_first`` cleans
     the counties before the duplicates are looked for.
     """
-    return social_steps(social_table, canonicalise_first)[-1][1]
+    kept = drop_sentinel(social_table, "name", [fixed.VOIDED])
+    if canonicalise_first:
+        return dedup(clean_counties(kept), UNIQUE["social"])
+    return clean_counties(dedup(kept, UNIQUE["social"]))
 
 
 # Cultural ----------------------------------------------------------------------------
@@ -161,9 +161,10 @@ def load_cultural(spark: SparkSession, location: str, files: Sequence[str]) -> D
     return cultural([(source_tag(name), read_elements(spark, location + name)) for name in files])
 
 
-def cultural_steps(cultural_table: DataFrame) -> list[tuple[str, DataFrame]]:
-    """The cultural table before and after its cleanup."""
-    return [("gathered", cultural_table), ("in a county", clean_cultural(cultural_table))]
+def cultural_trace(cultural_table: DataFrame) -> Traced:
+    """The cleanup of the cultural table with its row counts, from one pass."""
+    gathered = Traced.start(cultural_table, "gathered")
+    return gathered.canonical("in a county", "county", fixed.COUNTY_FIXES, fixed.VALID_COUNTIES)
 
 
 def clean_cultural(cultural_table: DataFrame) -> DataFrame:

@@ -15,9 +15,9 @@ from comarca.functions import (
     to_int,
 )
 from comarca.operators import (
+    Traced,
     attributes_long,
     attributes_wide,
-    audit,
     audit_filters,
     bucket_sums,
     canonicalise,
@@ -35,6 +35,7 @@ from comarca.operators import (
     null_counts,
     pivot_first,
     profile,
+    profile_sketch,
     rate_per,
     stats,
     top_k,
@@ -342,17 +343,15 @@ def canonicalise_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
 """)
 def row_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts along a cleanup: sentinel removed, duplicates removed, categories cleaned.
-
-    The single rows are stored once, for the two steps that count them.
-    """
+    """Row counts along a cleanup: sentinel removed, duplicates removed, categories cleaned."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_orderstatus")
-    kept = drop_sentinel(orders, "o_orderstatus", ["P"])
-    single = staged(spark, dedup(kept, ["o_custkey", "o_orderpriority"]), "single")
     fixes = {"1-urgent": "1-URGENT", "2-high": "2-HIGH", "3-medium": "3-MEDIUM"}
-    valid = canonicalise(single, "o_orderpriority", fixes, list(fixes.values()))
-    return audit(
-        [("all", orders), ("not pending", kept), ("one per key", single), ("valid priority", valid)]
+    return (
+        Traced.start(orders, "all")
+        .without("not pending", "o_orderstatus", ["P"])
+        .single("one per key", ["o_custkey", "o_orderpriority"])
+        .canonical("valid priority", "o_orderpriority", fixes, list(fixes.values()))
+        .audit()
     )
 
 
@@ -411,6 +410,35 @@ def profile_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(parts.select("p_partkey", "p_name", "p_brand", "p_size", kind))
 
 
+_SKETCHED = {
+    "p_partkey": "CAST(p_partkey AS VARCHAR)",
+    "p_name": "p_name",
+    "p_brand": "p_brand",
+    "p_kind": "CASE WHEN p_size > 5 THEN p_type END",
+}
+
+
+@query(f"""
+    SELECT "column", "count", CASE WHEN "unique" <= 1000 THEN top END AS top,
+           CASE WHEN "unique" <= 1000 THEN freq END AS freq, true AS close
+    FROM ({profile_sql("part", _SKETCHED)})
+""")
+def profile_sketch_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile from sketches, of one scan, held against the exact one.
+
+    Frequent values are told exactly for columns of few values, and only for these; the
+    number of distinct values is within the error that comes with it.
+    """
+    kind = F.when(F.col("p_size") > 5, F.col("p_type")).alias("p_kind")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", kind)
+    exact = profile(parts).select("column", F.col("unique").alias("exact"))
+    few = F.col("exact") <= 1000
+    return profile_sketch(parts).join(exact, "column").select(
+        "column", "count", F.when(few, F.col("top")).alias("top"), F.when(few, F.col("freq")).alias("freq"),
+        (F.abs(F.col("unique") - F.col("exact")) <= F.col("unique_error") * F.col("exact") + 1).alias("close"),
+    )
+
+
 # Enrichment --------------------------------------------------------------------------
 
 _KNOWN_STATUS = """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comarca.operators import audit, explode_elements
+from comarca.operators import explode_elements
 from comarca.plans import fixed, tables
 from comarca.plans.checks import REQUIRED, key_dupes, key_nulls
 from comarca.plans.run import staged
@@ -69,9 +69,8 @@ def social_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'in a county', count(*) FROM ({shapes.CLEAN_SOCIAL})
 """)
 def social_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stores the gathered table, then counts it after each step."""
-    social = staged(spark, social_table(spark, sf_dir), "social")
-    return audit(tables.social_steps(social))
+    """One pass over the gathered table, with one dedup for all counts."""
+    return tables.social_trace(social_table(spark, sf_dir)).audit()
 
 
 @query(shapes.CULTURAL)
@@ -97,8 +96,7 @@ def cultural_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'in a county', count(*) FROM ({shapes.CLEAN_CULTURAL})
 """)
 def cultural_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cultural = staged(spark, cultural_table(spark, sf_dir), "cultural")
-    return audit(tables.cultural_steps(cultural))
+    return tables.cultural_trace(cultural_table(spark, sf_dir)).audit()
 
 
 def _library_attribute_sql() -> str:

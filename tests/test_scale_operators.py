@@ -3,18 +3,26 @@
 from collections import Counter
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from comarca.operators import (
+    Traced,
+    audit,
     bloom_filter,
+    canonicalise,
     cannot_have,
+    dedup,
+    drop_sentinel,
     find_long_dupes,
     hot_keys,
     join_spread,
     may_have,
+    profile_sketch,
     starts_before,
 )
-from helpers import rows
+from comarca.plans import tables
+from helpers import plan, rows
 
 KEYS = ["a", "b"]
 
@@ -144,3 +152,97 @@ def test_rows_without_a_key_are_spread_in_a_left_join(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert sum(sizes) == 8000 and max(sizes) < 4000
+
+
+# Traced cleanups -----------------------------------------------------------------------
+
+COUNTIES = ["Avila", "ávila", "LEON", "madrid", None, "Zamora"]
+ENTRIES = "name string, address string, county string, city string, postal_code string, sports string, social_kind string"
+
+
+def entries(spark, n=2000):
+    county = F.get(F.array(*[F.lit(c) for c in COUNTIES]), (F.col("id") * 7 % 6).cast("int"))
+    name = F.when(F.col("id") % 9 == 0, "ANULADO").when(F.col("id") % 11 != 0, F.concat(F.lit("n"), F.col("id") % 40))
+    return spark.range(n, numPartitions=6).select(
+        name.alias("name"), F.concat(F.lit("a"), F.col("id") % 77).alias("address"), county.alias("county"),
+        F.concat(F.lit("c"), F.col("id") % 3).alias("city"), F.lit("1").alias("postal_code"),
+        F.lit("s").alias("sports"), F.lit("association").alias("social_kind"),
+    )
+
+
+def by_steps(df, first):
+    """The cleanup step by step, each counted on its own."""
+    fixes, valid, keys = tables.fixed.COUNTY_FIXES, tables.fixed.VALID_COUNTIES, tables.UNIQUE["social"]
+    kept = drop_sentinel(df, "name", ["ANULADO"])
+    one = canonicalise(kept, "county", fixes, valid) if first else dedup(kept, keys)
+    two = dedup(one, keys) if first else canonicalise(one, "county", fixes, valid)
+    return two, [r["rows"] for r in audit([("a", df), ("b", kept), ("c", one), ("d", two)]).collect()]
+
+
+@pytest.mark.parametrize("first", [False, True])
+def test_a_trace_gives_the_table_and_the_counts_of_its_steps(spark, first):
+    df = entries(spark)
+    expected, counts = by_steps(df, first)
+    trace = tables.social_trace(df, first)
+    assert rows(trace.table()) == rows(expected) == rows(tables.clean_social(df, first))
+    assert trace.table().columns == df.columns and trace.table().dtypes == df.dtypes
+    found = trace.audit().collect()
+    assert [r["rows"] for r in found] == counts and len(set(counts)) == 4
+    names = ["in a county", "one per key"] if first else ["one per key", "in a county"]
+    assert [r["step"] for r in found] == ["gathered", "without voided", *names]
+    assert [r["rows"] for r in tables.social_trace(df.limit(0)).audit().collect()] == [0, 0, 0, 0]
+
+
+def test_counts_come_from_one_scan_and_one_dedup(spark, tmp_path):
+    entries(spark).write.parquet(str(tmp_path / "e"))
+    text = plan(tables.social_trace(spark.read.parquet(str(tmp_path / "e"))).audit())
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 1
+
+
+def test_counts_are_the_same_when_tasks_fail_and_run_again(spark):
+    def failing_once(batches):
+        context = TaskContext.get()
+        yield from batches
+        if context.attemptNumber() == 0 and context.partitionId() % 2:
+            raise RuntimeError("lost")
+
+    df = entries(spark)
+    shaky = df.mapInPandas(failing_once, ENTRIES)
+    for first in (False, True):
+        assert rows(tables.social_trace(shaky, first).audit()) == rows(tables.social_trace(df, first).audit())
+
+
+# Sketched profiles ---------------------------------------------------------------------
+
+
+def test_a_sketched_profile_keeps_to_its_errors_in_one_scan(spark, tmp_path):
+    n = 120_000
+    spark.range(n, numPartitions=6).select(
+        F.col("id").alias("own"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("v"), F.col("id") % 30_000)).alias("mixed"),
+        (F.col("id") % 40).alias("few"),
+        F.when(F.col("id") % 2 == 0, F.lit("b")).when(F.col("id") % 5 > 0, F.lit("a")).alias("gaps"),
+        F.lit(None).cast("string").alias("none"),
+    ).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    found = profile_sketch(stored)
+    assert plan(found).count("FileScan") == 1 and plan(found).count("Exchange") == 1
+    found = {r["column"]: r for r in found.collect()}
+    exact = {c: Counter(str(r[0]) for r in stored.select(c).collect() if r[0] is not None) for c in stored.columns}
+    for name, counted in exact.items():
+        row = found[name]
+        assert row["count"] == sum(counted.values())
+        assert abs(row["unique"] - len(counted)) <= row["unique_error"] * len(counted)
+        if row["freq"] is not None:
+            assert counted[row["top"]] <= row["freq"] <= counted[row["top"]] + row["freq_error"]
+            assert max(counted.values()) <= row["freq"]
+    assert (found["few"]["top"], found["few"]["freq"], found["few"]["freq_error"]) == ("0", 3000, 0)
+    assert (found["gaps"]["top"], found["gaps"]["freq"], found["gaps"]["freq_error"]) == ("b", 60_000, 0)
+    assert found["mixed"]["top"] == "hot" and found["mixed"]["freq_error"] > 0
+    assert (found["own"]["top"], found["own"]["freq"]) == (None, None)
+    assert tuple(found["none"])[1:5] == (0, 0, None, None)
+
+
+def test_a_sketched_profile_of_nothing(spark):
+    df = spark.createDataFrame([], "a string, `b c` int")
+    assert [tuple(r)[:5] for r in profile_sketch(df).collect()] == [("a", 0, 0, None, None), ("b c", 0, 0, None, None)]
