@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from comarca.operators import bloom_filter, cannot_have, join_spread, may_have
 from comarca.sources import scratch_path
 
 # A group with at least one in HOT_PARTS of all rows is hot; so there are at most HOT_PARTS of them.
@@ -52,6 +53,39 @@ def bounded(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if few else ids
 
 
+def few(listed: DataFrame) -> bool:
+    """Whether a stored list is short enough to be broadcast."""
+    return listed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
+def key_of(id_column: Column) -> Column:
+    """An id as a text that is never null; a null id is ''."""
+    return F.coalesce(id_column.cast("string"), F.lit(""))
+
+
+def matched(rows: DataFrame, listed: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows joined with a stored list on keys without nulls.
+
+    A short list is broadcast. A long one is turned into a Bloom filter of bounded size, so that only
+    rows that may be in it are shuffled; the texts of all others stay where they are.
+    """
+    if few(listed):
+        return rows.join(F.broadcast(listed), keys)
+    found = staged(bloom_filter(listed, keys), "bloom")
+    return may_have(rows, found, keys).join(listed, keys)
+
+
+def unmatched(rows: DataFrame, listed: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys are not in a stored list of distinct keys; again only those that may be in it
+    are shuffled, and spread where a key is hot. ``rows`` is read twice if the list is long."""
+    listed = listed.select(*keys)
+    if few(listed):
+        return rows.join(F.broadcast(listed), keys, "left_anti").select(*rows.columns)
+    found = staged(bloom_filter(listed, keys), "bloom")
+    maybe = join_spread(may_have(rows, found, keys), listed.withColumn("_listed", F.lit(True)), keys, "left")
+    return cannot_have(rows, found, keys).unionByName(maybe.where("_listed is null").select(*rows.columns))
+
+
 def is_held_out(id_column: Column) -> Column:
     """A fifth of all documents, by the checksum of the id's decimal digits; null counts as ''."""
     digits = F.coalesce(id_column.cast("string"), F.lit(""))

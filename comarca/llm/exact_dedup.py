@@ -3,20 +3,34 @@
 The index is a bucketed parquet table with one row per text seen: its SHA-256 digest and the id of
 the document that stays. A batch of documents is reduced to one row per digest, merge-joined
 against the index (whose side needs no shuffle) and what is new is appended.
+
+Every call is a run with a name. Its rows carry the mark of the attempt that wrote them, and count
+only once the run's attempt is committed, which is the last thing a call does to the index. So a
+call that broke off leaves nothing behind that counts, and a call under the name of an earlier
+one, broken or not, decides as that one did, or would have.
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comarca.llm.common import attach, bounded, staged, unpacked
+from comarca.llm.common import attach, key_of, rows_of, staged, unmatched, unpacked
 from comarca.sources import scratch_path
 
 BUCKETS = 32
+# Digests of 40 bytes that a bucket is meant to hold.
+BUCKET_ROWS = 2_000_000
+COMMITS = "run string, attempt string, at long"
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets for an index that is to hold so many texts."""
+    return max(BUCKETS, -(-rows // BUCKET_ROWS))
 
 
 @dataclass(frozen=True)
@@ -32,28 +46,47 @@ class DigestIndex:
     def open(cls, spark: SparkSession, location: str, buckets: int = BUCKETS) -> DigestIndex:
         """The index at a folder shared by all executors; an empty one if the folder is new.
 
-        ``buckets`` must be that of the folder. About one bucket per few hundred MB of
-        digests (40 bytes each) is right: 32 for the tests, thousands for 100 TB of texts.
+        ``buckets`` must be that of the folder; ``buckets_for`` says how many are right. Close the
+        index when done: that takes its name out of the catalog and leaves the files.
         """
         name = f"digests_{uuid4().hex}"
+        place = f"{location}/digests".replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
-            f"CREATE TABLE {name} (digest BINARY, keep_id BIGINT, keep_row BIGINT) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{location}'"
+            f"CREATE TABLE {name} (digest BINARY, keep_id BIGINT, keep_row BIGINT, attempt STRING) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{place}'"
         )
-        return cls(spark, name, location, buckets)
-
-    def entries(self) -> DataFrame:
-        return self.spark.table(self.name)
-
-    def add(self, candidates: DataFrame) -> None:
-        """Append those of the given distinct digests that the index does not hold yet."""
-        known = self.entries().select("digest").hint("merge")
+        index = cls(spark, name, location, buckets)
+        index._commits([]).write.mode("append").parquet(f"{location}/commits")
+        return index
+
+    def close(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+    def _commits(self, rows: list[tuple[str, str, int]]) -> DataFrame:
+        return self.spark.createDataFrame(rows, COMMITS).coalesce(1)
+
+    def attempts(self, besides: str | None = None) -> list[str]:
+        """The attempts that count: of every run, but for one, the last committed. One row per run."""
+        commits = self.spark.read.schema(COMMITS).parquet(f"{self.location}/commits")
+        last = commits.where(~F.col("run").eqNullSafe(besides)).groupBy("run").agg(F.max_by("attempt", "at").alias("attempt"))
+        return [row["attempt"] for row in last.collect()]
+
+    def entries(self, attempts: list[str] | None = None) -> DataFrame:
+        """The texts seen by some attempts, by default by all that count."""
+        self.spark.catalog.refreshTable(self.name)  # others may have written to the folder
+        return self.spark.table(self.name).where(F.col("attempt").isin(self.attempts() if attempts is None else attempts))
+
+    def add(self, candidates: DataFrame, attempt: str, attempts: list[str]) -> None:
+        """Append those of the given distinct digests that neither the given attempts nor this one hold."""
+        known = self.entries([*attempts, attempt]).select("digest").hint("merge")
         new = candidates.join(known, "digest", "left_anti")
         # Stored first: the table must not be read while it is written.
-        new = staged(new.select("digest", "keep_id", "keep_row"), "digests-new")
+        new = staged(new.select("digest", "keep_id", "keep_row", F.lit(attempt).alias("attempt")), "digests-new")
         (new.repartition(self.buckets, "digest").sortWithinPartitions("digest")
             .write.insertInto(self.name))
-        self.spark.catalog.refreshTable(self.name)
+
+    def commit(self, run: str, attempt: str) -> None:
+        self._commits([(run, attempt, time.time_ns())]).write.mode("append").parquet(f"{self.location}/commits")
 
 
 def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -75,22 +108,27 @@ def exact_dedup(
     text_column: str = "text",
     index: DigestIndex | None = None,
     batches: int = 2,
+    run: str | None = None,
 ) -> DataFrame:
     """Decide for every row whether it stays. Runs jobs; the index is written at once.
 
     Columns: id, row, digest, keep_id, group_size (rows here with this text), kept.
 
     Documents come in batches from the largest id down, so that the first arrival of a text, the
-    row with the largest id, is the one that stays. A text that an earlier call put into the
-    index keeps that earlier document: no row here stays for it. Null texts count as empty.
-    Null ids are the smallest. Of rows with equal text and id one stays. An empty table
-    gives no rows. Other columns are not looked at.
+    row with the largest id, is the one that stays. A text that an earlier run put into the
+    index keeps that earlier document: no row here stays for it. ``run`` names this run: repeat a
+    call that broke off, or whose result was lost, under the same name and over the same documents,
+    and it decides alike. Null texts count as empty. Null ids are the smallest. Of rows with equal
+    text and id one stays. An empty table gives no rows. Other columns are not looked at.
     """
     spark = docs.sparkSession
-    if index is None:
-        index = DigestIndex.open(spark, scratch_path(spark, "digest-index"))
     rows = digests(docs, id_column, text_column)
-    before = staged(index.entries().select("digest"), "digests-before")
+    own = index is None
+    if own:
+        index = DigestIndex.open(spark, scratch_path(spark, "digest-index"), buckets_for(rows.count()))
+    attempt = uuid4().hex
+    run = run or attempt
+    earlier = index.attempts(besides=run)
 
     steps = [k / batches for k in range(1, batches)]
     cuts = rows.agg(F.percentile_approx("id", steps)).first()[0] if steps else None
@@ -101,15 +139,16 @@ def exact_dedup(
     for k in range(batches):
         first = F.max(F.struct("id", "row")).alias("first")
         groups = numbered.where(F.col("batch") == k).groupBy("digest").agg(first)
-        index.add(groups.select("digest", F.col("first.id").alias("keep_id"), F.col("first.row").alias("keep_row")))
+        candidates = groups.select("digest", F.col("first.id").alias("keep_id"), F.col("first.row").alias("keep_row"))
+        index.add(candidates, attempt, earlier)
 
-    old = before.withColumn("old", F.lit(True))
     sizes = rows.groupBy("digest").agg(F.count("*").alias("group_size"))
-    entries = sizes.join(index.entries(), "digest").join(old, "digest", "left")
-    groups = staged(
-        entries.select("digest", "keep_id", "keep_row", "group_size", F.col("old").isNull().alias("new")),
-        "digest-groups",
-    )
+    entries = sizes.join(index.entries([*earlier, attempt]), "digest")
+    new = (F.col("attempt") == attempt).alias("new")
+    groups = staged(entries.select("digest", "keep_id", "keep_row", "group_size", new), "digest-groups")
+    index.commit(run, attempt)
+    if own:
+        index.close()
     kept = (F.col("row") == F.col("keep_row")) & F.col("new")
     decided = attach(rows, groups, "digest", "group_size")
     return decided.select("id", "row", "digest", "keep_id", "group_size", kept.alias("kept"))
@@ -118,16 +157,17 @@ def exact_dedup(
 def without_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents without exact copies, with all their columns; see ``exact_dedup``.
 
-    The ids to drop are broadcast if they are few, so that no text is shuffled, and joined by
-    shuffle otherwise. If an id stands for several rows, its rows are told apart by their text.
+    The ids to drop are broadcast if they are few; else a filter of them tells which rows
+    are shuffled, so that other texts are not. If an id stands for several rows, its rows are told apart by their text.
     """
     decided = staged(exact_dedup(docs, id_column, text_column), "decided")
     per_id = decided.groupBy("id").agg(
         F.count("*").alias("rows"), F.count_if("kept").alias("keeps"),
     )
     per_id = staged(per_id.where((F.col("rows") > 1) | (F.col("keeps") == 0)), "dropped-ids")
-    gone = bounded(per_id.select(F.col("id").alias("gone")))
-    kept = docs.join(gone, docs[id_column].eqNullSafe(gone["gone"]), "left_anti")
+    gone = per_id.select(key_of(F.col("id")).alias("name"))
+    named = rows_of(docs).select("row", key_of(F.col("row").getField(id_column).cast("long")).alias("name"))
+    kept = unpacked(unmatched(named, gone, ["name"]), docs.columns)
     if per_id.where("rows > 1").isEmpty():
         return kept
     # Ids with several rows: one row for each text that stays.

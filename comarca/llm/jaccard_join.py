@@ -24,7 +24,6 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -32,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from comarca.llm.common import HOT_PARTS, attach, bounded, rows_of, staged, unpacked
+from comarca.llm.common import HOT_PARTS, attach, bounded, key_of, matched, rows_of, staged, unmatched, unpacked
 from comarca.llm.components import connected_components
 from comarca.llm.words import slices, word_codes
 
@@ -162,7 +161,9 @@ def _block_links(threshold: Fraction):
     is found linked is joined at once, so that at most one link for each record comes out.
     """
 
-    def run(block: pd.DataFrame) -> pd.DataFrame:
+    def run(block):
+        import pandas as pd
+
         block = block.sort_values("record").drop_duplicates("record")
         sets = [np.asarray(x) for x in block["set"]]
         records, ranges, part = (block[c].to_numpy() for c in ("record", "range", "part"))
@@ -386,10 +387,10 @@ class _Join:
         return staged(linked.select("a", "b"), "links")
 
     def _with_sets(self, wanted: DataFrame, schema: str) -> DataFrame:
-        wanted = bounded(wanted)
-        same = (self.texts["key"] == wanted["key"]) & self.texts["id"].eqNullSafe(wanted["id"])
         names = [c for c in wanted.columns if c not in ("id", "key")]
-        found = self.texts.join(wanted, same).select(*names, "text")
+        texts = self.texts.select("key", key_of(F.col("id")).alias("name"), "text")
+        listed = wanted.select("key", key_of(F.col("id")).alias("name"), *names)
+        found = matched(texts, listed, ["key", "name"]).select(*names, "text")
         return found.mapInArrow(_sets_of_texts(self.words), f"{schema}, set array<long>")
 
     def components(self) -> DataFrame:
@@ -448,7 +449,7 @@ def without_near_copies(
 ) -> DataFrame:
     """One document of each component, the one with the smallest id, with all its columns.
 
-    Ids to drop are broadcast if they are few, and joined by shuffle otherwise. Rows that share
+    Ids to drop are broadcast if they are few; else only rows that a filter of them lets pass are shuffled. Rows that share
     an id are told apart by their text; of equal ones with words, one stays. Documents without words
     all stay.
     """
@@ -459,8 +460,9 @@ def without_near_copies(
         F.count("*").alias("rows"), F.count_if("stays").alias("keeps")
     )
     per_id = staged(per_id.where((F.col("rows") > 1) | (F.col("keeps") == 0)), "left-out")
-    gone = bounded(per_id.select(F.col("id").alias("gone")))
-    kept = docs.join(gone, docs[id_column].eqNullSafe(gone["gone"]), "left_anti")
+    gone = per_id.select(key_of(F.col("id")).alias("name"))
+    named = rows_of(docs).select("row", key_of(F.col("row").getField(id_column).cast("long")).alias("name"))
+    kept = unpacked(unmatched(named, gone, ["name"]), docs.columns)
     if per_id.where("rows > 1").isEmpty():
         return kept
     several = per_id.where("rows > 1").select("id")

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comarca.llm.common import labelled_sample, rows_of, staged, unpacked
+from comarca.llm.common import labelled_sample, rows_of, staged, unmatched, unpacked
 from comarca.llm.words import slices, word_codes
 
 SAMPLE = 60_000
@@ -228,10 +228,18 @@ def score_toxicity(
 def without_toxic(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """The documents whose score is under 0.5, with all their columns and repeated rows."""
+    """The documents whose score is under 0.5, with all their columns and repeated rows.
+
+    Only texts go through Python, and only digests of the toxic ones come back; rows are then left out by
+    the digest of their text, where they lie. Null and empty texts count alike, and stay unless
+    the model finds all texts toxic. An empty table gives no rows. A text of any length is scored whole.
+    """
     model = learn_toxicity(docs, labels, id_column=id_column, text_column=text_column)
-    rows = rows_of(docs)
-    evidence = _summary(model)(F.col("row").getField(text_column))["evidence"]
-    scored = rows.select("row", F.least(evidence, F.lit(50.0)).alias("evidence"))
+    texts = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest")
+    scored = texts.select(digest, F.least(_summary(model)("text")["evidence"], F.lit(50.0)).alias("evidence"))
     score = 1 / (1 + F.exp(-(F.lit(model.bias) + F.lit(model.slope) * F.col("evidence"))))
-    return unpacked(scored.where(score < 0.5), docs.columns)
+    toxic = staged(scored.where(score >= 0.5).select("digest").distinct(), "toxic")
+    text = F.coalesce(F.col("row").getField(text_column), F.lit(""))
+    rows = rows_of(docs).select("row", F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"))
+    return unpacked(unmatched(rows, toxic, ["digest"]), docs.columns)

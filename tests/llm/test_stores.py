@@ -337,3 +337,106 @@ def test_a_lost_executors_blocks_are_made_again(spark):
     finally:
         vc.StorageLevel.MEMORY_AND_DISK = keep
     assert all((a == b).all() for a, b in zip(expected.books, again.books, strict=True))
+
+
+# Lists longer than may be broadcast, and runs that break off ----------------------------
+
+
+@pytest.fixture
+def no_broadcast(monkeypatch):
+    from comarca.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+
+
+def test_long_lists_give_the_same_rows(spark, more, no_broadcast):
+    from comarca.llm.exact_dedup import without_copies
+    from comarca.llm.jaccard_join import jaccard_components, without_near_copies
+
+    from comarca.llm import common
+
+    long = [sorted(map(str, f(more).collect())) for f in (without_copies, without_near_copies, jaccard_components)]
+    common.BROADCAST_ROWS = 1000
+    short = [sorted(map(str, f(more).collect())) for f in (without_copies, without_near_copies, jaccard_components)]
+    assert long == short
+
+
+def test_toxic_rows_go_by_their_text_whatever_the_list(spark, more, monkeypatch):
+    from comarca.llm import common, toxicity
+
+    docs = table_with(spark, more)
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = toxicity.learn_toxicity(docs, labels)
+    bad = {r["row"] for r in toxicity.score_toxicity(docs.withColumn("k", F.monotonically_increasing_id()), model, "k").where("predicted = 1").select(F.col("id").alias("row")).collect()}
+    rows = docs.withColumn("k", F.monotonically_increasing_id()).collect()
+    expected = Counter(str(r["text"]) for r in rows if r["k"] not in bad)
+    assert bad and expected
+    for limit in (0, 1000):
+        monkeypatch.setattr(common, "BROADCAST_ROWS", limit)
+        kept = toxicity.without_toxic(docs, labels)
+        assert kept.columns == docs.columns
+        assert Counter(str(r["text"]) for r in kept.collect()) == expected
+
+
+def table_with(spark, more):
+    """The test documents, some of them as a large group of copies, and the odd rows."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    docs = docs.unionByName(docs.where("doc_id % 17 = 0").crossJoin(spark.range(30)).drop("id"))
+    return docs.unionByName(more.select("doc_id", "text", "lang", "source").where("doc_id is null or doc_id < 100"))
+
+
+def test_only_what_may_be_listed_is_shuffled(spark, no_broadcast):
+    from comarca.llm.common import staged, unmatched
+
+    docs = spark.range(20_000).select(F.col("id").cast("string").alias("name"), F.repeat(F.lit("x"), 50).alias("text"))
+    listed = staged(spark.range(0, 20_000, 100).select(F.col("id").cast("string").alias("name")), "listed")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = unmatched(docs, listed, ["name"])
+        kept._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert kept.count() == 20_000 - 200
+    moved = [line for line in kept._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(name" in line]
+    assert moved and "_salt" in moved[0]
+
+
+@pytest.mark.parametrize("broken", ["add", "commit"])
+def test_a_run_that_broke_off_can_be_repeated(spark, tmp_path, monkeypatch, broken):
+    from comarca.llm.exact_dedup import DigestIndex, exact_dedup
+
+    first = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "doc_id long, text string")
+    docs = spark.createDataFrame([(10, "a"), (11, "c"), (12, "d"), (13, "c"), (14, "e"), (15, "f"), (16, "g")], "doc_id long, text string")
+    index = DigestIndex.open(spark, str(tmp_path / "it's an index"), 4)
+    exact_dedup(first, index=index, run="one")
+    calls = []
+    real = getattr(DigestIndex, broken)
+
+    def fails(self, *rest):
+        calls.append(1)
+        if len(calls) == (2 if broken == "add" else 1):
+            raise RuntimeError("lost")
+        return real(self, *rest)
+
+    monkeypatch.setattr(DigestIndex, broken, fails)
+    with pytest.raises(RuntimeError):
+        exact_dedup(docs, index=index, run="two")
+    monkeypatch.setattr(DigestIndex, broken, real)
+    wanted = {10: (3, False), 11: (13, False), 12: (12, True), 13: (13, True), 14: (14, True), 15: (15, True), 16: (16, True)}
+    for _ in range(2):  # again after the break, and again though it went through
+        again = DigestIndex.open(spark, index.location, 4)
+        found = {r["id"]: (r["keep_id"], r["kept"]) for r in exact_dedup(docs, index=again, run="two").collect()}
+        assert found == wanted
+        again.close()
+    assert sorted(r["keep_id"] for r in index.entries().collect()) == [2, 3, 12, 13, 14, 15, 16]
+    later = {r["id"]: r["kept"] for r in exact_dedup(docs, index=index, run="three").collect()}
+    assert not any(later.values())
+
+
+def test_an_index_leaves_nothing_in_the_catalog_and_grows_in_buckets(spark):
+    from comarca.llm.exact_dedup import buckets_for, exact_dedup
+
+    before = {t.name for t in spark.catalog.listTables()}
+    exact_dedup(spark.createDataFrame([(1, "a")], "doc_id long, text string")).count()
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert buckets_for(0) == 32 and buckets_for(10**10) == 5000
