@@ -1,4 +1,12 @@
-from comarca.operators.analyze import count_by, count_matrix, distinct_values, top_k, value_sets
+from comarca.operators.analyze import (
+    count_by,
+    count_matrix,
+    distinct_values,
+    top_k,
+    value_pairs,
+    value_sets,
+    value_sets_up_to,
+)
 from comarca.operators.bloom import bloom_filter, cannot_have, may_have
 from comarca.operators.clean import canonicalise, drop_sentinel
 from comarca.operators.enrich import (
@@ -66,5 +74,7 @@ __all__ = [
     "stats",
     "top_k",
     "unique_lookup",
+    "value_pairs",
     "value_sets",
+    "value_sets_up_to",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from comarca.operators import audit
 from comarca.plans import checks, fixed, reports, tables
-from comarca.sources import read_elements, read_partitioned, scratch_path
+from comarca.sources import read_elements, read_partitioned, read_versioned, scratch_path
 
 
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -27,24 +27,26 @@ def gather_venues(spark: SparkSession, location: str, files: Sequence[str]) -> D
     return staged(spark, tables.load_venues(spark, location, files), "venues")
 
 
-def build_postal_codes(spark: SparkSession, venues: DataFrame, target: str) -> DataFrame:
+def build_postal_codes(
+    spark: SparkSession, venues: DataFrame, target: str, versioned: bool = False
+) -> DataFrame:
     """The postal codes found in gathered venues, stored below ``target`` and read back."""
-    tables.store_postal_codes(tables.postal_codes(venues), target)
-    return stored_table(spark, target, "postal_codes")
+    tables.store_postal_codes(tables.postal_codes(venues), target, versioned)
+    return stored_table(spark, target, "postal_codes", versioned)
 
 
 def build_venues(
-    spark: SparkSession, location: str, files: Sequence[str], target: str
+    spark: SparkSession, location: str, files: Sequence[str], target: str, versioned: bool = False
 ) -> dict[str, DataFrame]:
     """Venue files to ``postal_codes/`` and ``garitos/`` below ``target``.
 
     Returned, as by the other builds, are the checks of the table before its cleanup.
     """
     venues = gather_venues(spark, location, files)
-    known = build_postal_codes(spark, venues, target)
+    known = build_postal_codes(spark, venues, target, versioned)
     cleaned = tables.clean_venues(venues, known)
-    tables.store_by_county_and_postal_code(cleaned, target + "garitos/")
-    filled = stored_table(spark, target, "garitos")
+    tables.store_by_county_and_postal_code(cleaned, target + "garitos/", versioned)
+    filled = stored_table(spark, target, "garitos", versioned)
     return {
         "Venues as gathered: nulls": checks.key_nulls(venues, "garitos"),
         "Venues: rows by step": audit([("gathered", venues), ("filled", filled)]),
@@ -52,13 +54,14 @@ def build_venues(
 
 
 def build_social(
-    spark: SparkSession, location: str, associations: str, sports_clubs: str, target: str
+    spark: SparkSession, location: str, associations: str, sports_clubs: str, target: str,
+    versioned: bool = False,
 ) -> dict[str, DataFrame]:
     gathered = tables.load_social(spark, location, associations, sports_clubs)
     social = staged(spark, gathered, "social")
     trace = tables.social_trace(social)
     trace = trace.over(staged(spark, trace.df, "social-trace"))
-    tables.store_by_county_and_postal_code(trace.table(), target + "social/")
+    tables.store_by_county_and_postal_code(trace.table(), target + "social/", versioned)
     return {
         "Social entries as gathered: nulls": checks.key_nulls(social, "social"),
         "Social entries as gathered: repeated keys": reports.repeated_social(social),
@@ -68,11 +71,11 @@ def build_social(
 
 
 def build_cultural(
-    spark: SparkSession, location: str, files: Sequence[str], target: str
+    spark: SparkSession, location: str, files: Sequence[str], target: str, versioned: bool = False
 ) -> dict[str, DataFrame]:
     cultural = staged(spark, tables.load_cultural(spark, location, files), "cultural")
     cleaned = tables.clean_cultural(cultural)
-    tables.store_by_county_and_postal_code(cleaned, target + "cultural/")
+    tables.store_by_county_and_postal_code(cleaned, target + "cultural/", versioned)
     return {
         "Institutions as gathered: nulls": checks.key_nulls(cultural, "cultural"),
         "Institutions as gathered: repeated keys": reports.repeated_cultural(cultural),
@@ -83,8 +86,11 @@ def build_cultural(
     }
 
 
-def build_population(spark: SparkSession, location: str, file: str, target: str) -> None:
-    tables.store_by_county(tables.load_population(spark, location, file), target + "population/")
+def build_population(
+    spark: SparkSession, location: str, file: str, target: str, versioned: bool = False
+) -> None:
+    people = tables.load_population(spark, location, file)
+    tables.store_by_county(people, target + "population/", versioned)
 
 
 def library_attributes(spark: SparkSession, location: str, file: str) -> DataFrame:
@@ -95,23 +101,30 @@ def library_attributes(spark: SparkSession, location: str, file: str) -> DataFra
     return tables.element_attributes(read_elements(spark, location + file, "library_id"))
 
 
-def build_region(spark: SparkSession, location: str, target: str) -> dict[str, DataFrame]:
+def build_region(
+    spark: SparkSession, location: str, target: str, versioned: bool = False
+) -> dict[str, DataFrame]:
     """All five tables from the files of one folder, under their usual names.
 
     Returned are the checks before cleanup, by title; nothing of them runs until one is
-    looked at.
+    looked at. With ``versioned`` each table gets a new version, and readers of the one before are
+    not disturbed, whether the rebuild ends well or not; read it with ``versioned`` too.
     """
     found = {
-        **build_venues(spark, location, fixed.VENUE_FILES, target),
-        **build_social(spark, location, fixed.ASSOCIATION_FILE, fixed.SPORTS_CLUB_FILE, target),
-        **build_cultural(spark, location, fixed.CULTURAL_FILES, target),
+        **build_venues(spark, location, fixed.VENUE_FILES, target, versioned),
+        **build_social(
+            spark, location, fixed.ASSOCIATION_FILE, fixed.SPORTS_CLUB_FILE, target, versioned
+        ),
+        **build_cultural(spark, location, fixed.CULTURAL_FILES, target, versioned),
     }
-    build_population(spark, location, fixed.POPULATION_FILE, target)
+    build_population(spark, location, fixed.POPULATION_FILE, target, versioned)
     libraries = library_attributes(spark, location, f"{fixed.LIBRARIES}.json")
     return {**found, "Attributes of libraries": libraries}
 
 
-def stored_table(spark: SparkSession, target: str, name: str) -> DataFrame:
+def stored_table(
+    spark: SparkSession, target: str, name: str, versioned: bool = False
+) -> DataFrame:
     """One of the stored tables by folder name, with its documented schema."""
     schemas = {
         "garitos": fixed.VENUE_SCHEMA,
@@ -120,7 +133,8 @@ def stored_table(spark: SparkSession, target: str, name: str) -> DataFrame:
         "postal_codes": fixed.POSTAL_CODE_SCHEMA,
         "population": fixed.POPULATION_SCHEMA,
     }
-    return read_partitioned(spark, f"{target}{name}/", schemas[name])
+    read = read_versioned if versioned else read_partitioned
+    return read(spark, f"{target}{name}/", schemas[name])
 
 
 def region_checks(spark: SparkSession, target: str) -> dict[str, DataFrame]:

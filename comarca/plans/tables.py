@@ -30,6 +30,7 @@ from comarca.sources import (
     read_elements,
     source_tag,
     write_partitioned,
+    write_versioned,
 )
 
 
@@ -228,13 +229,18 @@ def load_population(
 # Stored tables -----------------------------------------------------------------------
 
 
-def store_by_county(df: DataFrame, path: str) -> None:
-    write_partitioned(df, path, ["county"])
+def store_by_county(df: DataFrame, path: str, versioned: bool = False) -> None:
+    _store(df, path, ["county"], versioned)
 
 
-def store_by_county_and_postal_code(df: DataFrame, path: str) -> None:
-    write_partitioned(df, path, ["county", "postal_code"])
+def store_by_county_and_postal_code(df: DataFrame, path: str, versioned: bool = False) -> None:
+    _store(df, path, ["county", "postal_code"], versioned)
 
 
-def store_postal_codes(df: DataFrame, location: str) -> None:
-    store_by_county(df, location + "postal_codes/")
+def store_postal_codes(df: DataFrame, location: str, versioned: bool = False) -> None:
+    store_by_county(df, location + "postal_codes/", versioned)
+
+
+def _store(df: DataFrame, path: str, keys: Sequence[str], versioned: bool) -> None:
+    """Replace a stored table, or with ``versioned`` add a version that readers are switched to."""
+    (write_versioned if versioned else write_partitioned)(df, path, keys)

@@ -40,7 +40,9 @@ from comarca.operators import (
     stats,
     top_k,
     unique_lookup,
+    value_pairs,
     value_sets,
+    value_sets_up_to,
 )
 from comarca.plans.run import staged
 from comarca.queries.registry import profile_sql, query, table
@@ -626,6 +628,30 @@ def value_sets_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+    SELECT DISTINCT event_type, user_id FROM events WHERE value > 100 AND user_id IS NOT NULL
+""")
+def value_pairs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    large = table(spark, sf_dir, "events").where(F.col("value") > 100)
+    return value_pairs(large, ["event_type"], "user_id")
+
+
+@query("""
+    SELECT kind, count(DISTINCT o_custkey) AS "size",
+           CASE WHEN count(DISTINCT o_custkey) <= 20
+                THEN coalesce(array_to_string(list_sort(list(DISTINCT o_custkey)), ','), '') END AS customers
+    FROM (SELECT o_custkey, CASE WHEN o_totalprice > 1000 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS kind
+          FROM orders)
+    GROUP BY kind
+""")
+def value_sets_up_to_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers per day, listed for days of few; orders of small sums have no day, and many customers."""
+    day = F.when(F.col("o_totalprice") > 1000, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("kind")
+    orders = table(spark, sf_dir, "orders").select(day, "o_custkey")
+    found = value_sets_up_to(orders, ["kind"], "o_custkey", 20, "customers")
+    return found.select("kind", "size", F.array_join("customers", ",").alias("customers"))
+
+
 @query("SELECT DISTINCT lang FROM documents")
 def distinct_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_values(table(spark, sf_dir, "documents"), "lang")

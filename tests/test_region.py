@@ -449,3 +449,14 @@ def test_all_checks_and_reports_run(spark, target):
     assert all(sizes.values()), sizes
     plans = " ".join(plan(df) for df in shown.values())
     assert "PartitionFilters: [isnotnull(county" in plans
+
+
+# Versions
+
+
+def test_a_versioned_region_equals_the_plain_one(spark, location, target, tmp_path):
+    folder = f"{tmp_path}/"
+    run.build_region(spark, location, folder, versioned=True)
+    for name in ("garitos", "social", "cultural", "postal_codes", "population"):
+        plain = run.stored_table(spark, target, name)
+        assert rows(run.stored_table(spark, folder, name, versioned=True)) == rows(plain)

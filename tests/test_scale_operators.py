@@ -20,6 +20,9 @@ from comarca.operators import (
     may_have,
     profile_sketch,
     starts_before,
+    value_pairs,
+    value_sets,
+    value_sets_up_to,
 )
 from comarca.plans import tables
 from helpers import plan, rows
@@ -246,3 +249,40 @@ def test_a_sketched_profile_keeps_to_its_errors_in_one_scan(spark, tmp_path):
 def test_a_sketched_profile_of_nothing(spark):
     df = spark.createDataFrame([], "a string, `b c` int")
     assert [tuple(r)[:5] for r in profile_sketch(df).collect()] == [("a", 0, 0, None, None), ("b c", 0, 0, None, None)]
+
+
+# Value sets ----------------------------------------------------------------------------
+
+
+def with_many_values(spark, n=30_000):
+    """Key "many" has a third of all values, null some; the others a few each, one of them none."""
+    key = F.when(F.col("id") % 3 == 0, "many").when(F.col("id") % 10 > 0, F.concat(F.lit("k"), F.col("id") % 7000))
+    value = F.when(key != "k1", F.col("id") % 20_000)
+    return spark.range(n, numPartitions=6).select(key.alias("k"), value.alias("v"))
+
+
+def test_sets_up_to_a_limit_equal_the_sets(spark):
+    df = with_many_values(spark)
+    whole = {r["k"]: r["values"] for r in value_sets(df, ["k"], "v").collect()}
+    found = {r["k"]: (r["size"], r["values"]) for r in value_sets_up_to(df, ["k"], "v", 100).collect()}
+    assert found == {k: (len(v), v if len(v) <= 100 else None) for k, v in whole.items()}
+    assert found["many"][1] is None and found["k1"] == (0, []) and None in found
+    pairs = Counter(r["k"] for r in value_pairs(df, ["k"], "v").collect())
+    assert pairs == Counter({k: len(v) for k, v in whole.items() if v})
+    assert value_sets_up_to(df.limit(0), ["k"], "v", 100).count() == 0
+
+
+def test_a_key_with_many_values_is_in_no_one_task(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = with_many_values(spark).withColumn("k", F.coalesce("k", F.lit("none")))
+        pairs = value_pairs(df, ["k"], "v")
+        sized = join_spread(pairs, pairs.select("k").distinct(), ["k"], "inner")
+        many = sized.where("k = 'many'").rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(many) == 10_000 and max(many) < 5_000

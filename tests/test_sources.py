@@ -354,3 +354,40 @@ def test_scratch_on_a_cluster_needs_the_shared_folder():
     assert scratch_path(OtherSession(spark_master="local[2]"), "x")
     shared = OtherSession(spark_master="yarn", spark_checkpoint_dir="hdfs:///tmp/")
     assert scratch_path(shared, "x").startswith("hdfs:///tmp/comarca/app-1/x-")
+
+
+def test_readers_keep_the_version_before_while_a_rebuild_fails(spark, tmp_path):
+    from pyspark import TaskContext
+
+    from comarca.sources import current_version, read_versioned, switch_version, write_versioned
+
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([("a", "x", "1"), ("b", "y", "1")], SCHEMA)
+    version = write_versioned(first, path, ["county"])
+    before = read_versioned(spark, path, SCHEMA)
+    assert rows(before) == rows(first)
+
+    def last_task_fails(batches):
+        yield from batches
+        if TaskContext.get().partitionId() == 3:
+            raise RuntimeError("lost for good")
+
+    many = spark.range(400, numPartitions=4).selectExpr("'n' || id name", "'c' || id % 3 county", "'2' code")
+    with pytest.raises(Exception, match="lost for good"):
+        write_versioned(many.mapInPandas(last_task_fails, SCHEMA), path, ["county"])
+    assert current_version(spark, path) == version
+    assert rows(read_versioned(spark, path, SCHEMA)) == rows(before) == rows(first)
+    # A rebuild that goes through: who reads the version before still can, who comes later sees the new one.
+    newer = write_versioned(many, path, ["county"])
+    assert rows(before) == rows(first)
+    assert read_versioned(spark, path, SCHEMA).count() == 400 and current_version(spark, path) == newer
+    switch_version(spark, path, version)
+    assert rows(read_versioned(spark, path, SCHEMA)) == rows(first)
+    assert read_versioned(spark, path, SCHEMA, newer).count() == 400
+
+
+def test_a_table_without_a_complete_version_cannot_be_read(spark, tmp_path):
+    from comarca.sources import read_versioned
+
+    with pytest.raises(AnalysisException):
+        read_versioned(spark, str(tmp_path / "none"), SCHEMA)
