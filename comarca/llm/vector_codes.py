@@ -220,8 +220,8 @@ def fit_codebooks(
     smallest ids (null ids last, equal ids by vector; fewer vectors make smaller codebooks). A round
     assigns every part to the nearest entry, the lower of equally near ones, and moves every
     entry with members to the floor of their mean. Without a usable vector the codebooks are empty.
-    Vectors of another dimension than the one with the smallest id are left out. Exact while scaled
-    components stay below 2**29 and vectors below a dimension of 32. Repeated rows count as often as
+    Vectors of another dimension than the one with the smallest id are left out. Exact while squared
+    distances stay below 2**63, as with scaled components below 2**27 in 64 dimensions. Repeated rows count as often as
     they occur. The driver holds the codebooks and one sum per entry.
     """
     spark = vectors.sparkSession
