@@ -535,7 +535,7 @@ def test_rules_are_those_of_a_plain_search(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_every_query_covers_its_table(spark, name):
-    table = "pages" if "url" in name else "documents"
+    table = "pages" if "url" in name else "embeddings" if "vector" in name else "documents"
     found = QUERIES[name](spark, SF)
     rows = spark.read.parquet(f"{SF}/{table}.parquet").count()
     assert found.count() == rows if name != "op2_packing" else found.count() >= rows
