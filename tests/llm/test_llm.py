@@ -272,6 +272,40 @@ def test_ids_that_are_null_or_of_several_rows_are_mixed_by_row(spark):
     assert len(parts) > 2 and max(r["count"] for r in parts) < 600
 
 
+def test_the_fill_is_tight_when_buckets_are_cut_to_single_texts(spark):
+    random.seed(8)
+    rows = [(k, f"w{k} " * random.choice([1, 3, 20, 70, 400]), random.choice("abbbbccccc")) for k in range(4000)]
+    rows += [(None, "copy " * 9, "c")] * 600
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    sizes = Counter()
+    for plan in (mix_plan(docs, shards=4, blocks=6, items=3).collect(), mix_plan(docs.coalesce(1), shards=4, blocks=6, items=3).collect()):
+        by_source = Counter()
+        for r in plan:
+            by_source[r["source"]] += r["copies"] * r["size"]
+        for name, taken in by_source.items():
+            own = [r for r in plan if r["source"] == name]
+            target, rounds = own[0]["target"], int(own[0]["target"] // own[0]["source_size"])
+            assert {r["copies"] for r in own} <= {rounds, rounds + 1}
+            left_out = [r["size"] for r in own if r["copies"] == rounds]
+            last = [r["size"] for r in own if r["copies"] > rounds]
+            if taken <= target:
+                assert not left_out or target - taken < min(left_out) + 1
+            else:
+                assert taken - target <= max(last) / 2 + 1
+        sizes[tuple(sorted((r["id"] or -1, r["copies"]) for r in plan))] += 1
+    assert len(sizes) == 1  # the layout does not matter
+
+
+def test_many_sources_are_mixed(spark):
+    docs = spark.range(100_000).selectExpr("id AS doc_id", "repeat('w ', cast(1 + id % 7 AS int)) AS text", "concat('s', id) AS source")
+    plan = mix_plan(docs, shards=4, blocks=64)
+    over = F.abs(F.col("copies") * F.col("size") - F.col("target")) > F.col("size") / 2 + 1
+    found = plan.agg(F.count("*"), F.count_if(over), F.sum(F.col("copies") * F.col("size")), F.sum("size")).first()
+    assert found[:2] == (100_000, 0) and abs(found[2] / found[3] - 1) < 0.3
+    drawn = plan.select(F.explode("shards").alias("shard")).groupBy("shard").count().collect()
+    assert len(drawn) == 4 and max(r["count"] for r in drawn) - min(r["count"] for r in drawn) <= 2
+
+
 def test_a_shard_of_the_mix_may_span_several_tasks(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -282,6 +316,12 @@ def test_a_shard_of_the_mix_may_span_several_tasks(spark):
     assert len(sizes) == 4 and max(r["count"] for r in sizes) < 1500
 
 
+def test_quotas_of_a_group_are_split_as_given():
+    given = np.array([5, 0, 30, 1])
+    counts = split_quotas(np.array([20, 0, 15, 1]), 4, seed=[3, 1], given=given)
+    assert counts.sum(axis=0).tolist() == given.tolist() and counts.sum(axis=1).tolist() == [20, 0, 15, 1]
+
+
 def test_quotas_are_split_whole():
     counts = split_quotas(np.array([100, 0, 7, 1]), 5, seed=1)
     assert counts.sum(axis=1).tolist() == [100, 0, 7, 1]
