@@ -69,13 +69,15 @@ def _encoder(vocabulary: str):
 
 
 def split_text(text: str, size: int = PART_CHARS) -> Iterator[str]:
-    """Cut a long text before blanks that follow a letter or digit: no token spans such a place."""
+    """Cut a long text before blanks that follow a letter or digit: no token spans such a place.
+    A text that holds the special token's string stays whole."""
     at = 0
-    while len(text) - at > size:
+    whole = len(text) > size and SPECIAL in text
+    while not whole and len(text) - at > size:
         cut = at + size
         while (cut := text.find(" ", cut)) >= 0 and not text[cut - 1].isalnum():
             cut += 1
-        if cut < 0 or SPECIAL in text:
+        if cut < 0:
             break
         yield text[at:cut]
         at = cut
