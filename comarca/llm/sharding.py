@@ -2,7 +2,8 @@
 
 The key of a record is (hash of its text, id, row), so that equal texts lie side by side. Draws of
 keys, weighted by bytes and rows, give quantile boundaries, which cut the records into many more
-ranges than shards; a text that fills whole ranges by itself is subdivided by id and row. The exact sizes of the ranges then
+ranges than shards; a text that fills whole ranges by itself is cut by id and row. The ranges are measured, and those that
+came out overfull are drawn from again and subdivided. The exact sizes of the ranges then
 say where every record lies in the order of all bytes, and so its shard.
 """
 
@@ -20,40 +21,78 @@ RANGES = 4096
 DRAWS_PER_RANGE = 16
 ROWS_PER_RANGE = 1_000_000
 MOST_RANGES = 1 << 16
+# A range with more than this many times the mean bytes or rows is subdivided.
+OVERFULL = 2.0
+# Stands for a null id, before all others.
+NO_ID = -(1 << 63)
 
 
 KEY = np.dtype([("hash", np.int64), ("id", np.int64), ("row", np.int64)])
 
 
-def _splitters(records: DataFrame, ranges: int, total: int, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where ranges begin, as sorted (hash, id, row): quantiles of weighted draws; and the hashes drawn repeatedly.
+def _splitters(records: DataFrame, total: int, count: int, ranges: int, parts: int | None, turn: int) -> tuple[np.ndarray, np.ndarray]:
+    """Quantiles of weighted draws, as (hash, id, row); and the hashes drawn repeatedly.
 
     A record's weight is its share of the bytes or of the rows, whichever is larger, so that a
     range is bounded in both. Each is drawn that share of ``ranges * DRAWS_PER_RANGE`` times, rounded
     at random; so at most twice as many rows come to the driver, whatever the table's size, in
-    expectation. Quantiles within one hash keep their ids and rows, all others fall back to the first
-    of their hash, so that equal texts are cut apart only where they fill a range.
+    expectation. ``records`` have a column ``range``; each range is cut by itself, into ``parts``, or if None into one part for
+    every ``DRAWS_PER_RANGE`` draws, at least two. Every ``turn`` draws anew.
     """
     draws = ranges * DRAWS_PER_RANGE
-    chance = F.pmod(F.xxhash64("id", "hash", "row", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    chance = F.pmod(F.xxhash64("id", "hash", "row", F.lit(7 + turn)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.greatest(F.col("size") / F.lit(float(max(total, 1))), F.lit(1.0 / max(count, 1)))
     times = F.floor(share * F.lit(draws) + chance).alias("times")
-    drawn = records.select("hash", F.coalesce("id", F.lit(-(1 << 63))).alias("id"), "row", times).where("times > 0")
+    drawn = records.select("range", "hash", F.coalesce("id", F.lit(NO_ID)).alias("id"), "row", times).where("times > 0")
     sample = drawn.orderBy("hash", "id", "row").toPandas()
-    if sample.empty:
-        return np.empty(0, KEY), np.empty(0, np.int64)
-    weights = sample.groupby("hash")["times"].sum()
-    reached = np.cumsum(sample["times"].to_numpy())
-    at = np.searchsorted(reached, reached[-1] * np.arange(1, ranges) / ranges, side="right")
-    cuts = sample.iloc[np.unique(np.minimum(at, len(sample) - 1))]
-    keys = np.empty(len(cuts), KEY)
+    cuts = [sample.iloc[:0]]
+    for _, own in sample.groupby("range"):
+        reached = np.cumsum(own["times"].to_numpy())
+        pieces = parts or max(2, -(-int(reached[-1]) // DRAWS_PER_RANGE))
+        at = np.searchsorted(reached, reached[-1] * np.arange(1, pieces) / pieces, side="right")
+        cuts.append(own.iloc[np.unique(np.minimum(at, len(own) - 1))])
+    found = pd.concat(cuts)
+    keys = np.empty(len(found), KEY)
     for name in KEY.names:
-        keys[name] = cuts[name].to_numpy(np.int64)
-    opens = np.r_[True, keys["hash"][1:] != keys["hash"][:-1]]
-    keys["id"][opens] = keys["row"][opens] = np.iinfo(np.int64).min
+        keys[name] = found[name].to_numpy(np.int64)
+    weights = sample.groupby("hash")["times"].sum()
     return keys, weights.index.to_numpy(np.int64)[weights.to_numpy() > 1]
 
 
+def _joined(keys: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """Splitters of two draws in order. The first within a hash falls back to the start of that hash,
+    so that equal texts are cut apart only where they fill a range."""
+    keys = np.unique(np.concatenate([keys, more]))
+    opens = np.r_[True, keys["hash"][1:] != keys["hash"][:-1]][: len(keys)]
+    keys["id"][opens] = keys["row"][opens] = NO_ID
+    return np.unique(keys)
+
+
+def _ranged(records: DataFrame, total: int, count: int, ranges: int) -> tuple[DataFrame, np.ndarray]:
+    """The records with their range, stored, and the hashes that may lie in several ranges.
+
+    The ranges of the first draw are measured. Those with more than ``OVERFULL`` times the mean bytes, their
+    largest record aside, or rows are drawn from again, alone, and subdivided, until there are none. They are at
+    most ``2 * ranges / OVERFULL``, so few numbers go through the driver.
+    """
+    keys, often = _splitters(records.withColumn("range", F.lit(0)), total, count, ranges, ranges, 0)
+    keys = _joined(keys, np.empty(0, KEY))
+    most_bytes, most_rows = OVERFULL * total / ranges, max(OVERFULL * count / ranges, 1)
+    turn = 0
+    while True:
+        number = _range_of(keys)("hash", F.coalesce("id", F.lit(NO_ID)), "row")
+        ranged = staged(records.withColumn("range", number), "ranged")
+        sums = ranged.groupBy("range").agg(F.sum("size") - F.max("size"), F.count("*")).toDF("range", "bytes", "rows")
+        full = staged(sums.where((F.col("bytes") > most_bytes) | (F.col("rows") > most_rows)).select("range"), "overfull")
+        turn += 1
+        more, again = _splitters(ranged.join(F.broadcast(full), "range"), total, count, ranges, None, turn)
+        often = np.union1d(often, again)
+        finer = _joined(keys, more)
+        if len(finer) == len(keys):
+            return ranged, np.union1d(often, keys["hash"][1:][keys["hash"][1:] == keys["hash"][:-1]])
+        keys = finer
+
+
 def _range_of(keys: np.ndarray):
     """A column function: the number of the range that a (hash, id, row) lies in."""
     hashes = np.ascontiguousarray(keys["hash"])
@@ -102,11 +141,9 @@ def shard_by_bytes(
     )
     total, count = records.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     ranges = min(max(ranges, count // ROWS_PER_RANGE), MOST_RANGES)
-    keys, often = _splitters(records, ranges, total, count)
-    own_id = F.coalesce("id", F.lit(-(1 << 63)))
-    ranged = staged(records.withColumn("range", _range_of(keys)("hash", own_id, "row")), "ranged")
+    ranged, often = _ranged(records, total, count, ranges)
 
-    # At most MOST_RANGES rows: what lies before each range.
+    # A few times MOST_RANGES rows at most: what lies before each range.
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = ranged.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
     offsets = sums.select(

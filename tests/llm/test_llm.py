@@ -204,6 +204,36 @@ def test_ranges_are_bounded_in_rows(spark, monkeypatch):
     assert Counter(map(tuple, again)) == Counter(map(tuple, out))
 
 
+@pytest.mark.parametrize("first", ["none", "all in one place"])
+def test_overfull_ranges_are_subdivided_after_a_bad_draw(spark, monkeypatch, first):
+    rows = [(k, f"{k} " + "long " * (k % 60)) for k in range(4000)] + [(None, None)] * 600
+    rows += [(9000 + k, "the same text " * 9) for k in range(1500)] + [(9999, "huge " * 40_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    wanted = Counter(map(tuple, shard_by_bytes(docs, shards=5, ranges=48).collect()))
+    draw, stage, calls, tables = sharding._splitters, sharding.staged, [], []
+
+    def adversarial(*arguments):
+        keys, often = draw(*arguments)
+        calls.append(len(keys))
+        if len(calls) > 1:
+            return keys, often
+        return (keys[:0] if first == "none" else np.sort(keys)[:3]), often[:0]
+
+    def kept(table, name):
+        stored = stage(table, name)
+        tables.extend([stored] * (name == "ranged"))
+        return stored
+
+    monkeypatch.setattr(sharding, "_splitters", adversarial)
+    monkeypatch.setattr(sharding, "staged", kept)
+    found = Counter(map(tuple, shard_by_bytes(docs, shards=5, ranges=48).collect()))
+    sizes = tables[-1].groupBy("range").agg(F.sum("size") - F.max("size"), F.count("*")).toDF("range", "bytes", "rows").collect()
+    total = sum(len((text or "").encode()) + 1 for _, text in rows)
+    assert len(calls) > 2 and max(r["bytes"] for r in tables[0].groupBy("range").agg(F.sum("size").alias("bytes")).collect()) > total / 2
+    assert max(r["rows"] for r in sizes) <= 2 * len(rows) / 48 and max(r["bytes"] for r in sizes) <= 2 * total / 48
+    assert found == wanted
+
+
 def wanted_targets(sizes):
     names = sorted([s for s in sizes if s is not None]) + [None] * (None in sizes)
     weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
