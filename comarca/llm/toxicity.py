@@ -24,8 +24,6 @@ from comarca.llm.common import labelled_sample, rows_of, staged, unmatched, unpa
 from comarca.llm.words import slices, word_codes
 
 SAMPLE = 60_000
-# Most words of the model; those with the largest scores are kept.
-VOCABULARY = 50_000
 PRIOR_TOKENS = 1000.0
 LEAST_COUNT = 0.5
 DEVIATIONS = 1.7
@@ -148,7 +146,8 @@ def learn_toxicity(
     """Learn from at most ``limit`` labelled documents that are not held out. Runs jobs.
 
     Three quarters of them give the token scores and the law, the last quarter the
-    probabilities. Without toxic documents among them all probabilities are small.
+    probabilities. Every word that these documents show to be toxic is in the model, so ``limit`` alone
+    bounds its size. Without toxic documents among them all probabilities are small.
     """
     sample = staged(labelled_sample(docs, labels, label, limit, id_column, text_column), "toxic-sample")
     for_scores = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(4)) < 3
@@ -163,7 +162,7 @@ def learn_toxicity(
     odds = F.log(in_toxic / (toxic + PRIOR_TOKENS - in_toxic)) - F.log(in_clean / (clean + PRIOR_TOKENS - in_clean))
     sure = odds - DEVIATIONS * F.sqrt(1 / in_toxic + 1 / in_clean)
     scored = counts.where((F.col("token") != "") & (F.col("toxic") > 0)).select("token", "clean", sure.alias("score"))
-    best = scored.where(F.col("score") > DRIFT).orderBy(F.desc("score"), "token").limit(VOCABULARY).collect()
+    best = scored.where(F.col("score") > DRIFT).orderBy(F.desc("score"), "token").collect()
     rate, scale = _law(
         np.array([row["score"] for row in best]), np.array([row["clean"] for row in best], float), float(max(clean, 1))
     )
