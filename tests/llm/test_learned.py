@@ -1,0 +1,323 @@
+"""Learned operators against plain Python that learns from all rows at once."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from comarca.llm import language, quality_model, quality_rules
+from comarca.llm.language import identify_languages, learn_languages
+from comarca.llm.quality_model import learn_quality, score_quality
+from comarca.llm.quality_rules import judge_quality, learn_rules
+from comarca.llm.toxicity import DEVIATIONS, DRIFT, learn_toxicity, maximal_segments, score_toxicity
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def held_out(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def labelled_rows():
+    """Texts whose quality shows in several statistics, with some labels that are wrong."""
+    random.seed(11)
+    words, rows, marks = [f"w{k}" if k % 3 else f"word{k}," for k in range(400)], [], []
+    for k in range(900):
+        own = [random.choice(words) for _ in range(random.randrange(40, 160))]
+        kind = random.choice(["good", "good", "loud", "symbols", "copied"])
+        lines = [" ".join(own[at : at + 9]) for at in range(0, len(own), 9)]
+        if kind == "loud":
+            lines = [line.upper() + " !!" for line in lines]
+        elif kind == "symbols":
+            lines = [line + " # | #" for line in lines]
+        elif kind == "copied":
+            lines += lines[: len(lines) // 2]
+        toxic = random.random() < 0.3
+        if toxic:
+            lines[len(lines) // 2] += " foul Vile, nasty foul"
+        rows.append((k, "\n".join(lines)))
+        marks.append((k, int((kind == "good") != (random.random() < 0.04)), int(toxic)))
+    rows += [(900, None), (901, ""), (902, " \n\t")]
+    return rows, marks
+
+
+def counts_of(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    windows = [tuple(words[k : k + 3]) for k in range(len(words) - 2)]
+    times = Counter(windows)
+    found = {
+        "n_words": len(words), "word_chars": sum(map(len, words)), "n_lines": len(lines),
+        "n_symbols": len(re.findall(r"[#*$%&|<>]", text)), "n_dup_lines": len(lines) - len(set(lines)), "n_distinct": len(set(words)),
+        "n_upper": len(re.findall(r"[A-Z]", text)), "n_digits": len(re.findall(r"[0-9]", text)),
+        "n_marks": len(re.findall(r"[!?:;/=_(){}\[\]@~^+-]", text)),
+        "n_repeat_words": len({k + j for k, w in enumerate(windows) if times[w] > 1 for j in range(3)}),
+    }
+    per = {
+        "word_length": ("word_chars", "n_words"), "symbols": ("n_symbols", "n_words"), "copied_lines": ("n_dup_lines", "n_lines"),
+        "distinct_words": ("n_distinct", "n_words"), "upper": ("n_upper", "word_chars"), "digits": ("n_digits", "word_chars"),
+        "marks": ("n_marks", "word_chars"), "line_words": ("n_words", "n_lines"), "repeats": ("n_repeat_words", "n_words"),
+    }
+    found |= {name: found[a] / found[b] if found[b] else 0.0 for name, (a, b) in per.items()}
+    return found | {f"log_{name}": math.log1p(found[name]) for name in quality_model.COUNTS}
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    rows, marks = labelled_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return rows, marks, docs, spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+
+
+def part_of(docs, seed, parts):
+    """The number that Spark's hash gives each id; the split of a sample into parts rests on it."""
+    number = F.xxhash64("doc_id", F.lit(seed))
+    rows = docs.select("doc_id", number if parts is None else F.pmod(number, F.lit(parts))).collect()
+    return dict(map(tuple, rows))
+
+
+# Decision list ---------------------------------------------------------------------------
+
+
+def plain_rules(values, labels, grows):
+    """Sequential covering on values[id][feature], labels[id], grows[id], row by row."""
+    cuts = {}
+    for name in quality_rules.FEATURES:
+        found = set()
+        for label in (0, 1):
+            own = sorted(float(values[k][name]) for k in labels if labels[k] == label)
+            found |= {own[max(math.ceil(q / 24 * len(own)) - 1, 0)] for q in range(25)}
+        cuts[name] = sorted(found)
+
+    def holds(rule, k):
+        return all((values[k][name] > cut) == above for name, above, cut in rule)
+
+    rules = []
+    while len(rules) < quality_rules.MOST_RULES:
+        left = [k for k in labels if not any(holds(rule, k) for rule in rules)]
+        rule = []
+        while len(rule) < quality_rules.MOST_CONDITIONS:
+            covered = [k for k in left if grows[k] and holds(rule, k)]
+            bad = sum(labels[k] == 0 for k in covered)
+            if not 0 < bad < len(covered):
+                break
+            best, most = None, 1e-9
+            for name in quality_rules.FEATURES:
+                for cut in cuts[name]:
+                    for above in (False, True):
+                        own = [labels[k] for k in covered if (values[k][name] > cut) == above]
+                        p, n = own.count(0), own.count(1)
+                        gain = p * (math.log2(p / (p + n)) - math.log2(bad / len(covered))) if p else 0.0
+                        if gain > most:
+                            best, most = (name, above, cut), gain
+            if best is None or best in rule:
+                break
+            rule.append(best)
+        scored = []
+        for length in range(1, len(rule) + 1):
+            own = [labels[k] for k in left if not grows[k] and holds(rule[:length], k)]
+            p, n = own.count(0), own.count(1)
+            scored.append(((p - n) / (p + n) if own else -1.0, -length, p, n))
+        if not scored:
+            break
+        _, length, p, n = max(scored)
+        if p == 0 or p < quality_rules.PRECISION * (p + n):
+            break
+        rules.append(rule[:-length])
+    return rules, holds
+
+
+def test_the_decision_list_is_that_of_plain_covering(given):
+    rows, marks, docs, truth = given
+    values = {k: counts_of(text) for k, text in rows}
+    labels = {k: quality for k, quality, _ in marks if not held_out(k)}
+    grows = {k: part < 2 for k, part in part_of(docs, 5, 3).items()}
+    wanted, holds = plain_rules(values, labels, grows)
+    rules = learn_rules(docs, truth)
+    assert len(rules) > 1
+    assert [[(c.feature, c.above, c.threshold) for c in rule] for rule in rules] == wanted
+    for row in judge_quality(docs, truth, rules=rules).collect():
+        own = values[row["id"]]
+        failed = own["n_words"] < 50 or 100 * own["n_repeat_words"] > 50 * own["n_words"]
+        first = next((at for at, rule in enumerate(wanted, 1) if holds(rule, row["id"])), None)
+        assert (row["base_failed"], row["rule"], row["kept"]) == (failed, first, not failed and first is None)
+
+
+# Ridge on random features ------------------------------------------------------------------
+
+
+def plain_isotonic(x, y):
+    """Height and weight of every point's pool by the max-min formula over distinct x."""
+    at = np.unique(x)
+    sums, counts = np.array([[y[x == v].sum(), (x == v).sum()] for v in at]).T
+    reach, weight = np.r_[0, np.cumsum(sums)], np.r_[0, np.cumsum(counts)]
+    heights = []
+    for i in range(len(at)):
+        means = [[(reach[k] - reach[j]) / (weight[k] - weight[j]) for k in range(i + 1, len(at) + 1)] for j in range(i + 1)]
+        heights.append(max(min(row) for row in means))
+    heights = np.array(heights)
+    return at, heights, np.array([counts[np.isclose(heights, h, atol=1e-12)].sum() for h in heights])
+
+
+def test_quality_scores_are_those_of_one_ridge_over_all_rows(given):
+    rows, marks, docs, truth = given
+    names = quality_model.FEATURES
+    values = {k: np.array([float(counts_of(text)[name]) for name in names]) for k, text in rows}
+    labels = {k: quality for k, quality, _ in marks if not held_out(k)}
+    part, order = part_of(docs, 13, 4), part_of(docs, 17, None)
+    fits = [k for k in labels if part[k] < 3]
+    x = np.stack([values[k] for k in fits])
+    mean, deviation = x.mean(axis=0), x.std(axis=0)
+    deviation[deviation <= 1e-12] = 1.0
+
+    def scaled(ids):
+        return np.clip((np.stack([values[k] for k in ids]) - mean) / deviation, -4, 4)
+
+    some = scaled(sorted(fits, key=lambda k: (order[k], k))[: quality_model.BANDWIDTH_ROWS])
+    width = np.sqrt(np.median([((some[a] - some[b]) ** 2).sum() for a in range(len(some)) for b in range(a)]))
+    draws = np.random.default_rng(0)
+    directions = draws.normal(size=(len(names), quality_model.FOURIER)) / width
+    phases = draws.uniform(0, 2 * np.pi, quality_model.FOURIER)
+
+    def waves(ids):
+        own = np.cos(scaled(ids) @ directions + phases) * np.sqrt(2 / quality_model.FOURIER)
+        return np.hstack([own, np.ones((len(ids), 1))])
+
+    # The waves stand for a Gaussian kernel.
+    near = np.exp(-((some[:60, None] - some[None, :60]) ** 2).sum(axis=2) / (2 * width**2))
+    own = waves(sorted(fits, key=lambda k: (order[k], k))[:60])[:, :-1]
+    assert np.abs(own @ own.T - near).mean() < 0.08
+    # Ridge as least squares with one more row for each weight.
+    pull = np.sqrt(quality_model.RIDGE * len(fits) / quality_model.FOURIER) * np.eye(quality_model.FOURIER + 1)
+    target = np.r_[[labels[k] for k in fits], np.zeros(quality_model.FOURIER + 1)]
+    weights = np.linalg.lstsq(np.vstack([waves(fits), pull]), target, rcond=None)[0]
+
+    model = learn_quality(docs, truth)
+    everyone = list(values)
+    ridge = waves(everyone) @ weights
+    assert model.ridge(np.stack([values[k] for k in everyone])) == pytest.approx(ridge, abs=1e-6)
+    rest = [k for k in labels if part[k] == 3]
+    at, heights, pooled = plain_isotonic(waves(rest) @ weights, np.array([labels[k] for k in rest], float))
+    level = np.maximum.accumulate((heights * pooled + np.mean([labels[k] for k in rest])) / (pooled + 1))
+    span = at[-1] - at[0]
+    risen = 1e-3 * (np.clip(ridge, at[0] - span, at[-1] + span) - at[0] + span) / (3 * span)
+    wanted = dict(zip(everyone, np.clip(np.interp(ridge, at, level) * (1 - 1e-3) + risen, 0, 1), strict=True))
+    found = {row["id"]: row for row in score_quality(docs, model).collect()}
+    assert found.keys() == wanted.keys()
+    assert [found[k]["score"] for k in everyone] == pytest.approx([wanted[k] for k in everyone], abs=1e-4)
+    assert all(row["predicted"] == (row["score"] >= 0.3) for row in found.values())
+
+
+# Log-odds and the extreme-value law ----------------------------------------------------------
+
+
+def tokens(text):
+    return [word.lower().strip(" !\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") for word in WORD.findall(text or "")]
+
+
+def test_toxicity_follows_its_formulas(given):
+    rows, marks, docs, truth = given
+    texts, part = dict(rows), part_of(docs, 11, 4)
+    labels = {k: toxic for k, _, toxic in marks if not held_out(k)}
+    seen = [Counter(), Counter()]
+    for k, label in labels.items():
+        if part[k] < 3:
+            seen[label].update(tokens(texts[k]))
+    clean, toxic = (sum(own.values()) for own in seen)
+    scores = {}
+    for word in set(seen[0]) | set(seen[1]):
+        prior = 1000 * (seen[0][word] + seen[1][word]) / (clean + toxic) + 0.5
+        a, b = seen[1][word] + prior, seen[0][word] + prior
+        odds = math.log(a / (toxic + 1000 - a)) - math.log(b / (clean + 1000 - b))
+        score = odds - DEVIATIONS * math.sqrt(1 / a + 1 / b)
+        if word and seen[1][word] and score > DRIFT:
+            scores[word] = score
+    model = learn_toxicity(docs, truth)
+    assert {"foul", "vile", "nasty"} <= set(scores)
+    assert dict(zip(model.words, model.scores, strict=True)) == pytest.approx(scores)
+    # A clean token's mean of exp(rate * score) is 1.
+    share = {word: (seen[0][word] + 0.5) / (clean + 0.5 * len(scores)) for word in scores}
+    rest = 1 - sum(share.values())
+    mean = sum(share[w] * math.exp(model.rate * (s - DRIFT)) for w, s in scores.items()) + rest * math.exp(-model.rate * DRIFT)
+    assert mean == pytest.approx(1, abs=1e-6) and model.scale == pytest.approx(sum(share.values()))
+
+    evidence = {}
+    for k, text in rows:
+        own = tokens(text)
+        segments = maximal_segments(np.array([scores.get(word, 0.0) - DRIFT for word in own]))
+        chances = [model.rate * score - math.log(max(model.scale * max(len(own), 1), 1e-12)) for *_, score in segments]
+        evidence[k] = min(sum(c for c in chances if c > 0), 50.0)
+    # The logistic curve's likelihood is flat where it was fitted.
+    last = [k for k in labels if part[k] == 3]
+    off = [1 / (1 + math.exp(-(model.bias + model.slope * evidence[k]))) - labels[k] for k in last]
+    assert sum(off) == pytest.approx(0, abs=0.05)
+    assert sum(o * evidence[k] for o, k in zip(off, last, strict=True)) == pytest.approx(0, abs=0.5)
+    for row in score_toxicity(docs, model).collect():
+        assert row["score"] == pytest.approx(1 / (1 + math.exp(-(model.bias + model.slope * evidence[row["id"]]))), abs=1e-6)
+        assert row["predicted"] == (row["score"] >= 0.5)
+
+
+# Centroids of languages ------------------------------------------------------------------------
+
+
+def plain_vector(text):
+    """Counts of hashed n-grams of 1 to 3 characters, in plain integers."""
+    codes = [ord(c) for c in re.sub(r"[\W\d_]+", " ", text.lower())]
+    counts = np.zeros(1 << language.BITS)
+    for at in range(len(codes)):
+        mixed = 0
+        for size in range(min(3, len(codes) - at)):
+            own = codes[at + size]
+            mixed = own * int(language.MIX[0]) if size == 0 else (mixed ^ (mixed >> 15)) * int(language.MIX[size]) + own
+            mixed %= 1 << 32
+            counts[(mixed * int(language.SPREAD) % (1 << 32)) >> (32 - language.BITS)] += 1
+    return counts
+
+
+def test_languages_are_those_of_the_nearest_plain_centroid(spark):
+    random.seed(12)
+    sounds = {"aa": "the and ing tion".split(), "bb": "sch ein und ßen".split(), "cc": "eau ique é les".split()}
+    rows = []
+    for k in range(160):
+        name = random.choice(list(sounds))
+        rows.append((k, ", ".join("".join(random.choices(sounds[name], k=random.randrange(1, 4))) for _ in range(12)), name))
+    rows += [(500, "", "aa"), (501, None, "aa"), (502, "12 ??", "bb"), (503, "the einique", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    counts = {k: plain_vector(text or "") for k, text, _ in rows}
+    lettered = {k for k, text, _ in rows if re.search(r"[^\W\d_]", text or "")}
+    learned = {k: name for k, _, name in rows if name and k in lettered and not held_out(k)}
+    idf = np.log((1 + len(learned)) / (1 + sum(counts[k] > 0 for k in learned))) + 1
+    model = learn_languages(docs)
+    assert model.idf == pytest.approx(idf, abs=1e-5)
+
+    def unit(k):
+        own = np.log1p(counts[k]) * idf
+        return own / max(np.linalg.norm(own), 1e-12)
+
+    # Every centroid is the direction of the sum of those nearest to it, or of the last round's.
+    assert sorted(set(model.languages)) == sorted(sounds) and len(model.languages) == 12
+    for name in sounds:
+        of = [k for k, own in enumerate(model.languages) if own == name]
+        units = np.stack([unit(k) for k, own in learned.items() if own == name])
+        nearest = np.argmax(units @ model.centroids[of].T, axis=1)
+        for place, k in enumerate(of):
+            total = units[nearest == place].sum(axis=0)
+            assert model.centroids[k] @ total / np.linalg.norm(total) > 0.999
+            cosines = np.sort(units[nearest == place] @ model.centroids[k])
+            assert cosines[0] - 1e-5 <= model.least[k] <= cosines[min(1, len(cosines) - 1)] + 1e-5
+    for row in identify_languages(docs, model).collect():
+        cosines = model.centroids @ unit(row["id"])
+        best = int(np.argmax(cosines))
+        if row["id"] not in lettered:
+            assert (row["lang_pred"], row["score"], row["rejected"]) == ("und", 0, True)
+            continue
+        assert row["score"] == pytest.approx(float(cosines[best]), abs=1e-5)
+        assert row["lang_pred"] == model.languages[best] or np.sort(cosines)[-1] - np.sort(cosines)[-2] < 1e-5
+        if abs(cosines[best] - model.least[best]) > 1e-5:
+            assert row["rejected"] == (cosines[best] < model.least[best])
