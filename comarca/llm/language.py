@@ -171,7 +171,8 @@ def identify_languages(
     Columns: id, lang_pred (of the nearest centroid; ``und`` for a null text or one without a letter,
     or if nothing was learned), score (its cosine, 0 to 1; 0 for ``und``) and rejected (the
     cosine is smaller than nearly all that this centroid's training texts had; true for ``und``). Repeated rows are
-    judged each; of equally near centroids the first by language wins. Other columns are not looked at.
+    judged each; of equally near centroids the first by language wins. A text of any length is counted whole.
+    An empty table gives no rows. Other columns are not looked at.
     """
 
     @F.arrow_udf("struct<lang:string,score:double,rejected:boolean>")

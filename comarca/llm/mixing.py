@@ -266,8 +266,8 @@ def mix_plan(
     up to its target, give or take less than any document that was left out of the part round, or
     half of the one that went over; what whole blocks leave is filled from all the later ones,
     see ``_fill``, of which a task holds at most ``items`` documents of a source. Equal input gives equal output, whatever its layout, except that copies
-    of one row may swap. Null ids and null sources are values. A source without a word is
-    taken no time. An empty table gives no rows. Other columns are not looked at.
+    of one row may swap. Null ids and null sources are values. A text without words goes with whole
+    rounds and whole blocks; a source without a word is taken no time. A text of any length is one row. An empty table gives no rows. Other columns are not looked at.
 
     There are about ``blocks`` blocks in all, at most twice as many and one for each source, so their
     table is small and every block a small share of the words and of the rows.

@@ -164,8 +164,8 @@ def score_quality(
     """Score every whole text. One row per row of ``docs``.
 
     Columns: id, score (0 to 1) and predicted (1 from ``threshold`` on). Null and empty texts
-    have statistics of 0, all the same score. Repeated rows are scored each; other columns are not
-    looked at. The statistics are built-in expressions; only their few numbers go through Python.
+    have statistics of 0, all the same score. Repeated rows are scored each; an empty table gives no rows; a
+    text of any length is scored whole; other columns are not looked at. The statistics are built-in expressions; only their few numbers go through Python.
     """
     picked = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     scored = statistics(picked).select("id", _score(model).alias("score"))

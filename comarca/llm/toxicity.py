@@ -216,7 +216,8 @@ def score_toxicity(
 
     Columns: id, score (0 to 1), predicted (1 from 0.5 on) and passages: the significant
     segments as first and last word (from 0) and score. Null and empty texts have no passage
-    and get the smallest score. Repeated rows are scored each; other columns are not looked at.
+    and get the smallest score. Repeated rows are scored each; an empty table gives no rows; a text of any
+    length is scored whole; other columns are not looked at.
     """
     summary = _summary(model)(F.col(text_column)).alias("found")
     found = docs.select(F.col(id_column).alias("id"), summary)

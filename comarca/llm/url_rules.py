@@ -123,7 +123,8 @@ def judge_urls(
     one with the most characters in host and path, then the last by code point. Of the
     verdicts given to one rule the last by code point holds. Rules without a host are left
     out. A null URL, or one without ``://``, has empty host and path, and no rule. Repeated
-    rows are judged each. Other columns are not looked at. Counts the pages when called.
+    rows and null ids are judged each; an empty table gives no rows; a URL of any length is judged whole.
+    Other columns are not looked at. Counts the pages when called.
 
     Pages are dealt out by ranges of reversed hosts, a frequent host over several salted
     parts. A rule goes into the ranges its interval touches, so only broad rules are
