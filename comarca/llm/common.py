@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comarca.operators import bloom_filter, cannot_have, join_spread, may_have
@@ -12,6 +15,26 @@ from comarca.sources import scratch_path
 HOT_PARTS = 1000
 # Id lists up to this many rows (a few MB) may be broadcast; longer ones are joined by shuffle.
 BROADCAST_ROWS = 200_000
+# Bytes of texts that go to a Python worker at once; Spark's own limit is 64 MB and 10,000 rows.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Within, jobs send texts to Python in batches of ``BATCH_BYTES`` or one longer text.
+
+    An executor holds a batch several times, in the JVM's native memory and in the worker, and both
+    keep what they once took. A limit that the session was given holds instead. Nothing stays set.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is not None:
+        yield
+        return
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_SETTING)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -21,6 +44,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_small(df: DataFrame, name: str) -> DataFrame:
+    """The same, for what sends texts to Python."""
+    with small_batches(df.sparkSession):
+        return staged(df, name)
+
+
 def rows_of(docs: DataFrame) -> DataFrame:
     """Every row as one struct named ``row``, so that no column name can clash."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))

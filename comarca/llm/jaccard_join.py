@@ -31,7 +31,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from comarca.llm.common import HOT_PARTS, attach, bounded, key_of, matched, rows_of, staged, unmatched, unpacked
+from comarca.llm.common import (
+    HOT_PARTS, attach, bounded, key_of, matched, rows_of, staged, staged_small, unmatched, unpacked,
+)
 from comarca.llm.components import connected_components
 from comarca.llm.words import slices, word_codes
 
@@ -161,16 +163,14 @@ def _block_links(threshold: Fraction):
     is found linked is joined at once, so that at most one link for each record comes out.
     """
 
-    def run(block):
-        import pandas as pd
-
-        block = block.sort_values("record").drop_duplicates("record")
-        sets = [np.asarray(x) for x in block["set"]]
+    def run(block: pa.Table) -> pa.Table:
+        block = block.take(np.unique(block["record"].to_numpy(), return_index=True)[1])
+        sets = block["set"].combine_chunks()
         records, ranges, part = (block[c].to_numpy() for c in ("record", "range", "part"))
-        low, high, slot = (int(block[c].iloc[0]) for c in ("low", "high", "slot"))
-        sizes = np.array([len(x) for x in sets])
+        low, high, slot = (block[c][0].as_py() for c in ("low", "high", "slot"))
+        sizes = pc.list_value_length(sets).to_numpy()
         owner = np.repeat(np.arange(len(sets)), sizes)
-        names, gram = np.unique(np.concatenate(sets), return_inverse=True)
+        names, gram = np.unique(sets.flatten().to_numpy(), return_inverse=True)
         order = np.argsort(gram, kind="stable")
         index = owner[order]
         begins = np.concatenate([[0], np.cumsum(np.bincount(gram, minlength=len(names)))])
@@ -189,7 +189,8 @@ def _block_links(threshold: Fraction):
                 if group[y] != group[x]:
                     found.append((int(records[x]), int(records[y])))
                     group[group == group[y]] = group[x]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        ends = zip(*found, strict=True) if found else ([], [])
+        return pa.table([pa.array(end, pa.int64()) for end in ends], ["a", "b"])
 
     return run
 
@@ -218,7 +219,7 @@ class _Join:
             _records(words, threshold),
             "row long, id long, key long, n int, set binary, start array<long>, hist array<int>",
         )
-        self.rows = staged(shingled, "shingled")
+        self.rows = staged_small(shingled, "shingled")
         groups = self.rows.where("n > 0").groupBy("set").agg(
             F.min("row").alias("record"), F.min("id").alias("least"), F.count("*").alias("copies")
         )
@@ -351,7 +352,7 @@ class _Join:
         wanted = staged(wanted.join(names, wanted["record"] == names["row"]).drop("row"), "wanted")
         sets = self._with_sets(wanted, "record long")
         met = dealt.join(sets, "record").groupBy("hub", "slot", "low", "high")
-        return staged(met.applyInPandas(_block_links(self.threshold), "a long, b long").distinct(), "block-links")
+        return staged_small(met.applyInArrow(_block_links(self.threshold), "a long, b long").distinct(), "block-links")
 
     def _pairs(self, found: DataFrame, left: str, right: str) -> DataFrame:
         """Distinct pairs that pass the suffix filter."""
@@ -384,7 +385,7 @@ class _Join:
         a = self._with_sets(left, "a long, part int").withColumnRenamed("set", "set_a")
         b = self._with_sets(right, "a long, part int, b long")
         linked = a.join(b, ["a", "part"]).where(_similar(F.col("set_a"), F.col("set"), self.threshold))
-        return staged(linked.select("a", "b"), "links")
+        return staged_small(linked.select("a", "b"), "links")
 
     def _with_sets(self, wanted: DataFrame, schema: str) -> DataFrame:
         names = [c for c in wanted.columns if c not in ("id", "key")]

@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -366,13 +365,14 @@ def _draw(table: DataFrame, shards: int, seed: int) -> DataFrame:
     sums = quotas.groupBy("group").agg(F.sum("quota").alias("quota")).orderBy("group").toPandas()
     shares = dict(zip(sums["group"], split_quotas(sums["quota"].to_numpy(np.int64), shards, seed), strict=True))
 
-    def split(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["name", "n", "quota"])
-        group = int(rows["group"].iloc[0])
-        counts = split_quotas(rows["quota"].to_numpy(np.int64), shards, [seed, group + 1], shares[group])
-        return rows[["sid", "n"]].assign(ends=list(np.cumsum(counts, axis=1)))
+    def split(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(key, "ascending") for key in ("name", "n", "quota")])
+        group = rows["group"][0].as_py()
+        counts = split_quotas(rows["quota"].to_numpy(), shards, [seed, group + 1], shares[group])
+        ends = pa.array(list(np.cumsum(counts, axis=1)), pa.list_(pa.int64()))
+        return pa.table([rows["sid"], rows["n"], ends], ["sid", "n", "ends"])
 
-    ends = staged(quotas.groupBy("group").applyInPandas(split, "sid long, n long, ends array<long>"), "quota-ends")
+    ends = staged(quotas.groupBy("group").applyInArrow(split, "sid long, n long, ends array<long>"), "quota-ends")
     known = table.join(bounded(ends), "sid")
     times = F.col("rounds").cast("int") + F.when(F.col("part") > 0, 1).otherwise(0)
     turn = F.when(F.col("part") > 0, F.col("part_place"))

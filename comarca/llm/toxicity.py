@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comarca.llm.common import labelled_sample, rows_of, staged, unmatched, unpacked
+from comarca.llm.common import labelled_sample, rows_of, small_batches, staged, staged_small, unmatched, unpacked
 from comarca.llm.words import slices, word_codes
 
 SAMPLE = 60_000
@@ -154,7 +154,8 @@ def learn_toxicity(
     counts = sample.where(for_scores).select("text", "label").mapInArrow(
         _count, "token string, clean long, toxic long"
     )
-    counts = staged(counts.groupBy("token").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "tokens")
+    counts = counts.groupBy("token").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = staged_small(counts, "tokens")
     clean, toxic = counts.agg(F.coalesce(F.sum("clean"), F.lit(0)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
 
     prior = PRIOR_TOKENS * (F.col("clean") + F.col("toxic")) / max(clean + toxic, 1) + LEAST_COUNT
@@ -168,7 +169,8 @@ def learn_toxicity(
     )
     first = ToxicityModel([row["token"] for row in best], [row["score"] for row in best], rate, scale, 0.0, 1.0)
     rest = sample.where(~for_scores).select("label", _summary(first)("text")["evidence"].alias("evidence"))
-    found = rest.groupBy("evidence", "label").count().toPandas()
+    with small_batches(docs.sparkSession):
+        found = rest.groupBy("evidence", "label").count().toPandas()
     bias, slope = _logistic(found["evidence"].to_numpy(float), found["label"].to_numpy(float), found["count"].to_numpy(float))
     return ToxicityModel(first.words, first.scores, rate, scale, bias, slope)
 
@@ -239,7 +241,7 @@ def without_toxic(
     digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest")
     scored = texts.select(digest, F.least(_summary(model)("text")["evidence"], F.lit(50.0)).alias("evidence"))
     score = 1 / (1 + F.exp(-(F.lit(model.bias) + F.lit(model.slope) * F.col("evidence"))))
-    toxic = staged(scored.where(score >= 0.5).select("digest").distinct(), "toxic")
+    toxic = staged_small(scored.where(score >= 0.5).select("digest").distinct(), "toxic")
     text = F.coalesce(F.col("row").getField(text_column), F.lit(""))
     rows = rows_of(docs).select("row", F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"))
     return unpacked(unmatched(rows, toxic, ["digest"]), docs.columns)
